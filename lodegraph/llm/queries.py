@@ -6,13 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lodegraph.llm import canonical, packing, records, split, tokens, truncation
+from lodegraph.llm import canonical, markup, packing, records, split, tokens, truncation
 from lodegraph.plans.session import load
 
 NAME_FIELDS = ["name", "normalized_name", "unit"]
 RECORD_FIELDS = ["type", "normalized_name", "spec"]
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    got = markup.label_blocks(load(spark, d, "graph_chunks"), render=False)
+    fields = F.array_compact(F.array(F.when(F.col("text_blocks") > 0, F.lit("text")), F.when(F.col("table_blocks") > 0, F.lit("tables"))))
+    return got.select("chunk_id", F.explode(fields).alias("field")).distinct()
+
+
+def p1_clean(spark: SparkSession, d: str) -> DataFrame:
+    """Clean text and tables of every chunk row; a row of a table is its (header, s, n) entries in order."""
+    return markup.clean_chunks(load(spark, d, "graph_chunks"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return canonical.odd_values(load(spark, d, "entities"), "row_id", NAME_FIELDS)
 
@@ -63,7 +74,7 @@ def p10_sources(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p2_found, p2_forms, p3_found, p3_pieces, p4_found, p4_records, p8_ids, p9_containers, p10_found, p10_sources)
+    f.__name__: f for f in (p1_found, p1_clean, p2_found, p2_forms, p3_found, p3_pieces, p4_found, p4_records, p8_ids, p9_containers, p10_found, p10_sources)
 }
 
 SQL: dict[str, str] = {
