@@ -42,34 +42,39 @@ def _orphans(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return ends, got.select(split[0].alias("table_name"), split[1].cast("long").alias("row_id"), "end_name", "ref", "at", "reason")
 
 
-def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return _orphans(spark, d)[1].select("table_name", "row_id", "end_name").distinct()
-
-
-#: Edges whose source is a part of their target.
+#: Edges whose source is a part of their target, and the other way round.
 PARENT_RELATIONS = ["BELONGS_TO"]
 CHILD_RELATIONS = ["HAS_CHILD"]
 
 
-def p6_report(spark: SparkSession, d: str) -> DataFrame:
-    """Orphan references by table and month of created_at: direct ones, and edges that hang on an orphaned record.
+def orphan_cascade(spark: SparkSession, d: str) -> DataFrame:
+    """(table_name, row_id, end_name, at, reason) of all orphaned ends, direct and inherited.
 
-    A record is orphaned if a record it belongs to is missing or deleted, or is itself orphaned.
+    A record is orphaned if a record it belongs to is missing or deleted, or is itself orphaned; an end that
+    refers to such a record is an orphan by inheritance unless it is one directly.
     """
     direct = cut(_orphans(spark, d)[1].distinct())
-    edges = load(spark, d, "graph_relationships").select(F.col("id").cast("long").alias("row_id"), "source_id", "target_id", "relation", "created_at").distinct()
+    edges = load(spark, d, "graph_relationships").select(F.col("id").cast("long").alias("row_id"), "source_id", "target_id", "relation", "created_at")
     up = edges.filter(F.col("relation").isin(PARENT_RELATIONS)).select(F.col("source_id").alias("child"), F.col("target_id").alias("parent"))
     down = edges.filter(F.col("relation").isin(CHILD_RELATIONS)).select(F.col("target_id").alias("child"), F.col("source_id").alias("parent"))
-    links = up.unionByName(down)
-    gone = direct.filter("table_name = 'graph_relationships' and reason in ('missing', 'deleted')").select(F.substring("ref", 2, 1_000_000).alias("ref"))
-    below = orphans.inherited_orphans(links, gone).select("ref").distinct()
-    ends = edges.select("row_id", F.col("created_at").alias("at"), F.explode(F.array("source_id", "target_id")).alias("ref"))
-    hit = ends.join(below, "ref", "left_semi").select("row_id", "at").distinct()
-    hit = hit.join(direct.filter("table_name = 'graph_relationships'").select("row_id").distinct(), "row_id", "left_anti")
-    month = lambda c: F.date_format(c, "yyyy-MM").alias("month")
-    a = direct.groupBy("table_name", month("at")).agg(F.count(F.lit(1)).alias("direct_ends"), *[F.count_if(F.col("reason") == r).alias(r) for r in ("missing", "deleted", "later")])
-    b = hit.groupBy(F.lit("graph_relationships").alias("table_name"), month("at")).agg(F.count(F.lit(1)).alias("inherited_edges"))
-    return a.join(b, ["table_name", "month"], "full").na.fill(0)
+    mine = direct.filter("table_name = 'graph_relationships'")
+    gone = mine.filter("reason in ('missing', 'deleted')").select(F.substring("ref", 2, 1_000_000).alias("ref"))
+    below = orphans.inherited_orphans(up.unionByName(down), gone).select("ref").distinct()
+    ends = orphans.reference_ends(edges, "row_id", ID_ENDS).distinct()
+    hit = ends.join(below, "ref", "left_semi").join(mine.select("row_id", "end_name").distinct(), ["row_id", "end_name"], "left_anti")
+    inherited = hit.select(F.lit("graph_relationships").alias("table_name"), "row_id", "end_name", "at", F.lit("inherited").alias("reason"))
+    return direct.select("table_name", "row_id", "end_name", "at", "reason").unionByName(inherited)
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return orphan_cascade(spark, d).filter("reason <> 'inherited'").select("table_name", "row_id", "end_name").distinct()
+
+
+def p6_report(spark: SparkSession, d: str) -> DataFrame:
+    """Orphaned ends by table and month of created_at, direct ones by reason and those by inheritance."""
+    got = orphan_cascade(spark, d).select("table_name", "row_id", "end_name", "reason", F.date_format("at", "yyyy-MM").alias("month")).distinct()
+    kinds = [F.count_if(F.col("reason") == r).alias(r) for r in ("missing", "deleted", "later", "inherited")]
+    return got.groupBy("table_name", "month").agg(F.count_if(F.col("reason") != "inherited").alias("direct"), *kinds)
 
 
 QUERIES = {f.__name__: f for f in (p5_found, p5_common, p6_found, p6_report)}
