@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lodegraph.llm import canonical, markup, packing, records, split, tokens, truncation
+from lodegraph.llm import canonical, markup, neighbours, packing, records, split, tokens, truncation
 from lodegraph.plans.session import load
 
 NAME_FIELDS = ["name", "normalized_name", "unit"]
@@ -53,6 +53,23 @@ def p4_records(spark: SparkSession, d: str) -> DataFrame:
     return records.record_groups(load(spark, d, "entities"), "row_id", RECORD_FIELDS, ["spec"])[1].select("keep_row_id", "n_copies")
 
 
+def _vectors(spark: SparkSession, d: str) -> DataFrame:
+    parts = [load(spark, d, t).select(F.lit(t).alias("table_name"), F.col(c).alias("id"), "embedding") for t, c in (("graph_entities", "id"), ("graph_chunks", "chunk_id"))]
+    return parts[0].unionByName(parts[1])
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return neighbours.similar(_vectors(spark, d), k=0, floor=0.9).filter("cosine >= 0.9").select("table_name", "id_a", "id_b")
+
+
+def p7_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    """The 5 most similar others of every row whose number is divisible by 100, against all rows."""
+    v = _vectors(spark, d)
+    asked = v.filter(F.regexp_extract("id", r"(\d+)$", 1).cast("long") % 100 == 0).select("table_name", "id").distinct()
+    pairs = neighbours.similar(v, k=5, floor=2.0, probes=None, queries=asked, m=16, ef=96, cell=8_000)
+    return neighbours.top_k(pairs, 5).join(asked, ["table_name", "id"], "left_semi")
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_ids(load(spark, d, "documents"))
 
@@ -74,7 +91,7 @@ def p10_sources(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_clean, p2_found, p2_forms, p3_found, p3_pieces, p4_found, p4_records, p8_ids, p9_containers, p10_found, p10_sources)
+    f.__name__: f for f in (p1_found, p1_clean, p2_found, p2_forms, p3_found, p3_pieces, p4_found, p4_records, p7_found, p7_neighbours, p8_ids, p9_containers, p10_found, p10_sources)
 }
 
 SQL: dict[str, str] = {
