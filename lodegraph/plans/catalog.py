@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodegraph.plans import repairs
+from lodegraph.plans import q_sources, q_tables, repairs
 
-MODULES = (repairs,)
+MODULES = (repairs, q_sources, q_tables)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
