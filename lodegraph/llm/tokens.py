@@ -171,29 +171,69 @@ class Lexicon:
         return out
 
 
-def encoder(vocabulary: str, lexicon: str | None):
-    """texts -> list of id lists, with what it learnt about words kept in the worker."""
+class Encoder:
+    """Texts to ids; what it learnt about words stays in the worker as flat arrays of ids."""
+
+    def __init__(self, vocabulary: str, lexicon: str | None):
+        self.rank, self.lex, self.split = ranks(vocabulary), Lexicon(lexicon) if lexicon else None, splitter()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.start, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def _learn(self, words: list[str]) -> None:
+        raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        known = self.lex.find(raw) if self.lex else [None] * len(raw)
+        new = [merge(b, self.rank) if ids is None else ids for b, ids in zip(raw, known)]
+        first = len(self.place)
+        self.place.update(zip(words, range(first, first + len(words))))
+        size = np.fromiter(map(len, new), np.int64, len(new))
+        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.ids = np.concatenate([self.ids, np.fromiter((i for x in new for i in x), np.int32, int(size.sum()))])
+
+    def _words(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of every word, words of each text)."""
+        cut = [self.split(t) if t else [] for t in texts]
+        place = self.place
+        new = {w for ws in cut for w in ws if w not in place}
+        if len(place) + len(new) > MEMO_WORDS:
+            self._forget()
+            place = self.place
+            new = {w for ws in cut for w in ws}
+        if new:
+            self._learn(list(new))
+        counts = np.fromiter(map(len, cut), np.int64, len(cut))
+        return np.fromiter((place[w] for ws in cut for w in ws), np.int64, int(counts.sum())), counts
+
+    def encode(self, texts: list[str | None]) -> pa.ListArray:
+        words, counts = self._words(texts)
+        size = self.size[words]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        # place of every id: its word's first id plus its place within the word
+        flat = self.ids[np.arange(ends[-1]) + np.repeat(self.start[words] - ends[:-1], size)]
+        offsets = ends[np.concatenate([[0], np.cumsum(counts)])]
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
+
+    def sizes(self, texts: list[str | None]) -> pa.Array:
+        words, counts = self._words(texts)
+        ends = np.concatenate([[0], np.cumsum(self.size[words])])
+        at = np.concatenate([[0], np.cumsum(counts)])
+        return pa.array(ends[at[1:]] - ends[at[:-1]], pa.int32())
+
+
+def encoder(vocabulary: str, lexicon: str | None) -> Encoder:
+    """The worker's encoder."""
     if (vocabulary, lexicon) not in _STATE:
-        rank, memo = ranks(vocabulary), {}
-        lex = Lexicon(lexicon) if lexicon else None
-        split = splitter()
-
-        def encode(texts: list[str | None]) -> list[list[int]]:
-            cut = [split(t) if t else [] for t in texts]
-            new = list({w for ws in cut for w in ws if w not in memo})
-            if len(memo) + len(new) > MEMO_WORDS:
-                memo.clear()
-                new = list({w for ws in cut for w in ws})
-            raw = [w.encode("utf-8", "surrogatepass") for w in new]
-            known = lex.find(raw) if lex else [None] * len(raw)
-            for w, b, ids in zip(new, raw, known):
-                memo[w] = merge(b, rank) if ids is None else ids
-            return [[i for w in ws for i in memo[w]] for ws in cut]
-
-        _STATE[vocabulary, lexicon] = encode
+        _STATE[vocabulary, lexicon] = Encoder(vocabulary, lexicon)
     return _STATE[vocabulary, lexicon]
 
 
+#: Texts encoded at a time; bounds a worker's memory.
+TEXTS = 1000
+
+
 def word_counts(df: DataFrame, text: str) -> DataFrame:
     """(word, n) over all texts; each task counts for itself first, in bounded memory."""
 
@@ -236,10 +276,10 @@ def encode_ids(df: DataFrame, key: str = "doc_id", text: str = "text", folder: s
     name = build_lexicon(df, text, vocab, words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocab, SparkFiles.get(name))
-        for b in batches:
-            got = encode(b.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.list_(pa.int32()))], [key, "ids"])
+        e = encoder(vocab, SparkFiles.get(name))
+        for whole in batches:
+            for b in (whole.slice(i, TEXTS) for i in range(0, whole.num_rows, TEXTS)):
+                yield pa.RecordBatch.from_arrays([b.column(0), e.encode(b.column(1).to_pylist())], [key, "ids"])
 
     rows = spread(df.select(key, text))
     return rows.mapInArrow(run, f"`{key}` {dict(rows.dtypes)[key]}, ids array<int>")
@@ -251,10 +291,10 @@ def encode_sizes(df: DataFrame, key: str, text: str, folder: str | None = None,
     name = build_lexicon(df, text, vocab, words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocab, SparkFiles.get(name))
-        for b in batches:
-            got = [len(x) for x in encode(b.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.int32())], [key, "n_tokens"])
+        e = encoder(vocab, SparkFiles.get(name))
+        for whole in batches:
+            for b in (whole.slice(i, TEXTS) for i in range(0, whole.num_rows, TEXTS)):
+                yield pa.RecordBatch.from_arrays([b.column(0), e.sizes(b.column(1).to_pylist())], [key, "n_tokens"])
 
     rows = spread(df.select(key, text))
     return rows.mapInArrow(run, f"`{key}` {dict(rows.dtypes)[key]}, n_tokens int")
