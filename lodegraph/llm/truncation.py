@@ -39,8 +39,8 @@ HALF_ESCAPE = re.compile(r"&(?:#\d{0,6}|#x[0-9A-Fa-f]{0,6}|[A-Za-z]{2,8})$|\\(?:
 TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9]*)(?:\s[^<>]*)?(/?)>")
 TOKEN = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9]*)(?:\s[^<>]*)?(/?)>|[()\[\]{}「」『』《》【】“”‘’]|\n\s*\n")
 CLOSERS = "\"'”’」』》】)]*_~`"
-TERMINAL = re.compile(r"[.!?。！？．]$")
-NUMBER_POINT = re.compile(r"(\S+\s+)?(\S+)\s+\S*\d[.]$|(\S*\d[.])$")
+TERMINAL = ".!?。！？．"
+DIGITS = re.compile(r"\d+")
 #: a list item or table row: a mark, or a short line of words that ends in a number with its unit
 ITEM = re.compile(r"^\s*(?:[-*·•○●▪∙※]|\(?\d{1,3}[).]|[①-⑳]|[가-힣][.)]|[A-Za-z][.)])\s")
 
@@ -49,10 +49,11 @@ def ending(line: str) -> tuple[str, str]:
     """(kind, signature) of a line's end: 'stop' needs no baseline, the others do."""
     line = line.rstrip()
     bare = line.rstrip(CLOSERS).rstrip()
-    if TERMINAL.search(bare):
-        if m := NUMBER_POINT.search(bare):
+    if bare and bare[-1] in TERMINAL:
+        if bare[-1] == "." and bare[-2:-1].isdigit():
             # a point behind a number ends a sentence only where sentences end on that word and a number
-            return "point", re.sub(r"\d+", "0", (m[2] or m[3]))
+            last = bare.rsplit(None, 2)
+            return "point", DIGITS.sub("0", last[-2] if len(last) > 1 else last[-1])
         return "stop", ""
     if line.endswith((":", "：")):
         return "colon", ":"
@@ -70,7 +71,7 @@ def broken(text: str) -> str | None:
     t = text.rstrip()
     if t.endswith(("\ufffd",)) or t and 0xD800 <= ord(t[-1]) <= 0xDFFF:
         return "multibyte"
-    if MARKS.search(t):
+    if MARKS.search(t[-40:]):
         return "mark"
     tail = t[-2000:] if t.rfind("<!--") < len(t) - 2000 else t[t.rfind("<!--") :]
     if HALF_TAG.search(tail):
@@ -116,7 +117,7 @@ def _hash(*parts: str) -> int:
 
 
 _SCHEMA = pa.schema([("key", pa.int64()), ("source", pa.string()), ("found", pa.string()), ("kind", pa.string()), ("sig", pa.int64()), ("text_hash", pa.int64()), ("inner", pa.list_(pa.int64()))])
-_SENTENCE_POINT = re.compile(r"(\S+)\s+\S*\d[.]\s+(?=[A-Z가-힣(\"“])")
+_SENTENCE_POINT = re.compile(r"\d[.]\s+(?=[A-Z가-힣(\"“])")
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +137,11 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     x, s = ending(line)
                     if x in ("item", "point", "tag"):
                         inner.append(_hash(x, s))
-            inner += [_hash("point", m[1]) for m in _SENTENCE_POINT.finditer(text)]
+            for m in _SENTENCE_POINT.finditer(text):
+                # the word before the number; words longer than this are no baseline
+                word = text[max(0, m.start() - 120) : m.start() + 1].rsplit(None, 2)
+                if len(word) > 1:
+                    inner.append(_hash("point", DIGITS.sub("0", word[-2])))
             rows.append((k, source, found, kind, _hash(kind, sig), _hash(text), inner))
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SCHEMA)] if rows else [pa.array([], f.type) for f in _SCHEMA], schema=_SCHEMA)
 
