@@ -15,6 +15,7 @@ import base64
 import heapq
 import io
 import os
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -32,7 +33,7 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words in the lexicon at most; a speed parameter without influence on results.
 LEXICON_WORDS = 40_000
-#: Words a worker remembers before it starts anew; bounds its memory.
+#: Pieces of text a worker remembers before it starts anew; bounds its memory.
 MEMO_WORDS = 300_000
 
 _STATE: dict = {}
@@ -171,41 +172,75 @@ class Lexicon:
         return out
 
 
+#: White space beside a blank: such a text is cut by the word rule itself.
+_UNSAFE = re.compile(r" \s|\s ")
+
+
+class _Places(dict):
+    """Unit to number; a unit met for the first time gets the next one and waits to be learnt."""
+
+    def __init__(self, lead: str, waiting: list[str], first: list[int]):
+        super().__init__()
+        self.lead, self.waiting, self.next = lead, waiting, first
+
+    def __missing__(self, unit: str) -> int:
+        n = self[unit] = self.next[0]
+        self.next[0] += 1
+        self.waiting.append(self.lead + unit)
+        return n
+
+
 class Encoder:
-    """Texts to ids; what it learnt about words stays in the worker as flat arrays of ids."""
+    """Texts to ids; what it learnt stays in the worker as flat arrays of ids.
+
+    No word reaches over a blank between two other characters, and a word that follows one starts with it. So
+    a text without white space beside a blank is cut at its blanks, and each piece is encoded by itself, once.
+    """
 
     def __init__(self, vocabulary: str, lexicon: str | None):
         self.rank, self.lex, self.split = ranks(vocabulary), Lexicon(lexicon) if lexicon else None, splitter()
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}
+        self.waiting: list[str] = []
+        self.next = [0]
+        self.bare, self.after = _Places("", self.waiting, self.next), _Places(" ", self.waiting, self.next)
         self.start, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self) -> None:
+        cut = [self.split(u) for u in self.waiting]
+        words = list({w for ws in cut for w in ws})
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
         known = self.lex.find(raw) if self.lex else [None] * len(raw)
-        new = [merge(b, self.rank) if ids is None else ids for b, ids in zip(raw, known)]
-        first = len(self.place)
-        self.place.update(zip(words, range(first, first + len(words))))
+        ids = {w: merge(b, self.rank) if i is None else i for w, b, i in zip(words, raw, known)}
+        new = [[i for w in ws for i in ids[w]] for ws in cut]
         size = np.fromiter(map(len, new), np.int64, len(new))
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
         self.ids = np.concatenate([self.ids, np.fromiter((i for x in new for i in x), np.int32, int(size.sum()))])
+        self.waiting.clear()
 
     def _words(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(number of every word, words of each text)."""
-        cut = [self.split(t) if t else [] for t in texts]
-        place = self.place
-        new = {w for ws in cut for w in ws if w not in place}
-        if len(place) + len(new) > MEMO_WORDS:
+        """(number of every unit, units of each text)."""
+        if self.next[0] > MEMO_WORDS:
             self._forget()
-            place = self.place
-            new = {w for ws in cut for w in ws}
-        if new:
-            self._learn(list(new))
-        counts = np.fromiter(map(len, cut), np.int64, len(cut))
-        return np.fromiter((place[w] for ws in cut for w in ws), np.int64, int(counts.sum())), counts
+        bare, after = self.bare.__getitem__, self.after.__getitem__
+        out: list[int] = []
+        counts = np.zeros(len(texts), np.int64)
+        for i, t in enumerate(texts):
+            if not t:
+                continue
+            n = len(out)
+            if _UNSAFE.search(t):
+                out.extend(map(bare, self.split(t)))
+            else:
+                parts = t.split(" ")
+                out.append(bare(parts[0]))
+                out.extend(map(after, parts[1:]))
+            counts[i] = len(out) - n
+        if self.waiting:
+            self._learn()
+        return np.array(out, np.int64), counts
 
     def encode(self, texts: list[str | None]) -> pa.ListArray:
         words, counts = self._words(texts)
@@ -235,21 +270,27 @@ TEXTS = 1000
 
 
 def word_counts(df: DataFrame, text: str) -> DataFrame:
-    """(word, n) over all texts; each task counts for itself first, in bounded memory."""
+    """(word, n) over all texts; each task counts for itself first, in bounded memory. White space between words
+    is not counted, which only matters for what the lexicon holds."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, c = splitter(), Counter()
+        split, pieces = splitter(), Counter()
 
         def flush():
+            c = Counter()
+            for p, n in pieces.items():
+                for w in split(" " + p):
+                    c[w] += n
+            pieces.clear()
             return pa.RecordBatch.from_pydict({"word": pa.array([w.encode("utf-8", "surrogatepass") for w in c], pa.binary()), "n": pa.array(list(c.values()), pa.int64())})
 
         for b in batches:
             for t in b.column(0).to_pylist():
-                c.update(split(t))
-            if len(c) > MEMO_WORDS:
+                # pieces between blanks are counted first and cut into words once each
+                pieces.update(t.split(" "))
+            if len(pieces) > MEMO_WORDS:
                 yield flush()
-                c.clear()
-        if c:
+        if pieces:
             yield flush()
 
     return df.select(text).filter(F.length(text) > 0).mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
