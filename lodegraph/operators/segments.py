@@ -17,6 +17,11 @@ GRAMMAR = {
 }
 
 
+def strip(text: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def markers(df: DataFrame, kind: str, text: str = "text") -> DataFrame:
     """A row for each marker of a kind: marker_no, start_pos, end_pos (characters from 0) and its fields.
 
@@ -44,11 +49,11 @@ def sections_of(df: DataFrame, file: str = "file", text: str = "text", joined_ga
     m = markers(df.select(file, text), "SECTION", text).drop("title", "department", "chapter")
     w = Window.partitionBy(file).orderBy("start_pos")
     m = m.join(df.select(file, text), file).withColumn("next", F.lead("start_pos").over(w)).withColumn("prev_end", F.lag("end_pos").over(w))
-    between = F.length(F.trim(F.expr(f"substring({text}, prev_end + 1, start_pos - prev_end)")))
+    between = F.length(strip(F.expr(f"substring({text}, prev_end + 1, start_pos - prev_end)")))
     m = m.withColumn("new", F.when(F.col("prev_end").isNull() | (between > joined_gap), 1).otherwise(0)).withColumn("group", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     body = F.expr(f"substring({text}, end_pos + 1, coalesce(next, length({text})) - end_pos)")
     last = m.withColumn("body", body)
-    return last.groupBy(file, "group").agg(F.array_sort(F.collect_list(F.struct("start_pos", "section_id"))).alias("s"), F.max_by("body", "start_pos").alias("raw_text")).select(file, "group", F.col("s.section_id").alias("section_ids"), F.trim("raw_text").alias("raw_text"))
+    return last.groupBy(file, "group").agg(F.array_sort(F.collect_list(F.struct("start_pos", "section_id"))).alias("s"), F.max_by("body", "start_pos").alias("raw_text")).select(file, "group", F.col("s.section_id").alias("section_ids"), strip(F.col("raw_text")).alias("raw_text"))
 
 
 def spread_text(groups: DataFrame, titles: DataFrame) -> DataFrame:
@@ -70,7 +75,7 @@ def spread_text(groups: DataFrame, titles: DataFrame) -> DataFrame:
     begin = F.when(F.col("start") == F.col("first"), F.lit(1)).otherwise(F.col("start"))
     part = F.when(F.col("n") == 0, F.when(F.col("ord") == F.col("last"), F.col("raw_text")).otherwise("")).when(F.col("start").isNull(), "").otherwise(F.expr("substring(raw_text, 1, length(raw_text))"))
     s = s.withColumn("begin", begin).withColumn("part", part)
-    cutout = F.expr("trim(substring(raw_text, begin, coalesce(next, length(raw_text) + 1) - begin))")
+    cutout = strip(F.expr("substring(raw_text, begin, coalesce(next, length(raw_text) + 1) - begin)"))
     return s.withColumn("part", F.when((F.col("n") > 0) & F.col("start").isNotNull(), cutout).otherwise(F.col("part"))).select("file", "group", "section_id", "part")
 
 
