@@ -34,7 +34,7 @@ CLOSE = {b: a for a, b in OPEN.items()}
 VOID = {"br", "hr", "img", "input", "meta", "link", "col", "wbr", "p", "li", "td", "th", "tr", "dt", "dd", "option"}
 # Marks put behind a cut.
 MARKS = re.compile(r"(?:…|\.{3,}|⋯|‥|\[(?:\.{3}|…|truncated|cut|more|계속|생략|중략|이하 ?생략)\]|\((?:계속|continued|truncated|중략)\)|(?:-{2,}|>{2,}|»))$", re.I)
-HALF_TAG = re.compile(r"</?[A-Za-z][^<>]*$|<[/!]?$|<!--(?:(?!-->).)*$", re.S)
+HALF_TAG = re.compile(r"(?:</?[A-Za-z][^<>]*|<[/!]?)$")
 HALF_ESCAPE = re.compile(r"&(?:#\d{0,6}|#x[0-9A-Fa-f]{0,6}|[A-Za-z]{2,8})$|\\(?:u[0-9A-Fa-f]{0,3}|x[0-9A-Fa-f]?)?$|(?<![0-9])%[0-9A-Fa-f]?$")
 TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9]*)(?:\s[^<>]*)?(/?)>")
 TOKEN = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9]*)(?:\s[^<>]*)?(/?)>|[()\[\]{}「」『』《》【】“”‘’]|\n\s*\n")
@@ -73,8 +73,9 @@ def broken(text: str) -> str | None:
         return "multibyte"
     if MARKS.search(t[-40:]):
         return "mark"
-    tail = t[-2000:] if t.rfind("<!--") < len(t) - 2000 else t[t.rfind("<!--") :]
-    if HALF_TAG.search(tail):
+    # an element or a comment that the text ends inside of
+    last = t.rfind("<")
+    if last >= 0 and (HALF_TAG.match(t, last) or t.rfind("<!--") > t.rfind("-->")):
         return "tag"
     if HALF_ESCAPE.search(t[-12:]):
         return "escape"
