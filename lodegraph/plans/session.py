@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -23,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
         return jsc.getCheckpointDir().get()
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="lodegraph-")
     spark.sparkContext.setCheckpointDir(folder)
