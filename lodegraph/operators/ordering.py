@@ -2,36 +2,88 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from lodegraph.plans.session import cut
 
 
+_POS = (1 << 33) - 1
+
+
+def _ranged(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """Rows sorted by (by, order) over range partitions, with __part and __pos, written to the shared folder.
+
+    A key of any size is spread over as many parts as it fills, so no task gets a hot key whole.
+    """
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
+    d = df.repartitionByRange(parts, *by, *order).sortWithinPartitions(*by, *order).withColumn("__m", F.monotonically_increasing_id())
+    return cut(d).withColumns({"__part": F.shiftright("__m", 33), "__pos": F.col("__m").bitwiseAND(F.lit(_POS))}).drop("__m")
+
+
+def _within(by: list[str]):
+    return Window.partitionBy("__part", *by).orderBy("__pos")
+
+
+def _carried(d: DataFrame, by: list[str], cols: list[str], combine) -> DataFrame:
+    """``d`` with ``in_<col>``: what the parts before hand on to a row's key, null if nothing.
+
+    ``cols`` are running values; of each part only those at its last row are collected, one row a part.
+    """
+    spark = d.sparkSession
+    ends = d.groupBy("__part").agg(F.max_by(F.struct(*by, *cols), "__pos").alias("s"))
+    key, state, rows = None, None, []
+    for r in sorted(ends.collect(), key=lambda r: r[0]):
+        if key is not None:
+            rows.append((r[0], *key, *state))
+        k, v = tuple(r.s[c] for c in by), [r.s[c] for c in cols]
+        state = [combine(old, new) for old, new in zip(state, v)] if k == key else v
+        key = k
+    names = ["__part", *[f"__k{i}" for i in range(len(by))], *[f"in_{c}" for c in cols]]
+    types = [d.schema["__part"].dataType, *[d.schema[c].dataType for c in by], *[d.schema[c].dataType for c in cols]]
+    table = spark.createDataFrame(rows, T.StructType([T.StructField(n, t) for n, t in zip(names, types)]))
+    same = F.lit(True)
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"__k{i}"))
+    got = d.join(F.broadcast(table), "__part", "left")  # one row a part
+    return got.withColumns({f"in_{c}": F.when(same, F.col(f"in_{c}")) for c in cols}).drop(*[f"__k{i}" for i in range(len(by))])
+
+
+def _newer(old, new):
+    return old if new is None else new
+
+
+def carry_forward(df: DataFrame, by: list[str], order: list[str], cols: list[str]) -> DataFrame:
+    """Fill nulls of ``cols`` with the last value before, within ``by``; ``order`` is a total order."""
+    d = _ranged(df, by, order)
+    d = d.withColumns({c: F.last(c, ignorenulls=True).over(_within(by).rowsBetween(Window.unboundedPreceding, 0)) for c in cols})
+    d = _carried(d, by, cols, _newer)
+    return d.select(*[F.coalesce(c, f"in_{c}").alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
 def asof_join(left: DataFrame, right: DataFrame, by: list[str], on: str, value: list[str], prefix: str = "asof_") -> DataFrame:
     """Each left row with the values of the last right row of the same ``by`` whose ``on`` is not later.
 
-    One shuffle on ``by`` for both sides; no pair of rows is ever formed. Left rows without a match get nulls.
+    Both sides are merged in order and the right side's values carried forward; no pair of rows is ever formed.
+    Left rows without a match get nulls; of right rows at the same point one of the last values is taken.
     """
     a = left.withColumn("__side", F.lit(1)).withColumn("__v", F.lit(None).cast("struct<" + ",".join(f"{c}:{right.schema[c].dataType.simpleString()}" for c in value) + ">"))
     b = right.select(*[F.col(c) for c in by], F.col(on), F.struct(*value).alias("__v")).withColumn("__side", F.lit(0))
-    both = a.unionByName(b, allowMissingColumns=True)
-    w = Window.partitionBy(*by).orderBy(on, "__side").rowsBetween(Window.unboundedPreceding, 0)
-    got = both.withColumn("__last", F.last("__v", ignorenulls=True).over(w)).filter("__side = 1")
-    return got.select(*left.columns, *[F.col(f"__last.{c}").alias(f"{prefix}{c}") for c in value])
+    got = carry_forward(a.unionByName(b, allowMissingColumns=True), by, [on, "__side", "__v"], ["__v"]).filter("__side = 1")
+    return got.select(*left.columns, *[F.col(f"__v.{c}").alias(f"{prefix}{c}") for c in value])
 
 
 def islands(df: DataFrame, by: list[str], order: list[str], gap: Column, name: str = "island") -> DataFrame:
-    """Number runs of rows: a row for which ``gap`` (may use lag columns ``prev_<order[0]>``) holds starts a new one."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    d = df.withColumn(f"prev_{order[0]}", F.lag(order[0]).over(w))
-    d = d.withColumn("__new", F.when(F.col(f"prev_{order[0]}").isNull() | gap, 1).otherwise(0))
-    return d.withColumn(name, F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__new", f"prev_{order[0]}")
-
+    """Number runs of rows: a row for which ``gap`` (may use ``prev_<order[0]>``) holds starts a new one.
 
-def carry_forward(df: DataFrame, by: list[str], order: list[str], cols: list[str]) -> DataFrame:
-    """Fill nulls of ``cols`` with the last value before."""
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
+    ``order`` is a total order whose first column is not null.
+    """
+    x, prev = order[0], f"prev_{order[0]}"
+    d = _carried(_ranged(df, by, order), by, [x], _newer)
+    d = d.withColumn(prev, F.coalesce(F.lag(x).over(_within(by)), f"in_{x}")).drop(f"in_{x}")
+    d = d.withColumn("__new", F.when(F.col(prev).isNull() | gap, 1).otherwise(0).cast("bigint"))
+    d = d.withColumn("__sum", F.sum("__new").over(_within(by).rowsBetween(Window.unboundedPreceding, 0)))
+    d = _carried(d, by, ["__sum"], lambda old, new: old + new)
+    return d.select(*df.columns, (F.col("__sum") + F.coalesce("in___sum", F.lit(0))).alias(name))
 
 
 def global_row_number(df: DataFrame, order: list[str], name: str = "row_no") -> DataFrame:
@@ -50,7 +102,7 @@ def global_row_number(df: DataFrame, order: list[str], name: str = "row_no") ->
         offset[p] = total
         total += n
     base = F.create_map(*[F.lit(x) for kv in offset.items() for x in kv])[part] if offset else F.lit(0)
-    return placed.withColumn(name, base + F.col("__m").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("__m")
+    return placed.withColumn(name, base + F.col("__m").bitwiseAND(F.lit(_POS)) + 1).drop("__m")
 
 
 def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

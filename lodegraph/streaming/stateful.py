@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from lodegraph.operators.ordering import carry_forward
+
 WINDOW_US, MOST = 60_000_000, 10
 
 
@@ -70,8 +72,7 @@ def windowed_counts(df: DataFrame, at: str, by: list[str], size: str, late: str
 
 def session_state(df: DataFrame, by: str, order: list[str], cols: list[str]) -> DataFrame:
     """What a conversation has settled so far: the last value of each column up to and with each turn."""
-    w = Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumns({f"last_{c}": F.last(c, ignorenulls=True).over(w) for c in cols})
+    return carry_forward(df.withColumns({f"last_{c}": F.col(c) for c in cols}), [by], order, [f"last_{c}" for c in cols])
 
 
 def last_turns(value: Column, by: str, order: list[str], n: int = 5) -> Column:

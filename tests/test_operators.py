@@ -3,7 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from lodegraph.functions import external
 from lodegraph.operators import normalise, ordering, retrieval, segments, skew, tables, texts
@@ -65,6 +65,31 @@ def test_global_row_number(spark):
     assert ordering.global_row_number(d.limit(0), ["v"]).count() == 0
 
 
+def test_windows_over_hot_keys_follow_the_order(spark):
+    """A key that fills many parts gives what a plain window gives."""
+    import random
+
+    r = random.Random(1)
+    rows = [(None if i % 97 == 0 else "hot" if r.random() < 0.7 else f"k{i % 5}", i, r.choice([None, None, i])) for i in range(3000)]
+    d = spark.createDataFrame(rows, "k string, t long, v long").repartition(7)
+    w = Window.partitionBy("k").orderBy("t")
+    want = {x.t: x.v for x in d.withColumn("v", F.last("v", ignorenulls=True).over(w)).collect()}
+    assert {x.t: x.v for x in ordering.carry_forward(d, ["k"], ["t"], ["v"]).collect()} == want
+    gap = (F.col("t") - F.col("prev_t")) > 2
+    flags = d.withColumn("prev_t", F.lag("t").over(w)).withColumn("n", F.when(F.col("prev_t").isNull() | gap, 1).otherwise(0))
+    runs = {x.t: x.i for x in flags.withColumn("i", F.sum("n").over(w)).collect()}
+    assert {x.t: x.island for x in ordering.islands(d, ["k"], ["t"], gap).collect()} == runs
+    left, right = d.filter("t % 3 = 0").drop("v"), d.filter("t % 3 = 1").select("k", "t", F.col("t").alias("u"))
+    got = {x.t: x.asof_u for x in ordering.asof_join(left, right, ["k"], "t", ["u"]).collect()}
+    last = {}
+    for k, t, _ in rows:
+        if t % 3 == 1:
+            last[k] = t
+        elif t % 3 == 0:
+            assert got[t] == last.get(k)
+    assert ordering.carry_forward(d.limit(0), ["k"], ["t"], ["v"]).count() == 0
+
+
 def test_lookup_join_with_hot_and_null_keys(spark):
     rows = spark.createDataFrame([("h", i) for i in range(900)] + [("k%d" % i, i) for i in range(90)] + [(None, 1)], "k string, v int")
     look = spark.createDataFrame([("h", "H"), ("k1", "K")], "k string, w string")
