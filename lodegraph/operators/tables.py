@@ -129,6 +129,7 @@ def composite_headers(grid: Column, depth: Column) -> Column:
 
 def is_note_row(row: Column) -> Column:
     """Note marks, circled numbers, a leading dash, remarks; a lone cell that is long, a code line or a section title."""
+    # fixed values: the marks of notes, code lines and section titles
     text = F.trim(F.array_join(row, " "))
     cells = F.filter(row, lambda x: F.trim(x) != "")
     one = F.get(cells, F.lit(0))

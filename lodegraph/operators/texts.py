@@ -6,10 +6,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lodegraph.operators.tables import split_rows
 
+# The patterns of notes and circled numbers.
 NOTE_BLOCK = r"(?s)\[주\]\s*\n(.*?)(?=\n\n(?!\s*[①-⑩])|\n(?=\d+-\d+)|\z)"
 CIRCLED = "①②③④⑤⑥⑦⑧⑨⑩⑪⑫⑬⑭⑮"
 
 
+# The patterns of a revision mark and of a basis.
+REVISION = r"\('?(\d{2,4})(?:,\s*'?\d{2,4})*년\s*보완\)"
+UNIT_BASIS = r"\(([^)]*당)\)"
+
+
 def notes(text: Column) -> Column:
     """Items of the note blocks, without their circled numbers."""
     blocks = F.regexp_extract_all(text, F.lit(NOTE_BLOCK), F.lit(1))
@@ -30,6 +36,7 @@ def rates(text: Column) -> Column:
     return F.transform(hits, lambda x: F.struct(F.trim(F.regexp_extract(x, pattern, 1)).alias("condition"), F.concat(F.regexp_extract(x, pattern, 2), F.lit("%")).alias("rate"), kind(x).alias("type")))
 
 
+# Fixed value: the pattern of a cross reference.
 CROSS_REF = r"(?:제(\d+)장\s+)?(\d+-\d+(?:-\d+)?)\s*(?:항?\s*)?(?:참조|준용|적용|따른다)"
 
 
@@ -40,12 +47,12 @@ def cross_references(text: Column) -> Column:
 
 def revision_year(text: Column) -> Column:
     """First year of a revision mark; two digits below 50 are of this century. Blank if there is none."""
-    y = F.regexp_extract(text, r"\('?(\d{2,4})(?:,\s*'?\d{2,4})*년\s*보완\)", 1)
+    y = F.regexp_extract(text, REVISION, 1)
     return F.when(F.length(y) == 2, F.concat(F.when(y.try_cast("int") < 50, "20").otherwise("19"), y)).otherwise(y)
 
 
 def unit_basis(text: Column) -> Column:
-    return F.regexp_extract(text, r"\(([^)]*당)\)", 1)
+    return F.regexp_extract(text, UNIT_BASIS, 1)
 
 
 def clean_text(text: Column) -> Column:
