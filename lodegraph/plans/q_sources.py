@@ -188,7 +188,7 @@ _PAGE = r"<!-- PAGE (\d+) \| (.+?) -->"
 def _positions(pattern: str) -> str:
     """SQL for the matches of a pattern with their offsets, by cutting the text at the matches."""
     return f"""WITH m AS (SELECT chunk_id, text, regexp_extract_all(text, '{pattern}', 0) AS hits, regexp_split_to_array(text, '{pattern}') AS parts FROM graph_chunks WHERE regexp_matches(text, '{pattern}')),
-    x AS (SELECT chunk_id, hits[i] AS hit, i AS marker_no,
+    x AS (SELECT chunk_id, hits[i] AS hit, CAST(i AS INT) AS marker_no,
         CAST(list_sum(list_transform(parts[1:i], lambda p: length(p))) + coalesce(list_sum(list_transform(hits[1:i-1], lambda p: length(p))), 0) AS INT) AS start_pos
         FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM m))"""
 

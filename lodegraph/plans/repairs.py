@@ -92,4 +92,18 @@ SQL = {
         UNION ALL
         SELECT DISTINCT 'graph_relationships', CAST(row_id AS BIGINT), end_name FROM g LEFT JOIN st_id s ON s.k = g.k
         WHERE g.k <> '' AND (s.born IS NULL OR s.born > g.created_at)""",
+    "p6_report": """
+        WITH RECURSIVE st_id AS (SELECT id AS k, min(CASE WHEN coalesce(is_active, true) THEN created_at END) AS born FROM graph_entities GROUP BY 1),
+        st_name AS (SELECT type, name, min(CASE WHEN coalesce(is_active, true) THEN created_at END) AS born FROM graph_entities GROUP BY 1, 2),
+        r AS (SELECT rel_id AS row_id, 'source' AS end_name, source_type AS t, source AS n, created_at AS ts FROM relationships UNION ALL SELECT rel_id, 'target', target_type, target, created_at FROM relationships),
+        g AS (SELECT CAST(id AS BIGINT) AS row_id, 'source' AS end_name, source_id AS k, created_at AS ts FROM graph_relationships UNION ALL SELECT id, 'target', target_id, created_at FROM graph_relationships),
+        dr AS (SELECT 'relationships' AS table_name, row_id, end_name, ts, CASE WHEN s.name IS NULL THEN 'missing' WHEN born IS NULL THEN 'deleted' WHEN born > ts THEN 'later' END AS reason, n AS k FROM r LEFT JOIN st_name s ON s.type = r.t AND s.name = r.n WHERE n <> ''),
+        dg AS (SELECT 'graph_relationships' AS table_name, row_id, end_name, ts, CASE WHEN s.k IS NULL THEN 'missing' WHEN born IS NULL THEN 'deleted' WHEN born > ts THEN 'later' END AS reason, g.k FROM g LEFT JOIN st_id s ON s.k = g.k WHERE g.k <> ''),
+        direct AS (SELECT * FROM dr WHERE reason IS NOT NULL UNION ALL SELECT * FROM dg WHERE reason IS NOT NULL),
+        links AS (SELECT DISTINCT source_id AS child, target_id AS parent FROM graph_relationships WHERE relation = 'BELONGS_TO' AND source_id <> target_id UNION SELECT target_id, source_id FROM graph_relationships WHERE relation = 'HAS_CHILD' AND source_id <> target_id),
+        gone AS (SELECT DISTINCT k FROM dg WHERE reason IN ('missing', 'deleted')),
+        below AS (SELECT child AS k FROM links WHERE parent IN (SELECT k FROM gone) UNION SELECT child FROM links JOIN below ON parent = below.k),
+        inh AS (SELECT 'graph_relationships' AS table_name, row_id, end_name, ts, 'inherited' AS reason FROM g WHERE g.k IN (SELECT k FROM below WHERE k NOT IN (SELECT k FROM gone)) AND g.k <> '' AND NOT EXISTS (SELECT 1 FROM dg WHERE dg.reason IS NOT NULL AND dg.row_id = g.row_id AND dg.end_name = g.end_name)),
+        u AS (SELECT DISTINCT table_name, row_id, end_name, reason, strftime(ts, '%Y-%m') AS month FROM (SELECT table_name, row_id, end_name, ts, reason FROM direct UNION ALL SELECT * FROM inh))
+        SELECT table_name, month, count(*) FILTER (reason <> 'inherited') AS direct, count(*) FILTER (reason = 'missing') AS missing, count(*) FILTER (reason = 'deleted') AS deleted, count(*) FILTER (reason = 'later') AS later, count(*) FILTER (reason = 'inherited') AS inherited FROM u GROUP BY 1, 2""",
 }
