@@ -94,7 +94,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (p1_found, p1_clean, p2_found, p2_forms, p3_found, p3_pieces, p4_found, p4_records, p7_found, p7_neighbours, p8_ids, p9_containers, p10_found, p10_sources)
 }
 
+
+
+def _canon(c: str) -> str:
+    """The visual form in SQL for what the test tables hold: widths, look-alikes, ligatures, unit signs, spaces."""
+    one = {chr(0xFF01 + i): chr(0x21 + i) for i in range(94)} | {a: b for a, b in canonical.LOOKALIKE.items() if len(b) == 1}
+    one |= {h: "-" for h in canonical.HYPHENS} | {chr(x): " " for x in (0xA0, 0x1680, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000)}
+    quote = lambda x: x.replace("'", "''")
+    t = f"translate(regexp_replace({c}, '[\\x{{AD}}\\x{{200B}}-\\x{{200F}}\\x{{202A}}-\\x{{202E}}\\x{{2060}}-\\x{{206F}}\\x{{FEFF}}]', '', 'g'), '{quote(''.join(one))}', '{quote(''.join(one.values()))}')"
+    for a, b in {"ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff", "Ⅱ": "II", "Ⅰ": "I", "Ⅲ": "III", "㎝": "cm", "㎜": "mm", "㎞": "km", "㎏": "kg", "㎡": "m²", "㎥": "m³", "㎠": "cm²", "㎾": "kW", "㎖": "ml"}.items():
+        t = f"replace({t}, '{a}', '{b}')"
+    return f"lower(nfc_normalize({t}))"
+
+
+# points between digits and minus signs before a number become marks before all other signs go
+_POINTS = lambda t: f"regexp_replace(regexp_replace({t}, '([0-9])\\.([0-9])', '\\1§\\2', 'g'), '([0-9])\\.([0-9])', '\\1§\\2', 'g')"
+_PLAIN = lambda c: f"regexp_replace({_POINTS(_canon(f'coalesce({c}, chr(32))'))}, '[^\\p{{L}}\\p{{N}}\\p{{M}}§]', '', 'g')"
+_LIST = f"""array_to_string(list_sort(list_filter(list_transform(regexp_split_to_array(regexp_replace({_POINTS(_canon("coalesce(spec, '')"))}, '\\s*[=:]\\s*', '=', 'g'), '[;,|/\\n\\t]+'), lambda x: regexp_replace(regexp_replace(regexp_replace(x, '=-([0-9])', '=¶\\1', 'g'), '^\\s*-([0-9])', '¶\\1'), '[^\\p{{L}}\\p{{N}}\\p{{M}}=§¶]', '', 'g')), lambda x: regexp_matches(x, '[\\p{{L}}\\p{{N}}]'))), ';')"""
+_KEYS = f"k AS (SELECT row_id, {_PLAIN('type')} AS t, {_PLAIN('normalized_name')} AS n, {_LIST} AS s FROM entities)"
+
 SQL: dict[str, str] = {
     # an independent reading of the size rule
     "p3_found": "SELECT DISTINCT chunk_id FROM graph_chunks WHERE ceil(length(text) / 2.0) > 2000",
+    # canonical keys written independently in SQL
+    "p4_found": f"WITH {_KEYS}, m AS (SELECT row_id, min(row_id) OVER (PARTITION BY t, n, s) AS keep FROM k) SELECT DISTINCT keep AS keep_row_id, row_id AS copy_row_id FROM m WHERE keep <> row_id",
+    "p4_records": f"WITH {_KEYS} SELECT min(row_id) AS keep_row_id, count(*) AS n_copies FROM k GROUP BY t, n, s",
 }
