@@ -96,7 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 
-def _canon(c: str) -> str:
+def _visual(c: str) -> str:
     """The visual form in SQL for what the test tables hold: widths, look-alikes, ligatures, unit signs, spaces."""
     one = {chr(0xFF01 + i): chr(0x21 + i) for i in range(94)} | {a: b for a, b in canonical.LOOKALIKE.items() if len(b) == 1}
     one |= {h: "-" for h in canonical.HYPHENS} | {chr(x): " " for x in (0xA0, 0x1680, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000)}
@@ -104,7 +104,19 @@ def _canon(c: str) -> str:
     t = f"translate(regexp_replace({c}, '[\\x{{AD}}\\x{{200B}}-\\x{{200F}}\\x{{202A}}-\\x{{202E}}\\x{{2060}}-\\x{{206F}}\\x{{FEFF}}]', '', 'g'), '{quote(''.join(one))}', '{quote(''.join(one.values()))}')"
     for a, b in {"ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff", "Ⅱ": "II", "Ⅰ": "I", "Ⅲ": "III", "㎝": "cm", "㎜": "mm", "㎞": "km", "㎏": "kg", "㎡": "m²", "㎥": "m³", "㎠": "cm²", "㎾": "kW", "㎖": "ml"}.items():
         t = f"replace({t}, '{a}', '{b}')"
-    return f"lower(nfc_normalize({t}))"
+    return f"nfc_normalize({t})"
+
+
+def _canon(c: str) -> str:
+    return f"lower({_visual(c)})"
+
+
+# the syntax of markup for an engine without look-around; it is held against each line, header, cell and note
+_MARKUP = "|".join([
+    r"</?[A-Za-z][A-Za-z0-9]*(\s[^<>\n]*)?/?>", r"</?[A-Za-z][A-Za-z0-9]*\s+[A-Za-z:-]+\s*=", r"</[A-Za-z]+", r"<!--|-->", r"&(amp;)*(#\d{1,6}|#[xX][0-9A-Fa-f]{1,5}|[A-Za-z][A-Za-z0-9]{1,30});", r"&(amp;)*(nbsp|amp|lt|gt|quot|apos|middot|times|deg|sup[123])\b",
+    r"^\s{0,3}#{2,6}\s", r"^\s{0,3}#\s+[^\d\s]", r"\*\*", r"__[^\s]|[^\s]__", r"~~", r"`", r"^\s*={3,}\s*$", r"^={1,6}\s?[^=].*[^=]\s?={1,6}\s*$", r"^\s{0,3}>\s", r"^\s*\|.*\|\s*$", r"^\s*\{\|", r"^\s*\|\}", r"^\s*\|-", r"^\s*!.*!!", r"^\s*\|.*\|\|", r"''", r"\[\[|\]\]|\{\{|\}\}", r"\[[^\]\n]*\]\([^)\n]*\)",
+    r"\\[A-Za-z]+", r"\\[%()\[\]$&#_{}]", r"\$\$", r"\$[^$\s]([^$\n]{0,200}[^$\s])?\$([^\d]|$)",
+]).replace("'", "''")
 
 
 # points between digits and minus signs before a number become marks before all other signs go
@@ -119,4 +131,13 @@ SQL: dict[str, str] = {
     # canonical keys written independently in SQL
     "p4_found": f"WITH {_KEYS}, m AS (SELECT row_id, min(row_id) OVER (PARTITION BY t, n, s) AS keep FROM k) SELECT DISTINCT keep AS keep_row_id, row_id AS copy_row_id FROM m WHERE keep <> row_id",
     "p4_records": f"WITH {_KEYS} SELECT min(row_id) AS keep_row_id, count(*) AS n_copies FROM k GROUP BY t, n, s",
+    "p1_found": f"""WITH l AS (SELECT chunk_id, 'text' AS field, unnest(string_split(text, chr(10))) AS x FROM graph_chunks WHERE text IS NOT NULL
+        UNION ALL SELECT chunk_id, 'tables', unnest(flatten(list_transform(tables, lambda t: list_concat(coalesce(t.headers, []), coalesce(t.notes_in_table, []), flatten(list_transform(t.rows, lambda r: list_concat(map_keys(r), list_transform(map_values(r), lambda c: c.s)))))))) FROM graph_chunks)
+        SELECT DISTINCT chunk_id, field FROM l WHERE regexp_matches(x, '(?m){_MARKUP}')""",
+    "p2_found": " UNION ".join(f"SELECT row_id, '{f}' AS field FROM entities WHERE {_visual(f)} <> {f}" for f in NAME_FIELDS),
+    "p2_forms": "SELECT row_id, " + ", ".join(f"{_visual(f)} AS {f}_visual, trim(regexp_replace({_canon(f)}, '\\s+', ' ', 'g')) AS {f}_key" for f in NAME_FIELDS) + " FROM entities",
+    # all pairs, which the small tables allow
+    "p7_found": """WITH v AS (SELECT DISTINCT 'graph_entities' AS table_name, id, CAST(embedding AS DOUBLE[]) AS e FROM graph_entities WHERE len(embedding) = 64 UNION SELECT 'graph_chunks', chunk_id, CAST(embedding AS DOUBLE[]) FROM graph_chunks WHERE len(embedding) = 64),
+        ok AS (SELECT * FROM v WHERE len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND list_sum(list_transform(e, lambda x: x * x)) > 0)
+        SELECT DISTINCT a.table_name, a.id AS id_a, b.id AS id_b FROM ok a JOIN ok b ON a.table_name = b.table_name AND a.id < b.id WHERE list_cosine_similarity(a.e, b.e) >= 0.9""",
 }
