@@ -2,15 +2,36 @@
 
 from __future__ import annotations
 
+import io
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give executors this package, once an application: a zip of its modules in the shared folder."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    root = Path(__file__).resolve().parent.parent
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    spark.sparkContext.addPyFile(write_bytes(spark, scratch(spark, root.name) + ".zip", buf.getvalue()))
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data folder; a table is a Parquet file or a folder of them."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
