@@ -41,6 +41,7 @@ TOKEN = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9]*)(?:\s[^<>]*)?(/?)>|[()\[\]{}「
 CLOSERS = "\"'”’」』》】)]*_~`"
 TERMINAL = ".!?。！？．"
 DIGITS = re.compile(r"\d+")
+CIRCLED = re.compile("[①-⑳]")
 #: a list item or table row: a mark, or a short line of words that ends in a number with its unit
 ITEM = re.compile(r"^\s*(?:[-*·•○●▪∙※]|\(?\d{1,3}[).]|[①-⑳]|[가-힣][.)]|[A-Za-z][.)])\s")
 
@@ -59,10 +60,12 @@ def ending(line: str) -> tuple[str, str]:
         return "colon", ":"
     if line.endswith(">") and TAG.search(line[line.rfind("<") :]):
         return "tag", re.sub(r"\s.*?(?=/?>)", "", line[line.rfind("<") :])
-    if ITEM.match(line):
+    if m := ITEM.match(line):
+        # kinds of marks end their items in their own ways: bullets on quantities, circled numbers on sentences
+        mark = CIRCLED.sub("①", DIGITS.sub("0", m[0].strip()))
         tail = re.search(r"(\d[\d.,]*)\s*([^\d\s,;]*)$", line)
         last = ("0" + (" " if re.search(r"\d\s+\S*$", line) else "") + tail[2]) if tail else line.split()[-1]
-        return "item", last
+        return "item", f"{mark} {last}"
     return "line", re.sub(r"\d+(?:[.,]\d+)*", "0", line.strip())
 
 
