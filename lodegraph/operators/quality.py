@@ -88,11 +88,14 @@ def foreign_sections(chunks: DataFrame, known: DataFrame) -> DataFrame:
     return x.filter(~kin).select("chunk_id", "foreign")
 
 
-def name_stage(name: Column, text: Column) -> Column:
-    """First way in which a name is found in a text without spaces and case: exact, without parentheses, without
-    numbers and units, all of its words, first 4 characters; null if none."""
-    flat = lambda c: F.lower(F.regexp_replace(c, r"\s+", ""))
-    t = flat(text)
+def flat(text: Column) -> Column:
+    """A text without spaces and case; of a text that many names are looked for in, work it out once."""
+    return F.lower(F.regexp_replace(text, r"\s+", ""))
+
+
+def name_stage(name: Column, t: Column) -> Column:
+    """First way in which a name is found in a flat text: exact, without parentheses, without numbers and units,
+    all of its words, first 4 characters; null if none."""
     bare = F.regexp_replace(name, r"\([^)]*\)", "")
     numberless = F.regexp_replace(bare, r"[\d.,]+\s*(?:mm|cm|m|kg|t|kW|%)?", "")
     words = F.filter(F.split(name, r"[\s()/·,]+"), lambda w: F.length(w) >= 2)

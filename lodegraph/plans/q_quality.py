@@ -120,7 +120,7 @@ def h24_isolated(spark: SparkSession, d: str) -> DataFrame:
 
 def h25_name_stages(spark: SparkSession, d: str) -> DataFrame:
     """How each entity's name is found in its chunk."""
-    c = _all_text(_c(spark, d)).groupBy(F.col("chunk_id").alias("source_chunk_id")).agg(F.max("all_text").alias("t"))
+    c = _all_text(_c(spark, d)).groupBy(F.col("chunk_id").alias("source_chunk_id")).agg(F.max("all_text").alias("t")).withColumn("t", Q.flat(F.col("t")))
     e = _e(spark, d).select("row_id", "name", "source_chunk_id").filter(F.col("name").rlike(r"^[\x20-\x7e가-힣]+$")).join(c, "source_chunk_id")
     return e.groupBy(F.coalesce(Q.name_stage(F.col("name"), F.col("t")), F.lit("none")).alias("stage")).agg(F.count(F.lit(1)).alias("n"))
 
