@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from lodegraph.plans.session import cut
+from lodegraph.plans.session import cut, shuffle_parts
 
 
 _POS = (1 << 33) - 1
@@ -15,7 +15,7 @@ def _ranged(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
 
     A key of any size is spread over as many parts as it fills, so no task gets a hot key whole.
     """
-    parts = max(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
+    parts = shuffle_parts(df.sparkSession)
     d = df.repartitionByRange(parts, *by, *order).sortWithinPartitions(*by, *order).withColumn("__m", F.monotonically_increasing_id())
     return cut(d).withColumns({"__part": F.shiftright("__m", 33), "__pos": F.col("__m").bitwiseAND(F.lit(_POS))}).drop("__m")
 
@@ -92,7 +92,7 @@ def global_row_number(df: DataFrame, order: list[str], name: str = "row_no") ->
     Rows are range-partitioned and sorted, the parts counted (one number a part goes to the driver), and each
     row gets its part's offset plus its place.
     """
-    parts = max(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
+    parts = shuffle_parts(df.sparkSession)
     placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__m", F.monotonically_increasing_id())
     placed = cut(placed)
     part = F.shiftright("__m", 33)

@@ -76,13 +76,24 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> str:
     return path
 
 
+#: Input below this size a core may be spread anew; beyond it a scan has partitions enough.
+SPREAD_BYTES = 32 << 20
+
+
+def shuffle_parts(spark: SparkSession) -> int:
+    """Partitions of an explicit shuffle: as set for the session, a core each at least."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give CPU-heavy Python stages one partition a core where the scan yields fewer.
 
-    A scan has fewer partitions than the cluster has cores only while the input is a few files of
-    some MB, so the shuffle this adds is bounded; a large input passes through untouched.
+    Only inputs that the optimizer's statistics put below SPREAD_BYTES a core are looked at (finding out
+    the number of partitions may run a plan's shuffles), so what this adds is bounded; larger ones pass
+    through untouched.
     """
     want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 > want:
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > want * SPREAD_BYTES or df.rdd.getNumPartitions() * 2 > want:
         return df
     return df.repartition(want)
