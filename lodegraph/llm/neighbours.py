@@ -5,8 +5,10 @@ indexed in and the next cells it is searched in. A cell is a shard; a cell of mo
 is several shards by hash of the vector, all of which are searched. Each shard builds one graph, answers its
 own vectors while they are inserted, then those that come from other cells.
 
-Equal vectors under several ids are indexed once: a task keeps the first id of a vector and links the others
-to it (a star, not all pairs of the group), before anything is shuffled.
+Equal vectors under several ids are indexed once. For pairs (``similar``) a task keeps the first id of a vector
+and links the others to it (a star, not all pairs of the group), before anything is shuffled. For the best of each
+asked id (``nearest``) a vector goes by its digest: it is asked if any of its ids is, searched once, and what it
+finds is given to all its asked ids, with the ids of the vectors found in place of the vectors.
 
 Defined results: vectors that are null, of another length, zero or with a null, NaN or infinite element take
 no part; rows of one id and vector are one; an id may have several different vectors; an id is never its own
@@ -16,6 +18,7 @@ neighbour.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -73,6 +76,50 @@ def similar(vectors: DataFrame, k: int, floor: float, probes: int | None = PROBE
     for, against all; ``probes`` None searches all cells. ``ef`` is the beam while graphs are built, ``search_ef``
     (the same unless given) that of searches in built graphs.
     """
+    placed = _placed(vectors, probes, queries, dim, cell, False)
+    met = _met(placed, k, floor, m, ef, search_ef, dim)
+    links = placed.filter("link is not null and link <> id").select("table_name", F.least("id", "link").alias("id_a"), F.greatest("id", "link").alias("id_b"), F.lit(1.0).alias("cosine"))
+    return met.unionByName(links).groupBy("table_name", "id_a", "id_b").agg(F.max("cosine").alias("cosine"))
+
+
+def nearest(vectors: DataFrame, k: int, queries: DataFrame, probes: int | None = PROBES, m: int = M, ef: int = EF, search_ef: int | None = None, dim: int = DIM, cell: int = CELL) -> DataFrame:
+    """(table_name, id, rank, other, cosine): the k best others of each asked id, ties by id.
+
+    ``queries`` is (table_name, id). All ids of one vector are neighbours of cosine 1.
+    """
+    placed = _placed(vectors, probes, queries, dim, cell, True)
+    # link is the vector's digest; each pair of a vector and an id once
+    members = cut(placed.groupBy("table_name", F.col("link").alias("vector"), "id").agg(F.max("ask").alias("ask")))
+    # one row; 1 unless an id has several vectors
+    each = members.groupBy("table_name", "id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first().n or 1
+    # so many entries hold k other ids, though an id be met once for each of its vectors
+    want = (k + 1) * each
+    one = placed.filter("v is not null").withColumn("id", F.col("link"))
+    pairs = _met(one, want, 2.0, m, ef, max(search_ef or ef, want), dim, ["table_name", "id"])
+    asked = members.filter("ask").select("table_name", "vector", "id")
+    # not a union of both directions, which would build the graphs twice
+    ways = F.array(*[F.struct(F.col(a).alias("vector"), F.col(b).alias("found")) for a, b in (("id_a", "id_b"), ("id_b", "id_a"))])
+    both = pairs.select("table_name", F.explode(ways).alias("way"), "cosine").select("table_name", "way.*", "cosine")
+    keys = asked.select("table_name", "vector").distinct()
+    # a pair is met from both sides if both are asked
+    both = both.join(keys, ["table_name", "vector"], "left_semi").groupBy("table_name", "vector", "found").agg(F.max("cosine").alias("cosine")).unionByName(keys.withColumns({"found": F.col("vector"), "cosine": F.lit(1.0)}))
+    # of ids of one vector only the first can be among the k best; the asked id itself may be one of them
+    w = Window.partitionBy("table_name", "vector").orderBy("id")
+    heads = members.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= k + 1).select("table_name", F.col("vector").alias("found"), "id")
+    best = F.array_sort(F.collect_list(F.struct((-F.least("cosine", F.lit(1.0))).alias("far"), "id")))
+    lists = both.join(heads, ["table_name", "found"]).groupBy("table_name", "vector").agg(F.slice(best, 1, want).alias("best"))
+    got = asked.join(lists, ["table_name", "vector"]).select("table_name", "id", F.explode("best").alias("b")).filter("b.id <> id")
+    got = got.groupBy("table_name", "id", F.col("b.id").alias("other")).agg((-F.min("b.far")).alias("cosine"))
+    w = Window.partitionBy("table_name", "id").orderBy(F.desc("cosine"), "other")
+    return got.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("table_name", "id", "rank", "other", "cosine")
+
+
+def _placed(vectors: DataFrame, probes: int | None, queries: DataFrame | None, dim: int, cell: int, digests: bool) -> DataFrame:
+    """(table_name, id, link, ask, v, cells): of the copies of a vector one a task has v and cells.
+
+    ``link`` of the others is that one's id. With ``digests`` it is the digest of the vector in every row, and v
+    and cells come again with the first asked copy of a task if the one before was not asked.
+    """
     vectors = vectors.select("table_name", F.col("id").cast("string").alias("id"), "embedding").filter("id is not null and embedding is not null")
     cells = fit_cells(vectors, dim, cell)
     spark = vectors.sparkSession
@@ -85,6 +132,7 @@ def similar(vectors: DataFrame, k: int, floor: float, probes: int | None = PROBE
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One row a vector with its cells, best first; further ids of a vector of this task become links."""
         first: dict[tuple[str, bytes], str] = {}
+        asked: set[tuple[str, str]] = set()
         for b in batches:
             names, ids, ask = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(3).to_pylist()
             rows, x = unit_vectors(b.column(2), dim)
@@ -101,26 +149,44 @@ def similar(vectors: DataFrame, k: int, floor: float, probes: int | None = PROBE
                 best.update(zip(at, near.astype("i4")))
             for i, r in enumerate(rows):
                 v = x[i].tobytes()
-                old = first.setdefault((names[r], v), ids[r])
-                new = old is ids[r]
-                if not new and old == ids[r]:
-                    continue  # the same row again
+                if digests:
+                    link = blake2b((x[i] + 0.0).tobytes(), digest_size=16).hexdigest()
+                    key = (names[r], link)
+                    new = key not in first or bool(ask[r]) and key not in asked
+                    first.setdefault(key, link)
+                    if ask[r]:
+                        asked.add(key)
+                else:
+                    old = first.setdefault((names[r], v), ids[r])
+                    new = old is ids[r]
+                    if not new and old == ids[r]:
+                        continue  # the same row again
+                    link = None if new else old
                 got["table_name"].append(names[r])
                 got["id"].append(ids[r])
-                got["link"].append(None if new else old)
+                got["link"].append(link)
                 got["ask"].append(bool(ask[r]))
                 got["v"].append(v if new else None)
                 got["cells"].append(best[i] if new else None)
             yield pa.RecordBatch.from_arrays([pa.array(got["table_name"], pa.string()), pa.array(got["id"], pa.string()), pa.array(got["link"], pa.string()), pa.array(got["ask"], pa.bool_()), pa.array(got["v"], pa.binary()), pa.array(got["cells"], pa.list_(pa.int32()))], list(got))
 
-    placed = cut(spread(vectors).mapInArrow(assign, "table_name string, id string, link string, ask boolean, v binary, cells array<int>"))
+    return cut(spread(vectors).mapInArrow(assign, "table_name string, id string, link string, ask boolean, v binary, cells array<int>"))
+
+
+def _met(placed: DataFrame, k: int, floor: float, m: int, ef: int, search_ef: int | None, dim: int, once: list[str] | None = None) -> DataFrame:
+    """(table_name, id_a, id_b, cosine) of the pairs that the shards' graphs meet; vectors asked for by ``ask``.
+
+    ``once`` is the key of a vector if it may have come from several tasks and shall visit other shards once.
+    """
+    spark = placed.sparkSession
     one = placed.filter("v is not null")
     # at most MAX_CELLS rows a table
     counts = one.groupBy("table_name", F.col("cells")[0].alias("cell")).agg(F.count(F.lit(1)).alias("n")).withColumn("subs", F.ceil(F.col("n") / MAX_SHARD).cast("int")).collect()
     subs = spark.createDataFrame([(r.table_name, r.cell, r.subs) for r in counts], "table_name string, cell int, subs int")
     own = one.select("table_name", "id", "v", F.col("cells")[0].alias("cell"), F.lit(True).alias("own"), "ask")
     # a vector that is not asked for need not leave its own shard
-    other = one.filter("ask").select("table_name", "id", "v", F.explode("cells").alias("cell"), F.lit(False).alias("own"), "ask")
+    visit = one.filter("ask").dropDuplicates(once) if once else one.filter("ask")
+    other = visit.select("table_name", "id", "v", F.explode("cells").alias("cell"), F.lit(False).alias("own"), "ask")
     homes = own.join(F.broadcast(subs), ["table_name", "cell"]).withColumn("sub", F.pmod(F.xxhash64("v"), F.col("subs")).cast("int")).drop("subs")
     guests = other.join(F.broadcast(subs), ["table_name", "cell"]).withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("subs") - 1))).drop("subs")
     shards = homes.unionByName(guests.select(homes.columns))
@@ -165,9 +231,7 @@ def similar(vectors: DataFrame, k: int, floor: float, probes: int | None = PROBE
         return pa.table({"table_name": pa.array([name] * len(best), pa.string()), "id_a": pa.array([a for a, _ in best], pa.string()), "id_b": pa.array([b for _, b in best], pa.string()), "cosine": pa.array(list(best.values()), pa.float64())})
 
     schema = "table_name string, id_a string, id_b string, cosine double"
-    met = shards.repartition(parts, "table_name", "cell", "sub").groupBy("table_name", "cell", "sub").applyInArrow(shard, schema)
-    links = placed.filter("link is not null and link <> id").select("table_name", F.least("id", "link").alias("id_a"), F.greatest("id", "link").alias("id_b"), F.lit(1.0).alias("cosine"))
-    return met.unionByName(links).groupBy("table_name", "id_a", "id_b").agg(F.max("cosine").alias("cosine"))
+    return shards.repartition(parts, "table_name", "cell", "sub").groupBy("table_name", "cell", "sub").applyInArrow(shard, schema)
 
 
 def top_k(pairs: DataFrame, k: int) -> DataFrame:

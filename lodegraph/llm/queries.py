@@ -66,8 +66,7 @@ def p7_neighbours(spark: SparkSession, d: str) -> DataFrame:
     """The 5 most similar others of every row whose number is divisible by 100, against all rows."""
     v = _vectors(spark, d)
     asked = v.filter(F.regexp_extract("id", r"(\d+)$", 1).cast("long") % 100 == 0).select("table_name", "id").distinct()
-    pairs = neighbours.similar(v, k=5, floor=2.0, probes=None, queries=asked, m=12, ef=32, search_ef=160, cell=8_000)
-    return neighbours.top_k(pairs, 5).join(asked, ["table_name", "id"], "left_semi")
+    return neighbours.nearest(v, 5, asked, probes=None, m=12, ef=32, search_ef=160, cell=8_000)
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:

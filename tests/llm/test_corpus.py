@@ -150,3 +150,26 @@ def test_similar(spark):
     best = [names[j] for j in np.argsort(-(y @ x[7])) if j != 7][:5]
     assert [t.other for t in top] == best
     assert neighbours.similar(d.limit(0), 5, 0.9, dim=8).count() == 0
+
+
+def test_copies_of_asked_vectors_have_all_their_neighbours(spark):
+    r = np.random.default_rng(4)
+    x = _unit(r, 300, 8)
+    rows = [(f"n-{i:03}", x[i]) for i in range(300)]
+    # copies of one that is not asked first, of one more than k times, and an id of two vectors
+    rows += [(f"c-{j:02}", x[7]) for j in range(9)] + [(f"d-{j}", x[8]) for j in range(2)] + [("n-005", x[9]), ("n-010", x[10])]
+    d = spark.createDataFrame([("t", i, [float(e) for e in v]) for i, v in rows], "table_name string, id string, embedding array<float>").repartition(3)
+    names = ["c-03", "c-08", "n-007", "d-1", "n-005", "n-010", "n-100"]
+    asked = spark.createDataFrame([("t", n) for n in [*names, "absent"]], "table_name string, id string")
+    got = {}
+    for q in neighbours.nearest(d, 5, asked, probes=None, m=12, ef=64, dim=8, cell=100).orderBy("id", "rank").collect():
+        got.setdefault(q.id, []).append(q.other)
+    ids, y = [i for i, _ in rows], np.array([v for _, v in rows])
+    for n in names:
+        best = {}
+        for i in np.nonzero(np.array(ids) == n)[0]:
+            for j, c in zip(ids, y @ y[i]):
+                best[j] = max(best.get(j, -2.0), round(float(c), 5))
+        best.pop(n)
+        assert got[n] == sorted(best, key=lambda j: (-best[j], j))[:5]
+    assert set(got) == set(names)
