@@ -66,18 +66,53 @@ def orphan_cascade(spark: SparkSession, d: str) -> DataFrame:
     return direct.select("table_name", "row_id", "end_name", "at", "reason").unionByName(inherited)
 
 
+def orphan_cascade_both(spark: SparkSession, d: str) -> DataFrame:
+    """``orphan_cascade`` with the parent links and the orphaned records of both tables.
+
+    graph_relationships names records by id, relationships by type and name; each is followed under its own key.
+    """
+    all_ends, direct = _orphans(spark, d)
+    direct = cut(direct.distinct())
+    by_name = lambda e: F.when(F.coalesce(F.col(e), F.lit("")) != "", F.concat_ws("\u0001", F.coalesce(F.col(f"{e}_type"), F.lit("\u0000")), e))
+    by_id = lambda e: F.when(F.coalesce(F.col(f"{e}_id"), F.lit("")) != "", F.concat(F.lit("#"), f"{e}_id"))
+    links = None
+    for table, relation, ref in (("relationships", "type", by_name), ("graph_relationships", "relation", by_id)):
+        t = load(spark, d, table)
+        for kinds, child, parent in ((PARENT_RELATIONS, "source", "target"), (CHILD_RELATIONS, "target", "source")):
+            part = t.filter(F.col(relation).isin(kinds)).select(ref(child).alias("child"), ref(parent).alias("parent"))
+            links = part if links is None else links.unionByName(part)
+    below = orphans.inherited_orphans(links, direct.filter("reason in ('missing', 'deleted')").select("ref")).select("ref").distinct()
+    split = F.split("row_id", "\u0001")
+    ends = all_ends.select(split[0].alias("table_name"), split[1].cast("long").alias("row_id"), "end_name", "ref", "at").distinct()
+    key = ["table_name", "row_id", "end_name"]
+    hit = ends.join(below, "ref", "left_semi").join(direct.select(*key).distinct(), key, "left_anti")
+    return direct.select(*key, "at", "reason").unionByName(hit.select(*key, "at", F.lit("inherited").alias("reason")))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return orphan_cascade(spark, d).filter("reason <> 'inherited'").select("table_name", "row_id", "end_name").distinct()
 
 
 def p6_report(spark: SparkSession, d: str) -> DataFrame:
-    """Orphaned ends by table and month of created_at, direct ones by reason and those by inheritance."""
-    got = orphan_cascade(spark, d).select("table_name", "row_id", "end_name", "reason", F.date_format("at", "yyyy-MM").alias("month")).distinct()
+    """Orphaned ends by table and month of created_at, direct ones by reason and those by inheritance.
+
+    Inheritance is walked in graph_relationships only, as its SQL has it; ``p6_report_both`` walks both tables.
+    """
+    return _by_month(orphan_cascade(spark, d))
+
+
+def p6_report_both(spark: SparkSession, d: str) -> DataFrame:
+    """``p6_report`` with inheritance in both tables."""
+    return _by_month(orphan_cascade_both(spark, d))
+
+
+def _by_month(found: DataFrame) -> DataFrame:
+    got = found.select("table_name", "row_id", "end_name", "reason", F.date_format("at", "yyyy-MM").alias("month")).distinct()
     kinds = [F.count_if(F.col("reason") == r).alias(r) for r in ("missing", "deleted", "later", "inherited")]
     return got.groupBy("table_name", "month").agg(F.count_if(F.col("reason") != "inherited").alias("direct"), *kinds)
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_common, p6_found, p6_report)}
+QUERIES = {f.__name__: f for f in (p5_found, p5_common, p6_found, p6_report, p6_report_both)}
 
 SQL = {
     "p6_found": """
