@@ -81,16 +81,22 @@ def first_of_each(edges: DataFrame, keys: list[str], order: str) -> DataFrame:
     return latest(edges, keys, [F.col(order)])
 
 
+def known_type(type_: Column) -> Column:
+    """A type in its own spelling if case, blanks and punctuation are all that differ; others as they are."""
+    key = F.regexp_replace(F.lower(type_), r"[^\p{L}\p{N}]", "")
+    return F.coalesce(rules.lookup(key, {t.lower(): t for t in rules.TYPE_PREFIX}), type_)
+
+
 def assign_ids(nodes: DataFrame, order: list[str]) -> DataFrame:
-    """``id`` as prefix and dense number within the type, by order.
+    """``id`` as prefix and dense number within the type, by order; all unknown types are X in one sequence.
 
-    Types are few and large, so the numbers come from one global numbering less the rows of the types before.
+    Types are few and large, so the numbers come from one global numbering less the rows of the prefixes before.
     """
-    d = global_row_number(nodes, ["type", *order], "__n")
-    first = d.groupBy("type").agg(F.min("__n").alias("__first"))  # one row a type
-    d = d.join(F.broadcast(first), "type")
-    prefix = rules.lookup(F.col("type"), rules.TYPE_PREFIX, "X")
-    return d.withColumn("id", F.format_string("%s-%04d", prefix, F.col("__n") - F.col("__first") + 1)).drop("__n", "__first")
+    d = nodes.withColumn("__p", rules.lookup(F.col("type"), rules.TYPE_PREFIX, "X"))
+    d = global_row_number(d, ["__p", "type", *order], "__n")
+    first = d.groupBy("__p").agg(F.min("__n").alias("__first"))  # one row a prefix
+    d = d.join(F.broadcast(first), "__p")
+    return d.withColumn("id", F.format_string("%s-%04d", F.col("__p"), F.col("__n") - F.col("__first") + 1)).drop("__p", "__n", "__first")
 
 
 def resolve_ids(ends: DataFrame, nodes: DataFrame) -> DataFrame:

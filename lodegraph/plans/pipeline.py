@@ -77,6 +77,8 @@ def build_graph(entities: DataFrame, relationships: DataFrame) -> tuple[DataFram
     """(nodes, edges): names normalised, one node a (type, name) with a dense id, edges between nodes that exist,
     allowed by direction, without zero quantities, self-loops, bad names and duplicates."""
     norm = lambda c: F.lower(F.regexp_replace(N.normal_name(F.col(c)), r"\s+", ""))
+    entities = entities.withColumn("type", N.known_type(F.col("type")))
+    relationships = relationships.withColumns({c: N.known_type(F.col(c)) for c in ("source_type", "target_type")})
     good = entities.withColumn("k", norm("name")).filter(N.garbage_reason(F.col("k")).isNull() & F.col("type").isNotNull())
     one = good.groupBy("type", "k").agg(F.min(F.struct((-F.col("confidence")).alias("c"), "name")).alias("o"), F.count(F.lit(1)).alias("mentions"))
     nodes = N.assign_ids(one.select("type", "k", F.col("o.name").alias("name"), "mentions"), ["k"])

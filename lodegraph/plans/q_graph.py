@@ -156,6 +156,12 @@ def g11_assign_ids(spark: SparkSession, d: str) -> DataFrame:
     return N.assign_ids(e, ["name", "spec"])
 
 
+def g11_assign_ids_all(spark: SparkSession, d: str) -> DataFrame:
+    """``g11_assign_ids`` of every row: other spellings of a type are that type, unknown types are X."""
+    e = _e(spark, d).groupBy(N.known_type(F.col("type")).alias("type"), F.coalesce("normalized_name", F.lit("")).alias("name"), F.coalesce("spec", F.lit("")).alias("spec")).agg(F.min("row_id").alias("row_id"))
+    return N.assign_ids(e, ["name", "spec"])
+
+
 def g12_resolve_ids(spark: SparkSession, d: str) -> DataFrame:
     nodes = load(spark, d, "graph_entities").select("id", "type", "name", F.lit(None).cast("string").alias("spec"))
     ends = _r(spark, d).select("rel_id", F.col("source_type").alias("type"), F.col("source").alias("name"), F.lit("x").alias("spec")).distinct()

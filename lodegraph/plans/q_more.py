@@ -125,8 +125,7 @@ def f12_quarantine(spark: SparkSession, d: str) -> DataFrame:
 
 def g01_build_graph(spark: SparkSession, d: str) -> DataFrame:
     """Edges of the graph built from all mentions, by relation."""
-    e = load(spark, d, "entities").filter(F.col("type").isin("WorkType", "Labor", "Equipment", "Material", "Section", "Note", "Standard"))
-    return P.build_graph(e, load(spark, d, "relationships"))[1].groupBy("relation").agg(F.count(F.lit(1)).alias("edges"), F.sum("mentions").alias("mentions"))
+    return P.build_graph(load(spark, d, "entities"), load(spark, d, "relationships"))[1].groupBy("relation").agg(F.count(F.lit(1)).alias("edges"), F.sum("mentions").alias("mentions"))
 
 
 def h26_sample(spark: SparkSession, d: str) -> DataFrame:

@@ -213,6 +213,11 @@ def h48_methods(spark: SparkSession, d: str) -> DataFrame:
     return _e(spark, d).filter(F.col("type").isin(*rules.TYPE_PREFIX)).groupBy("type").pivot("source_method", ["llm", "merged", "table_rule"]).agg(F.count(F.lit(1))).na.fill(0)
 
 
+def h48_methods_all(spark: SparkSession, d: str) -> DataFrame:
+    """``h48_methods`` of every row, other spellings of a type counted with it."""
+    return _e(spark, d).groupBy(N.known_type(F.col("type")).alias("type")).pivot("source_method", ["llm", "merged", "table_rule"]).agg(F.count(F.lit(1))).na.fill(0)
+
+
 def h49_unit_classes(spark: SparkSession, d: str) -> DataFrame:
     return _e(spark, d).groupBy(Q.unit_class(F.col("unit")).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
