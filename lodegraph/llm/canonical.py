@@ -2,12 +2,13 @@
 
 Two forms of a value: ``visual`` has the same look with the most ordinary characters (compatibility
 composition, look-alike letters mapped, every space the plain one, no invisible characters), ``key`` is the
-visual form case-folded with runs of white space squeezed, for comparisons. Work is done once for each
+visual form fully case-folded with runs of white space squeezed, for comparisons. Work is done once for each
 distinct value of a batch; values of plain characters never leave the JVM.
 
 Defined results: null stays null, an empty text stays empty; tabs and line ends are ordinary; signs whose
 replacement would change the look (superscripts, circled numbers, phi, alpha, degree, times, middle dot,
-composed accents) stay.
+composed accents) stay; a word wholly in its own script (Cyrillic, Greek, Armenian), which holds a letter that no
+Latin letter looks like and no Latin letter, stays as it is.
 """
 
 from __future__ import annotations
@@ -38,6 +39,9 @@ SAME_LOOK = {"<wide>", "<narrow>", "<square>", "<compat>", "<noBreak>", "<font>"
 #: Characters of which a value consists that needs no work: plain ASCII, composed Hangul and Latin-1 letters, the legitimate signs.
 PLAIN = r"^[\t\n\r -~가-힣À-ÖØ-öø-ÿ²³°×·φαㄱ-ㅎㅏ-ㅣ①-⑳※一-鿿]*$"
 
+#: As PLAIN, of characters that folding changes no further than lower case does (so without sharp s).
+PLAIN_FOLD = PLAIN.replace("ø-ÿ", "à-öø-ÿ").replace("Ø-ö", "Ø-Þ")
+
 _SUPER = str.maketrans("23", "²³")
 
 
@@ -76,16 +80,40 @@ class _Lazy(dict):
 _MAP = _Lazy(_table())
 
 
+_SCRIPT = re.compile("[\u0370-\u03ff\u0400-\u052f\u0531-\u058f]")
+_WORD = re.compile(r"[^\W\d_]+")
+
+
+def _own_script(word: str) -> bool:
+    """A word of another script: it has a letter of it that looks like no Latin one, and no Latin letter."""
+    return any(_SCRIPT.match(c) and c not in LOOKALIKE and c not in "φα" for c in word) and not any(c.isascii() for c in word)
+
+
 def visual(value: str | None) -> str | None:
     """The same look in ordinary characters; idempotent."""
     if value is None or value.isascii() and value.isprintable():
         return value
-    return unicodedata.normalize("NFC", unicodedata.normalize("NFC", value).translate(_MAP))
+    value = unicodedata.normalize("NFC", value)
+    if not _SCRIPT.search(value):
+        return unicodedata.normalize("NFC", value.translate(_MAP))
+    out, at = [], 0
+    # invisible characters go first, so that they do not part a word
+    value = "".join(c for c in value if _MAP.get(ord(c), c) is not None)
+    for m in _WORD.finditer(value):
+        if _own_script(m[0]):
+            out += [value[at : m.start()].translate(_MAP), m[0]]
+            at = m.end()
+    return unicodedata.normalize("NFC", "".join(out) + value[at:].translate(_MAP))
+
+
+def folded(value: str | None) -> str | None:
+    """Visual form, fully case-folded."""
+    return None if value is None else unicodedata.normalize("NFC", visual(value).casefold())
 
 
 def key(value: str | None) -> str | None:
-    """Comparison form: visual form, fully case-folded, white space squeezed and trimmed."""
-    return None if value is None else re.sub(r"\s+", " ", unicodedata.normalize("NFC", visual(value).casefold())).strip()
+    """Comparison form: folded, white space squeezed and trimmed."""
+    return None if value is None else re.sub(r"\s+", " ", folded(value)).strip()
 
 
 def _distinct(s: pd.Series, f) -> pd.Series:
@@ -94,28 +122,47 @@ def _distinct(s: pd.Series, f) -> pd.Series:
     return pd.Series([out[c] for c in codes], dtype=object)
 
 
-def visual_columns(*cols: str) -> list[Column]:
-    """Visual forms of several text columns in one Python pass; plain values come back without it."""
+def _python_columns(cols: tuple[str, ...], f, plain: str) -> list[Column]:
+    """``f`` of several text columns in one Python pass, null where the value is plain."""
 
     @F.pandas_udf(", ".join(f"c{i} string" for i in range(len(cols))))
-    def f(*parts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame({f"c{i}": _distinct(p, visual) for i, p in enumerate(parts)})
+    def run(*parts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({f"c{i}": _distinct(p, f) for i, p in enumerate(parts)})
 
-    got = f(*[F.when(~F.col(c).rlike(PLAIN), F.col(c)) for c in cols])
-    return [F.coalesce(got[f"c{i}"], F.col(c)) for i, c in enumerate(cols)]
+    got = run(*[F.when(~F.col(c).rlike(plain), F.col(c)) for c in cols])
+    return [got[f"c{i}"] for i in range(len(cols))]
 
 
-def with_visual(df: DataFrame, cols: list[str], suffix: str = "_visual") -> DataFrame:
-    """``df`` with a column ``<name><suffix>`` for each named text column; a clashing name is refused."""
+def visual_columns(*cols: str) -> list[Column]:
+    """Visual forms of several text columns; plain values come back without leaving the JVM."""
+    return [F.coalesce(v, F.col(c)) for c, v in zip(cols, _python_columns(cols, visual, PLAIN))]
+
+
+def folded_columns(*cols: str) -> list[Column]:
+    """Fully case-folded visual forms; values that lower case folds fully never leave the JVM."""
+    return [F.coalesce(v, F.lower(F.col(c))) for c, v in zip(cols, _python_columns(cols, folded, PLAIN_FOLD))]
+
+
+def _with(df: DataFrame, cols: list[str], suffix: str, columns) -> DataFrame:
     clash = {f"{c}{suffix}" for c in cols} & set(df.columns)
     if clash:
         raise ValueError(f"columns exist already: {sorted(clash)}")
-    return df.withColumns({f"{c}{suffix}": v for c, v in zip(cols, visual_columns(*cols))})
+    return df.withColumns({f"{c}{suffix}": v for c, v in zip(cols, columns(*cols))})
+
+
+def with_visual(df: DataFrame, cols: list[str], suffix: str = "_visual") -> DataFrame:
+    """``df`` with a column ``<name><suffix>`` for each named text column; a clashing name is refused."""
+    return _with(df, cols, suffix, visual_columns)
+
+
+def with_folded(df: DataFrame, cols: list[str], suffix: str = "_folded") -> DataFrame:
+    """As ``with_visual``, with the folded forms."""
+    return _with(df, cols, suffix, folded_columns)
 
 
-def key_of(visual_col: Column) -> Column:
-    """Comparison form from a visual form, in the JVM (lower covers the case pairs that visual leaves)."""
-    return F.trim(F.regexp_replace(F.lower(F.regexp_replace(visual_col, "ß", "ss")), r"\s+", " "))
+def key_of(folded_col: Column) -> Column:
+    """Comparison form from a folded form."""
+    return F.trim(F.regexp_replace(F.lower(folded_col), r"\s+", " "))
 
 
 def odd_values(df: DataFrame, row_id: str, fields: list[str]) -> DataFrame:

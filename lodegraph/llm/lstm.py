@@ -150,6 +150,8 @@ class BiLSTM:
             g["U" + side] = gu
         g["b"], g["P"] = d_rows.sum(0), words.T @ d_rows
         gw = np.zeros_like(p["W"])
-        np.add.at(gw, ids, np.repeat(d_rows, sizes, axis=0))
+        order = np.argsort(ids, kind="stable")
+        which, start = np.unique(ids[order], return_index=True)
+        gw[which] = np.add.reduceat(np.repeat(d_rows, sizes, axis=0)[order], start, axis=0)
         g["W"] = gw
         return g

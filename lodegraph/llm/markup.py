@@ -1,10 +1,10 @@
 """Markup left in text: find the blocks that carry it and turn them into clean text that keeps its structure.
 
 A text is a sequence of leaf blocks (its lines; of tables every header, cell and note). Each block has a
-tag path (what is open where it starts: elements, fences, environments, wiki tables) and its words; both are
-hashed into a sparse vector. A bidirectional LSTM reads the whole sequence and gives every block a class, so
-a block is judged with the document around it. Blocks of a class other than plain are then held against the
-syntax itself, which settles what is reported and how the block is rendered.
+tag path (what is open where it starts: elements, fences, environments, wiki tables), the signs of markup
+languages it holds, and its words; all are hashed into a sparse vector. A bidirectional LSTM reads the whole
+sequence and gives every block a class, so a block is judged with the document around it. The class alone
+settles whether a block is reported and which renderer cleans it.
 
 The labeller is trained on documents written by ``write_document``, whose labels are known by construction;
 their number is the parameter ``TRAIN_DOCS``.
@@ -21,6 +21,7 @@ import random
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,25 +33,46 @@ from lodegraph.plans.session import spread
 CLASSES = ("plain", "heading", "list", "code", "table", "formula", "inline", "noise")
 PLAIN, HEADING, LIST, CODE, TABLE, FORMULA, INLINE, NOISE = range(8)
 #: Documents the labeller is trained on, epochs over them, and its width.
-TRAIN_DOCS, EPOCHS, HIDDEN, BUCKETS, TOKEN_BUCKETS = 1000, 4, 12, 256, 512
-#: A block is looked at by the exact check if the labeller gives markup at least this probability.
-LEAST_P = 0.02
+TRAIN_DOCS, EPOCHS, HIDDEN, BUCKETS, TOKEN_BUCKETS = 1500, 4, 12, 256, 512
+#: A block is markup if the labeller gives markup at least this probability.
+LEAST_P = 0.5
 
 _TAG = r"</?[A-Za-z][A-Za-z0-9]*(?:\s[^<>\n]*)?/?>"
 _ENTITY = r"&(?:amp;)*(?:#\d{1,6}|#[xX][0-9A-Fa-f]{1,5}|[A-Za-z][A-Za-z0-9]{1,30});|&(?:amp;)*(?:nbsp|amp|lt|gt|quot|apos|middot|times|deg|sup[123])\b;?"
-# The syntax that counts as markup, as alternatives.
-SYNTAX = re.compile(
-    rf"{_TAG}|</?[A-Za-z][A-Za-z0-9]*\s+[A-Za-z:-]+\s*=|</[A-Za-z]+|<!--|-->|<!\[CDATA|{_ENTITY}"
-    r"|^\s{0,3}#{2,6}\s|^\s{0,3}#\s+(?!\d)|\*\*|__(?=\S)|(?<=\S)__|~~|`|^\s*={3,}\s*$|^={1,6}\s?[^=].*[^=]\s?={1,6}\s*$|^\s{0,3}>\s"
-    r"|^\s*\|.*\|\s*$|^\s*\{\||^\s*\|\}|^\s*\|-|^\s*!.*!!|^\s*\|.*\|\||'''?|\[\[|\]\]|\{\{|\}\}|!?\[[^\]\n]*\]\([^)\n]*\)"
-    r"|\\[A-Za-z]+|\\[%()\[\]$&#_{}]|\$\$|\$[^$\s](?:[^$\n]{0,200}[^$\s])?\$(?!\d)",
-    re.M,
-)
-_TOKEN = re.compile(
-    r"</?[A-Za-z][A-Za-z0-9]*|/?>|<!--|-->|<|&(?:#?[A-Za-z0-9]+);?|\\[A-Za-z]+|\\.?|\*+|_+|~+|`+|'{2,}|=+|\{\{|\}\}|\{\||\|\}|\|-|\|\||\||!!|!\[|\[\[|\]\]|\]\(|\[|\]|\$+|#+|\{|\}|\^|[※①-⑳·•]|^\s*[-\d(]+[.)]?"
-)
+# Signs of the markup languages by name; which of them a block holds is part of what the labeller reads.
+SIGNS = {
+    "tag": _TAG, "attribute": r"</?[A-Za-z][A-Za-z0-9]*\s+[A-Za-z:-]+\s*=", "end": r"</[A-Za-z]+", "comment": r"<!--|-->|<!\[CDATA", "entity": _ENTITY, "stars": r"\*\*", "lines": r"__(?=\S)|(?<=\S)__", "strike": "~~", "tick": "`", "quotes": "'''?", "link": r"\[\[|\]\]", "call": r"\{\{|\}\}",
+    "label": r"!?\[[^\]\n]*\]\([^)\n]*\)", "command": r"\\[A-Za-z]+", "escape": r"\\[%()\[\]$&#_{}]", "display": r"\$\$", "math": r"\$[^$\s](?:[^$\n]{0,200}[^$\s])?\$(?!\d)",
+}
+# Signs that count where a line starts.
+LINE_SIGNS = {
+    "hashes": r"\s{0,3}#{2,6}\s", "hash": r"\s{0,3}#\s+(?!\d)", "underline": r"\s*={3,}\s*$", "equals": r"={1,6}\s?[^=].*[^=]\s?={1,6}\s*$", "quote": r"\s{0,3}>\s",
+    "cells": r"\s*\|.*\|\|", "row": r"\s*\|.*\|\s*$", "open": r"\s*\{\|", "close": r"\s*\|\}", "rule": r"\s*\|-", "heads": r"\s*!.*!!",
+}
+_named = lambda t: re.compile("|".join(f"(?P<{k}>{v})" for k, v in t.items()), re.M)
+_SIGN, _LINE_SIGN = _named(SIGNS), _named(LINE_SIGNS)
+# where a sign, a sign of a line and a token can begin, for a quick scan of long blocks
+_SIGN_AT, _LINE_SIGN_AT, _TOKEN_AT = re.compile(r"[<&*_~`'\[\]{}!\\$-]"), re.compile(r"^\s*[#=>|{!]", re.M), re.compile(r"[</>&\\*_~`'={|}!\[\]$#^※①-⑳·•-]")
+_LEAD = re.compile(r"\s*[-\d(]+[.)]?")
+_TOKEN = re.compile(r"</?[A-Za-z][A-Za-z0-9]*|/?>|<!--|-->|<|&(?:#?[A-Za-z0-9]+);?|\\[A-Za-z]+|\\.?|\*+|_+|~+|`+|'{2,}|=+|\{\{|\}\}|\{\||\|\}|\|-|\|\||\||!!|!\[|\[\[|\]\]|\]\(|\[|\]|\$+|#+|\{|\}|\^|[※①-⑳·•]")
 _WORD = re.compile(r"[^\W\d_]+")
 _HAS_TOKEN = re.compile(r"[<>&\\*_~`'={}|!\[\]$#^※①-⑳·•]|^\s*[-\d(]")
+
+
+def _from(starts: re.Pattern, what: re.Pattern, text: str) -> Iterator[re.Match]:
+    """Matches of ``what`` one behind another, tried only where ``starts`` matches."""
+    end = 0
+    for m in starts.finditer(text):
+        if m.start() >= end and (got := what.match(text, m.start())):
+            end = got.end()
+            yield got
+
+
+def signs(text: str) -> set[str]:
+    """Names of the signs of markup languages in a block."""
+    return {m.lastgroup for m in _from(_SIGN_AT, _SIGN, text)} | {m.lastgroup for m in _from(_LINE_SIGN_AT, _LINE_SIGN, text)}
+
+
 _PATH = re.compile(r"<(/?)(table|ul|ol|pre|code|script|style|div|p|b|span|h[1-6]|blockquote)\b[^>]*?(/?)>|(```|\$\$|\{\||\|\}|<!--|-->)|\\(begin|end)\{(\w+)\}")
 
 
@@ -68,6 +90,11 @@ class _Hashed(dict):
         return got
 
 
+#: Numbers of the features: hashed tokens, whether a block has a sign, which signs, hashed paths.
+NO_SIGN, SIGNED, PATHS = TOKEN_BUCKETS, TOKEN_BUCKETS + 1, 63
+SIGN_IDS = {k: TOKEN_BUCKETS + 2 + i for i, k in enumerate(SIGNS | LINE_SIGNS)}
+FIRST_PATH = TOKEN_BUCKETS + 2 + len(SIGN_IDS)
+N_FEATURES = FIRST_PATH + PATHS
 #: Fixed word vectors of the hash buckets.
 WORD_VECTORS = np.random.default_rng(5).normal(0, 1, (BUCKETS, WORD_DIM)).astype("f4")
 
@@ -76,14 +103,15 @@ class Features:
     """Sparse features and word vectors of blocks."""
 
     def __init__(self) -> None:
-        self.words, self.tokens, self.path_ids = _Hashed(0, BUCKETS), _Hashed(0, TOKEN_BUCKETS), _Hashed(TOKEN_BUCKETS + 1, 63)
+        self.words, self.tokens, self.path_ids = _Hashed(0, BUCKETS), _Hashed(0, TOKEN_BUCKETS), _Hashed(FIRST_PATH, PATHS)
 
     def block(self, text: str) -> list[int]:
-        """Token features of a block alone, without its path; the last one says that it is a block."""
+        """Sign and token features of a block alone, without its path; the last one says whether it has a sign."""
         if not _HAS_TOKEN.search(text):
-            return [TOKEN_BUCKETS]
-        ids, hashed, n = set(), self.tokens, len(text)
-        for m in _TOKEN.finditer(text):
+            return [NO_SIGN]
+        ids, hashed, n = {SIGN_IDS[k] for k in signs(text)}, self.tokens, len(text)
+        signed, lead = bool(ids), _LEAD.match(text)
+        for m in chain((lead,) if lead else (), _from(_TOKEN_AT, _TOKEN, text)):
             a, b = m.span()
             c = text[a - 1] if a else " "
             before = "^" if a < 3 and not text[:a].strip() else "w" if c.isalnum() else "s" if c.isspace() else "p"
@@ -94,8 +122,7 @@ class Features:
                 t = re.sub(r"\d+", "0", t)
             ids.add(hashed[t])
             ids.add(hashed[f"{t} {before}{after}"])
-        ids.add(TOKEN_BUCKETS)
-        return list(ids)
+        return [*ids, SIGNED if signed else NO_SIGN]
 
     def embed(self, model: BiLSTM, texts: list[str]) -> np.ndarray:
         """Input rows of different blocks."""
@@ -133,8 +160,6 @@ class Features:
         return out
 
 
-N_FEATURES = TOKEN_BUCKETS + 64
-
 
 def write_document(r: random.Random) -> tuple[list[str], list[int]]:
     """Lines and their classes; made-up words, plain signs that resemble markup, and markup of each kind."""
@@ -163,7 +188,9 @@ def write_document(r: random.Random) -> tuple[list[str], list[int]]:
         if k < 0.5:
             return ""
         t = words(3, 14 if r.random() < 0.7 else 90) + stop()
-        return t + " " + confuse() if r.random() < 0.15 else t
+        t = t + " " + confuse() if r.random() < 0.15 else t
+        # a paragraph in one line
+        return " ".join([t, *(plain() for _ in range(r.randint(2, 40)))]) if r.random() < 0.03 else t
 
     def inline(t: str) -> str:
         w, n = word, num
@@ -177,7 +204,7 @@ def write_document(r: random.Random) -> tuple[list[str], list[int]]:
         w, n = word, num
         item = lambda: f"{w()} {n()}{r.choice(['kg', 'm', '개', ' pcs'])}"
         return r.choice([
-            lambda: [("#" * r.randint(2, 5) + " " + r.choice(["", n() + ". "]) + words(1, 4), HEADING)], lambda: [("# " + words(1, 4), HEADING)], lambda: [("=" * (k := r.randint(1, 4)) + " " + words(1, 4) + " " + "=" * k, HEADING)], lambda: [(words(1, 4), HEADING), ("=" * r.randint(3, 14), HEADING)], lambda: [(f"<h{(k := r.randint(1, 6))}>{words(1, 4)}</h{k}>", HEADING)], lambda: [(f"\\{r.choice(['section', 'subsection', 'chapter'])}{{{words(1, 4)}}}", HEADING)],
+            lambda: [("#" * r.randint(2, 5) + " " + r.choice(["", n() + ". "]) + words(1, 4), HEADING)], lambda: [("# " + words(1, 4), HEADING)], lambda: [("=" * (k := r.randint(1, 4)) + " " + words(1, 4) + " " + "=" * k, HEADING)], *[lambda: [(words(1, 4), HEADING), ("=" * r.randint(3, 14), HEADING)]] * 3, lambda: [(f"<h{(k := r.randint(1, 6))}>{words(1, 4)}</h{k}>", HEADING)], lambda: [(f"\\{r.choice(['section', 'subsection', 'chapter'])}{{{words(1, 4)}}}", HEADING)],
             lambda: [("<ul>" + "".join(f"<li>{item()}" + r.choice(["</li>", ""]) for _ in range(r.randint(1, 4))) + "</ul>", LIST)], lambda: [("\\begin{itemize}", LIST)] + [("\\item " + item(), LIST) for _ in range(r.randint(1, 4))] + [("\\end{itemize}", LIST)], lambda: [(f"* **{w()}**: {item()}", LIST) for _ in range(r.randint(1, 3))], lambda: [(f"* __{w()}__", LIST)], lambda: [("> " + words(2, 9) + ".", LIST)],
             lambda: [("```", CODE)] + [(f"{en()} = {n()} * {n()}", CODE) for _ in range(r.randint(1, 3))] + [("```", CODE)], lambda: [(f"<pre><code>{en()}({n()})</code></pre>", CODE)],
             lambda: [(f"| {w()} | {w()} |", TABLE), ("|---|---:|", TABLE)] + [(f"| {w()} | {n()} |", TABLE) for _ in range(r.randint(1, 3))], lambda: [('{| class="wikitable"', TABLE), (f"! {w()} !! {w()}", TABLE)] + [x for _ in range(r.randint(1, 3)) for x in (("|-", TABLE), (f"| {w()} || {n()}", TABLE))] + [("|}", TABLE)], lambda: [(f"<table><tr><td rowspan={r.randint(1,3)}>{w()}</td><td>{n()}</tr></table>", TABLE)], lambda: [("<table>", TABLE), (f"<tr><td>{w()}</td><td>{n()}</td></tr>", TABLE), ("</table>", TABLE)],
@@ -222,7 +249,7 @@ def labeller(train_docs: int = TRAIN_DOCS, epochs: int = EPOCHS, seed: int = 11)
 
 
 def classify(model: BiLSTM, f: Features, docs: list[list[str]], least_p: float = LEAST_P) -> list[np.ndarray]:
-    """Classes of the blocks of each document; a block of doubtful class gets its likeliest markup class."""
+    """Classes of the blocks of each document; plain, or the likeliest markup class from ``least_p`` on."""
     lengths = np.array([len(x) for x in docs])
     if not lengths.sum():
         return [np.zeros(0, int) for _ in docs]
@@ -278,19 +305,13 @@ def _inline(t: str) -> str:
     return re.sub(r"\x00(\d+)\x00", lambda m: kept[int(m[1])], t)
 
 
-def render_block(t: str, y: int) -> str | None:
-    """Clean text of a block of class y; None drops it."""
-    s = t.strip()
-    if re.fullmatch(r"(?:<!--.*-->|<(script|style)\b.*</\1>)(?:\s*)", s, re.S | re.I) or re.fullmatch(r"={3,}|\|?[-:| ]{3,}\|?|\{\|.*|\|\}|\|-.*|\\(?:begin|end)\{(?:itemize|enumerate|tabular|equation)\}|</?(?:table|ul|ol|tbody|thead)[^>]*>", s):
-        return "$$" if "equation" in s and s.startswith("\\") else None
-    if m := re.fullmatch(r"<pre>(?:<code>)?(.*?)(?:</code>)?</pre>", s, re.S | re.I):
-        return "```\n" + _decode(m[1]) + "\n```"
-    if s.startswith("```") or s == "$$":
-        return s
-    if m := re.match(r"\\begin\{(?:equation|align)\*?\}(.*?)\\end\{(?:equation|align)\*?\}(.*)", s):
-        return f"$ {m[1].strip()} ${_inline(m[2])}"
-    if y == CODE and not SYNTAX.search(s) or y == FORMULA and "$" not in s and "<" not in s and not s.startswith("\\text"):
-        return t
+def _bar(cells: list[str]) -> str:
+    return " | ".join(_inline(x).strip() for x in cells)
+
+
+def _heading(s: str) -> str | None:
+    if re.fullmatch(r"={3,}", s):
+        return None
     if m := re.match(r"(#{1,6})\s+(.*)", s):
         return f"{m[1]} {_inline(m[2]).strip()}"
     if m := re.match(r"(={1,6})\s?([^=].*?[^=])\s?={1,6}$", s):
@@ -299,33 +320,87 @@ def render_block(t: str, y: int) -> str | None:
         return f"{'#' * int(m[1])} {_inline(m[2] or m[3]).strip()}"
     if m := re.match(r"\\(section|subsection|subsubsection|chapter)\*?\{([^{}]*)\}(.*)", s):
         return f"{'#' * ({'chapter': 1, 'section': 2, 'subsection': 3}.get(m[1], 4))} {_inline(m[2] + m[3]).strip()}"
+    return _inline(s).strip("\n")
+
+
+def _list(s: str) -> str | None:
+    if re.fullmatch(r"\\(?:begin|end)\{(?:itemize|enumerate)\}|</?(?:ul|ol)[^>]*>", s):
+        return None
     if re.search(r"<li\b", s, re.I):
         return "\n".join("- " + x for p in re.split(r"<li[^>]*>", s, flags=re.I)[1:] if (x := _inline(p).strip()))
-    if re.search(r"<t[drh]\b", s, re.I):
-        rows = [[_inline(c).strip() for c in re.split(r"<t[dh][^>]*>", r, flags=re.I)[1:]] for r in re.split(r"<tr[^>]*>", s, flags=re.I)]
-        return "\n".join(" | ".join(r) for r in rows if r)
     if m := re.match(r"\\item\s*(.*)", s):
         return "- " + _inline(m[1]).strip()
     if m := re.match(r"[*>]\s+(.*)", s):
         return ("- " if s[0] == "*" else "") + _inline(m[1]).strip()
-    if m := re.match(r"!\s*(.*!!.*)", s):
-        return " | ".join(_inline(x).strip() for x in m[1].split("!!"))
+    return _inline(s).strip("\n")
+
+
+def _code(s: str) -> str | None:
+    if m := re.search(r"<pre>(?:<code>)?(.*?)(?:</code>)?</pre>", s, re.S | re.I):
+        around = [_inline(x).strip() for x in (s[: m.start()], s[m.end() :])]
+        return "\n".join(x for x in (around[0], "```\n" + _decode(m[1]) + "\n```", around[1]) if x)
+    return "```" if re.fullmatch(r"</?(?:pre|code)>", s, re.I) else s if s.startswith("```") else None
+
+
+def _table(s: str) -> str | None:
+    if re.fullmatch(r"\|?[-:| ]{3,}\|?|\{\|.*|\|\}|\|-.*|\\(?:begin|end)\{tabular\}.*|</?(?:table|tbody|thead|tr)[^>]*>", s):
+        return None
+    if re.search(r"<t[drh]\b", s, re.I):
+        rows = [[_inline(c).strip() for c in re.split(r"<t[dh][^>]*>", r, flags=re.I)[1:]] for r in re.split(r"<tr[^>]*>", s, flags=re.I)]
+        return "\n".join(" | ".join(r) for r in rows if r)
+    if m := re.match(r"!\s*(.*)", s):
+        return _bar(m[1].split("!!"))
     if m := re.match(r"\|\s*(.*\|\|.*)", s):
-        return " | ".join(_inline(x).strip() for x in m[1].split("||"))
+        return _bar(m[1].split("||"))
     if m := re.fullmatch(r"\|(.*)\|", s):
-        return " | ".join(_inline(x).strip() for x in m[1].split("|"))
-    return _inline(t).strip("\n")
+        return _bar(m[1].split("|"))
+    return _inline(s).strip("\n")
+
+
+def _formula(s: str) -> str | None:
+    if m := re.match(r"\\begin\{(?:equation|align)\*?\}(.+?)\\end\{(?:equation|align)\*?\}(.*)", s):
+        return f"$ {_decode(m[1]).strip()} ${_inline(m[2])}"
+    if re.fullmatch(r"\\(?:begin|end)\{(?:equation|align)\*?\}|\$\$", s):
+        return "$$"
+    return None
+
+
+def _noise(s: str) -> str | None:
+    left = re.sub(r"<!--.*?-->|<(script|style)\b.*?</\1>", "", s, flags=re.S | re.I)
+    return _inline(left).strip("\n") if left.strip() else None
+
+
+def _plain_text(s: str) -> str | None:
+    """Inline marks off; what they held may be a heading or an item of its own."""
+    t = _inline(s).strip("\n")
+    if t.lstrip().startswith("\\begin{equation}"):
+        return _formula(t.strip()) or t
+    if re.match(r"\s*(?:={1,6}\s?[^=]|\\(?:sub)*(?:section|chapter)\b)", t):
+        return _heading(t.strip())
+    return _list(t.strip()) if re.match(r"\s*\\item\b", t) else t
+
+
+#: Renderer of each class; code and formula return None for a line that stays as it is.
+RENDER = {HEADING: _heading, LIST: _list, CODE: _code, TABLE: _table, FORMULA: _formula, INLINE: _plain_text, NOISE: _noise}
+
+
+def render_block(t: str, y: int) -> str | None:
+    """Clean text of a block of class y; None drops it. Lines of code and formulas stay byte for byte."""
+    if y == PLAIN:
+        return t
+    got = RENDER[y](t if y == INLINE else t.strip())
+    return t if got is None and y in (CODE, FORMULA) else got
 
 
 def clean_lines(lines: list[str], classes: np.ndarray) -> tuple[str, int]:
-    """(clean text, number of blocks with markup); code lines and formula lines between marks stay."""
+    """(clean text, number of blocks with markup). A heading without a mark of its own is one by the rule below it."""
     out, n = [], 0
-    for line, y in zip(lines, classes):
-        if y == PLAIN or not (hit := bool(SYNTAX.search(line))) and y not in (CODE, FORMULA):
-            out.append(line)
-            continue
-        n += hit
-        if (got := render_block(line, int(y)) if hit else line) is not None:
+    for i, (line, y) in enumerate(zip(lines, classes)):
+        n += y != PLAIN
+        got = render_block(line, int(y))
+        if y == HEADING and got is not None and got == line and i + 1 < len(lines) and re.fullmatch(r"\s*={3,}\s*", lines[i + 1]):
+            got = "# " + line.strip()
+        if got is not None:
             out.append(got)
     return "\n".join(out), n
 
@@ -377,12 +452,12 @@ def label_blocks(df: DataFrame, key: str = "chunk_id", text: str = "text", table
                         got, n = clean_lines(ls, ya)
                         clean.append(got if t else t)
                     else:
-                        n = sum(1 for i in np.nonzero(ya)[0] if SYNTAX.search(ls[i]))
-                    hits = [i for i in np.nonzero(yc)[0] if SYNTAX.search(ss[i])]
+                        n = int((ya > 0).sum())
+                    hits = np.nonzero(yc)[0]
                     nt.append(n)
                     ns.append(len(hits))
                     if render:
-                        fixes.append([(ss[i], render_block(ss[i], INLINE) or "") for i in hits])
+                        fixes.append([(ss[i], render_block(ss[i], int(yc[i])) or "") for i in hits])
                 cols = [b.column(0), pa.array(nt, pa.int32()), pa.array(ns, pa.int32())]
                 names = ["k", "text_blocks", "table_blocks"]
                 if render:

@@ -7,14 +7,15 @@ collision) those groups are counted again by the canonical text itself.
 
 Defined results: a null field equals an empty one and one without letter or digit; a decimal point between
 digits and a minus sign before a number count, and so does the attribute of an item; rows of which all
-fields are null are one record. Repeated row ids are one row.
+fields are null are one record. Row ids are taken as they come: a row that is delivered twice counts twice in
+``n_copies``, and ``copies`` names a pair of ids once.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lodegraph.llm.canonical import key_of, with_visual
+from lodegraph.llm.canonical import key_of, with_folded
 from lodegraph.operators.skew import hot_keys, lookup_join
 from lodegraph.plans.session import cut
 
@@ -22,16 +23,16 @@ _SYMBOL = r"[^\p{L}\p{N}\p{M}.]+"
 _POINT = r"(?<![0-9])\.|\.(?![0-9])"
 
 
-def plain_key(visual: Column) -> Column:
+def plain_key(folded: Column) -> Column:
     """Letters, digits and decimal points of a text, in lower case. Null gives the empty text."""
-    low = key_of(F.coalesce(visual, F.lit("")))
+    low = key_of(F.coalesce(folded, F.lit("")))
     # marks are taken out before points are judged, so that "1 . 5" does not become a number
     return F.regexp_replace(F.regexp_replace(F.regexp_replace(low, _POINT, ""), _SYMBOL, ""), r"\s", "")
 
 
-def list_key(visual: Column) -> Column:
+def list_key(folded: Column) -> Column:
     """Sorted items of a list such as ``W=10; H=20, STD``; an item is ``attribute=value`` or a bare value."""
-    low = key_of(F.regexp_replace(F.coalesce(visual, F.lit("")), r"[\r\n]+", ";"))
+    low = key_of(F.regexp_replace(F.coalesce(folded, F.lit("")), r"[\r\n]+", ";"))
     # thousands commas are no separators; white space splits before an attribute
     low = F.regexp_replace(low, r"(?<=[0-9]),(?=[0-9]{3}(?![0-9]))", "")
     low = F.regexp_replace(low, r"\s*[=:]\s*", "=")
@@ -50,7 +51,7 @@ def list_key(visual: Column) -> Column:
 def canonical_rows(df: DataFrame, row_id: str, fields: list[str], lists: list[str]) -> DataFrame:
     """(row_id, canon) with canon the canonical text of the record."""
     cols = df.select(F.col(row_id).alias("row_id"), *[F.col(f).alias(f"f{i}") for i, f in enumerate(fields)])
-    done = with_visual(cols, [f"f{i}" for i in range(len(fields))], "_v")
+    done = with_folded(cols, [f"f{i}" for i in range(len(fields))], "_v")
     keys = [(list_key if f in lists else plain_key)(F.col(f"f{i}_v")) for i, f in enumerate(fields)]
     return done.select("row_id", F.concat_ws("\u0002", *keys).alias("canon"))
 
