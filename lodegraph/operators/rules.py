@@ -8,17 +8,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Header keywords by role, in the order in which roles are tried.
+# Header keywords by role (without spaces), in the order in which roles are tried.
 HEADER_ROLES = {
-    "name": ("명칭", "공종명", "종목", "공종", "항목", "작업명", "작업별", "구분", "종별", "품명", "item"),
-    "spec": ("규격", "사양", "치수", "size"),
-    "unit": ("단위", "unit"),
-    "quantity": ("수량", "소요량", "qty"),
-    "labor": ("인부", "인원", "인력", "노무", "기능공", "기능원", "작업원", "기사", "기술자", "배관공", "용접공", "철근공", "비계공", "전공"),
-    "equipment": ("장비", "기계", "크레인", "굴착기", "발전기", "항타기", "롤러", "펌프카", "살수차", "절단기", "용접기"),
-    "material": ("재료", "자재", "시멘트", "골재", "모래", "자갈", "철근", "콘크리트", "합판", "파이프", "밸브", "도료"),
-    "note": ("비고", "remark", "note"),
-}
+    "name": ("명칭", "공종명", "종목", "공종", "항목", "작업명", "작업별", "구분", "종별", "품명"),
+    "spec": ("규격", "사양", "치수"),
+    "unit": ("단위",),
+    "quantity": ("수량", "소요량"),
+    "labor": (
+        "인부", "인원", "인력", "노무", "특별인부", "보통인부", "콘크리트공", "철근공", "비계공", "형틀목공", "용접공", "배관공", "전공", "조적공", "미장공", "방수공", "도장공", "타일공", "내장공", "판금공", "석공",
+        "건축목공", "측량사", "측량보조", "기능공", "기사", "산업기사", "기능사", "기술자", "지적기사", "지적산업기사", "지적기능사", "특수용접공", "취부공",
+    ),
+    "equipment": (
+        "장비", "기계", "크레인", "굴착기", "굴삭기", "레미콘", "덤프트럭", "펌프카", "진동롤러", "로울러", "살수차", "콤프레셔", "발전기", "항타기", "천공기", "보링기", "그라우팅", "컷터기", "절단기", "다짐기", "다짐장비", "용접기", "브레이커",
+    ),
+    "material": (
+        "재료", "자재", "재료비", "시멘트", "골재", "모래", "자갈", "철근", "콘크리트", "레미콘", "아스팔트", "아스콘", "합판", "거푸집", "비계", "동바리", "방수재", "접착제", "실링재", "도료", "관", "파이프", "밸브", "이음쇠",
+    ),
+    "note": ("비고",),
+}
 NOT_UNIT = ("소수자리",)
 TOTALS = ("합계", "소계", "total")
 # Entity types with their id prefixes; allowed ends of each relation.
@@ -32,7 +39,7 @@ DIRECTIONS = {
     "BELONGS_TO": (("WorkType",), "Section"),
 }
 METHOD_RANK = {"merged": 1, "llm": 2, "table_rule": 3, "auto": 4}
-OUTLIER = {"REQUIRES_LABOR": 75.0, "USES_MATERIAL": 3300.0, "REQUIRES_EQUIPMENT": 225.0}
+OUTLIER = {"REQUIRES_LABOR": 75.0, "REQUIRES_EQUIPMENT": 3300.0, "USES_MATERIAL": 225.0}
 UNIT_SIGNS = {"㎥": "m³", "㎡": "m²", "㎝": "cm", "㎜": "mm", "㎞": "km", "㏊": "ha", "ℓ": "L", "KW": "kW", "Kw": "kW"}
 BLANK_SPECS = ("", "-", "없음", "—", "―")
 

@@ -205,6 +205,8 @@ def unit_in_text(text: str, quantity: float | None) -> str | None:
 
 
 SEP = "\u0001"
+#: Rows a table of common units may have at most.
+MOST_DIMENSIONS = 10_000
 
 
 def units_udf(field_name: str, basis: bool):
@@ -233,9 +235,16 @@ def _texts(own: str, props: str) -> Column:
 
 
 def common_targets(common_units: DataFrame) -> dict[str, tuple[str, float]]:
-    """dimension -> (common unit, its size). The table has one row a dimension, of which there are eight kinds."""
+    """dimension -> (common unit, its size). The table has one row a dimension.
+
+    Units have a handful of dimensions; a table of more than MOST_DIMENSIONS rows is no table of common units and
+    is refused, so no row of it is ever left out.
+    """
     out = {}
-    for r in common_units.select("dimension", "common_unit").limit(100).collect():
+    rows = common_units.select("dimension", "common_unit").distinct().limit(MOST_DIMENSIONS + 1).collect()
+    if len(rows) > MOST_DIMENSIONS:
+        raise ValueError(f"more than {MOST_DIMENSIONS} common units")
+    for r in rows:
         if r.common_unit and (got := parse_unit(r.common_unit)) and r.dimension:
             out[r.dimension] = (r.common_unit, got[1])
     return out

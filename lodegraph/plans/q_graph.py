@@ -252,7 +252,7 @@ SQL = {
         SELECT e.type, e.name AS old_name, decode(max(encode(r.new_name))) AS new_name FROM entities e JOIN rep r ON e.type = r.type AND e.normalized_name = r.normalized_name WHERE e.name <> r.new_name GROUP BY 1, 2""",
     "g07_missing_nodes": "SELECT DISTINCT target AS name, 0.8::DOUBLE AS confidence FROM relationships WHERE target_type = 'Section' AND target <> '' AND target NOT IN (SELECT name FROM graph_entities WHERE type = 'Section' AND name IS NOT NULL)",
     "g08_direction": f"SELECT type, source_type, target_type, CASE WHEN type NOT IN ({', '.join(repr(x) for x in rules.DIRECTIONS)}) THEN 'keep' WHEN {_DIR('source_type', 'target_type')} THEN 'keep' WHEN {_DIR('target_type', 'source_type')} THEN 'flip' ELSE 'drop' END AS action, count(*) AS n FROM relationships GROUP BY 1, 2, 3, 4",
-    "g09_outliers": "WITH r AS (SELECT type, coalesce(quantity > CASE type WHEN 'REQUIRES_LABOR' THEN 75 WHEN 'USES_MATERIAL' THEN 3300 WHEN 'REQUIRES_EQUIPMENT' THEN 225 END, false) AS o, confidence FROM relationships WHERE quantity IS NULL OR quantity <> 0) SELECT type, count(*) AS kept, count(*) FILTER (o) AS outliers, count(*) FILTER (o OR confidence = 0.3) AS low FROM r GROUP BY 1",
+    "g09_outliers": "WITH r AS (SELECT type, coalesce(quantity > CASE type WHEN 'REQUIRES_LABOR' THEN 75 WHEN 'REQUIRES_EQUIPMENT' THEN 3300 WHEN 'USES_MATERIAL' THEN 225 END, false) AS o, confidence FROM relationships WHERE quantity IS NULL OR quantity <> 0) SELECT type, count(*) AS kept, count(*) FILTER (o) AS outliers, count(*) FILTER (o OR confidence = 0.3) AS low FROM r GROUP BY 1",
     "g10_chunk_dedup": "SELECT min(rel_id) AS rel_id, source_chunk_id, type, source, source_type, target, target_type, quantity, unit, per_unit FROM relationships GROUP BY ALL",
     "g11_assign_ids": f"""WITH n AS (SELECT type, coalesce(normalized_name, '') AS name, coalesce(spec, '') AS spec, min(row_id) AS row_id FROM entities WHERE type IN ({', '.join(repr(x) for x in rules.TYPE_PREFIX)}) GROUP BY 1, 2, 3), r AS (SELECT *, row_number() OVER (PARTITION BY type ORDER BY encode(name), encode(spec)) AS n FROM n)
         SELECT type, name, spec, row_id, CASE type {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in rules.TYPE_PREFIX.items())} END || '-' || CASE WHEN n < 10000 THEN lpad(CAST(n AS VARCHAR), 4, '0') ELSE CAST(n AS VARCHAR) END AS id FROM r""",
