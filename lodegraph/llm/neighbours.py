@@ -33,9 +33,12 @@ DIM = 64
 CELL, MAX_CELLS, SAMPLE, PER_CELL = 2_000, 4_096, 8_192, 8
 #: Vectors a shard may have.
 MAX_SHARD = 16_384
-#: Cells each vector is searched in, its own included.
+#: Cells each vector is searched in, its own included, where pairs from a floor on are sought.
 PROBES = 5
-M, EF = 8, 16
+M, EF = 10, 24
+#: Where the k best are sought, so many cells are searched that they hold SHARE of the k nearest of PROBE_ROWS rows
+#: of the sample within the sample. Those are further away than the nearest of all rows, so the number errs upwards.
+SHARE, PROBE_ROWS = 0.98, 512
 
 
 def unit_vectors(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -53,8 +56,8 @@ def unit_vectors(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
         return rows[ok], (x[ok] / norm[ok, None]).astype("f4")
 
 
-def fit_cells(vectors: DataFrame, dim: int = DIM, cell: int = CELL) -> dict[str, np.ndarray]:
-    """table_name -> centroids. The sample is bounded; the counts are over all rows."""
+def fit_cells(vectors: DataFrame, dim: int = DIM, cell: int = CELL, k: int = 1) -> dict[str, tuple[np.ndarray, int]]:
+    """table_name -> (centroids, cells to search for the k best). The sample is bounded; the counts are over all rows."""
     out = {}
     # one row a table of the collection
     counts = {r.table_name: r.n for r in vectors.groupBy("table_name").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -65,18 +68,33 @@ def fit_cells(vectors: DataFrame, dim: int = DIM, cell: int = CELL) -> dict[str,
         x = unit_vectors(part.toArrow().column(0), dim)[1]
         x = np.unique(x, axis=0)
         cells = int(min(MAX_CELLS, max(1, -(-n // cell)), max(1, len(x) // PER_CELL)))
-        out[name] = centroids(x, cells) if len(x) else np.zeros((1, dim), "f4")
+        c = centroids(x, cells) if len(x) else np.zeros((1, dim), "f4")
+        out[name] = c, needed_probes(x, c, k)
     return out
 
 
+def needed_probes(x: np.ndarray, cells: np.ndarray, k: int) -> int:
+    """Cells, best first, in which SHARE of the k nearest of PROBE_ROWS rows of a sample lie."""
+    if len(cells) <= 1 or len(x) <= k:
+        return len(cells)
+    at = np.unique(np.linspace(0, len(x) - 1, PROBE_ROWS).astype(int))
+    s = x[at] @ x.T
+    s[np.arange(len(at)), at] = -2
+    near = np.argpartition(-s, k - 1, axis=1)[:, :k]
+    own = np.concatenate([(x[i : i + 4096] @ cells.T).argmax(1) for i in range(0, len(x), 4096)])
+    ranks = np.argsort(np.argsort(-(x[at] @ cells.T), axis=1, kind="stable"), axis=1)
+    found = np.sort(np.take_along_axis(ranks, own[near], axis=1).ravel())
+    return int(found[min(len(found) - 1, int(np.ceil(SHARE * len(found))) - 1)]) + 1
+
+
 def similar(vectors: DataFrame, k: int, floor: float, probes: int | None = PROBES, queries: DataFrame | None = None, m: int = M, ef: int = EF, search_ef: int | None = None, dim: int = DIM, cell: int = CELL) -> DataFrame:
     """(table_name, id_a, id_b, cosine), id_a < id_b: of each vector its k best and all of cosine >= floor.
 
     ``vectors`` has (table_name, id, embedding). With ``queries`` (table_name, id) only those rows are searched
-    for, against all; ``probes`` None searches all cells. ``ef`` is the beam while graphs are built, ``search_ef``
-    (the same unless given) that of searches in built graphs.
+    for, against all; ``probes`` None searches the measured number of cells. ``ef`` is the beam while graphs are
+    built, ``search_ef`` (the same unless given) that of searches in built graphs.
     """
-    placed = _placed(vectors, probes, queries, dim, cell, False)
+    placed = _placed(vectors, probes, queries, dim, cell, False, max(k, 1))
     met = _met(placed, k, floor, m, ef, search_ef, dim)
     links = placed.filter("link is not null and link <> id").select("table_name", F.least("id", "link").alias("id_a"), F.greatest("id", "link").alias("id_b"), F.lit(1.0).alias("cosine"))
     return met.unionByName(links).groupBy("table_name", "id_a", "id_b").agg(F.max("cosine").alias("cosine"))
@@ -85,9 +103,10 @@ def similar(vectors: DataFrame, k: int, floor: float, probes: int | None = PROBE
 def nearest(vectors: DataFrame, k: int, queries: DataFrame, probes: int | None = PROBES, m: int = M, ef: int = EF, search_ef: int | None = None, dim: int = DIM, cell: int = CELL) -> DataFrame:
     """(table_name, id, rank, other, cosine): the k best others of each asked id, ties by id.
 
-    ``queries`` is (table_name, id). All ids of one vector are neighbours of cosine 1.
+    ``queries`` is (table_name, id); ``probes`` None searches the measured number of cells. All ids of one vector
+    are neighbours of cosine 1.
     """
-    placed = _placed(vectors, probes, queries, dim, cell, True)
+    placed = _placed(vectors, probes, queries, dim, cell, True, k)
     # link is the vector's digest; each pair of a vector and an id once
     members = cut(placed.groupBy("table_name", F.col("link").alias("vector"), "id").agg(F.max("ask").alias("ask")))
     # one row; 1 unless an id has several vectors
@@ -114,14 +133,14 @@ def nearest(vectors: DataFrame, k: int, queries: DataFrame, probes: int | None =
     return got.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("table_name", "id", "rank", "other", "cosine")
 
 
-def _placed(vectors: DataFrame, probes: int | None, queries: DataFrame | None, dim: int, cell: int, digests: bool) -> DataFrame:
+def _placed(vectors: DataFrame, probes: int | None, queries: DataFrame | None, dim: int, cell: int, digests: bool, k: int) -> DataFrame:
     """(table_name, id, link, ask, v, cells): of the copies of a vector one a task has v and cells.
 
     ``link`` of the others is that one's id. With ``digests`` it is the digest of the vector in every row, and v
     and cells come again with the first asked copy of a task if the one before was not asked.
     """
     vectors = vectors.select("table_name", F.col("id").cast("string").alias("id"), "embedding").filter("id is not null and embedding is not null")
-    cells = fit_cells(vectors, dim, cell)
+    cells = fit_cells(vectors, dim, cell, k)
     spark = vectors.sparkSession
     shared = spark.sparkContext.broadcast(cells)  # at most MAX_CELLS x dim floats a table
     if queries is not None:
@@ -142,8 +161,9 @@ def _placed(vectors: DataFrame, probes: int | None, queries: DataFrame | None, d
             best: dict[int, np.ndarray] = {}
             for name in set(owner):
                 at = np.nonzero(owner == name)[0]
-                s = x[at] @ shared.value[name].T
-                p = s.shape[1] if probes is None else min(probes, s.shape[1])
+                centre, needed = shared.value[name]
+                s = x[at] @ centre.T
+                p = min(needed if probes is None else probes, s.shape[1])
                 top = np.argpartition(-s, p - 1, axis=1)[:, :p] if p < s.shape[1] else np.broadcast_to(np.arange(p), s.shape)
                 near = np.take_along_axis(top, np.argsort(-np.take_along_axis(s, top, 1), 1, kind="stable"), 1)
                 best.update(zip(at, near.astype("i4")))

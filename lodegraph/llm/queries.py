@@ -66,7 +66,8 @@ def p7_neighbours(spark: SparkSession, d: str) -> DataFrame:
     """The 5 most similar others of every row whose number is divisible by 100, against all rows."""
     v = _vectors(spark, d)
     asked = v.filter(F.regexp_extract("id", r"(\d+)$", 1).cast("long") % 100 == 0).select("table_name", "id").distinct()
-    return neighbours.nearest(v, 5, asked, probes=None, m=12, ef=32, search_ef=160, cell=8_000)
+    got = neighbours.nearest(v, 5, asked, probes=None, m=16, ef=64, search_ef=160, cell=8_000)
+    return got.withColumn("cosine", F.round("cosine", 5))
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -144,4 +145,9 @@ SQL: dict[str, str] = {
     "p7_found": """WITH v AS (SELECT DISTINCT 'graph_entities' AS table_name, id, CAST(embedding AS DOUBLE[]) AS e FROM graph_entities WHERE len(embedding) = 64 UNION SELECT 'graph_chunks', chunk_id, CAST(embedding AS DOUBLE[]) FROM graph_chunks WHERE len(embedding) = 64),
         ok AS (SELECT * FROM v WHERE len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND list_sum(list_transform(e, lambda x: x * x)) > 0)
         SELECT DISTINCT a.table_name, a.id AS id_a, b.id AS id_b FROM ok a JOIN ok b ON a.table_name = b.table_name AND a.id < b.id WHERE list_cosine_similarity(a.e, b.e) >= 0.9""",
+    # every asked id against all rows
+    "p7_neighbours": """WITH v AS (SELECT DISTINCT 'graph_entities' AS table_name, id, CAST(embedding AS DOUBLE[]) AS e FROM graph_entities WHERE len(embedding) = 64 UNION SELECT 'graph_chunks', chunk_id, CAST(embedding AS DOUBLE[]) FROM graph_chunks WHERE len(embedding) = 64),
+        ok AS (SELECT * FROM v WHERE len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND list_sum(list_transform(e, lambda x: x * x)) > 0),
+        p AS (SELECT a.table_name, a.id, b.id AS other, max(list_cosine_similarity(a.e, b.e)) AS c FROM ok a JOIN ok b ON a.table_name = b.table_name AND a.id <> b.id WHERE TRY_CAST(regexp_extract(a.id, '([0-9]+)$', 1) AS BIGINT) % 100 = 0 GROUP BY 1, 2, 3),
+        r AS (SELECT *, row_number() OVER (PARTITION BY table_name, id ORDER BY round(c, 6) DESC, other) AS rank FROM p) SELECT table_name, id, CAST(rank AS INT) AS rank, other, round(c, 5) AS cosine FROM r WHERE rank <= 5""",
 }

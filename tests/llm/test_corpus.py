@@ -137,7 +137,7 @@ def test_similar(spark):
     rows += [("t", "near", [float(v) for v in x[0] + 0.01]), ("t", "copy", rows[1][2]), ("t", "copy2", rows[1][2]), rows[2], ("u", "n-0", rows[0][2])]
     rows += [("t", "null", None), ("t", "short", [1.0]), ("t", "zero", [0.0] * 8), ("t", "nan", [float("nan")] + [1.0] * 7), ("t", None, rows[3][2]), ("t", "inner", [None] + [1.0] * 7)]
     d = spark.createDataFrame(rows, "table_name string, id string, embedding array<float>")
-    got = {(q.id_a, q.id_b) for q in neighbours.similar(d, 0, 0.9, probes=None, dim=8, cell=100).filter("table_name = 't'").collect()}
+    got = {(q.id_a, q.id_b) for q in neighbours.similar(d, 0, 0.9, probes=999, dim=8, cell=100).filter("table_name = 't'").collect()}
     y = np.concatenate([x, [(x[0] + 0.01) / np.linalg.norm(x[0] + 0.01)]])
     names = [f"n-{i}" for i in range(400)] + ["near"]
     want = {tuple(sorted((names[i], names[j]))) for i, j in zip(*np.nonzero(np.triu(y @ y.T >= 0.9, 1)))}
@@ -146,7 +146,7 @@ def test_similar(spark):
     # copies hang on one of them, not on each other in all pairs
     assert {v for p in extra for v in p} >= {"copy", "copy2"} and all({"copy", "copy2"} & set(p) for p in extra)
     asked = spark.createDataFrame([("t", "n-7"), ("t", "absent")], "table_name string, id string")
-    top = neighbours.top_k(neighbours.similar(d, 5, 2.0, probes=None, queries=asked, m=12, ef=64, dim=8, cell=200), 5).filter("id = 'n-7'").orderBy("rank").collect()
+    top = neighbours.top_k(neighbours.similar(d, 5, 2.0, probes=999, queries=asked, m=12, ef=64, dim=8, cell=200), 5).filter("id = 'n-7'").orderBy("rank").collect()
     best = [names[j] for j in np.argsort(-(y @ x[7])) if j != 7][:5]
     assert [t.other for t in top] == best
     assert neighbours.similar(d.limit(0), 5, 0.9, dim=8).count() == 0
@@ -162,7 +162,7 @@ def test_copies_of_asked_vectors_have_all_their_neighbours(spark):
     names = ["c-03", "c-08", "n-007", "d-1", "n-005", "n-010", "n-100"]
     asked = spark.createDataFrame([("t", n) for n in [*names, "absent"]], "table_name string, id string")
     got = {}
-    for q in neighbours.nearest(d, 5, asked, probes=None, m=12, ef=64, dim=8, cell=100).orderBy("id", "rank").collect():
+    for q in neighbours.nearest(d, 5, asked, probes=999, m=12, ef=64, dim=8, cell=100).orderBy("id", "rank").collect():
         got.setdefault(q.id, []).append(q.other)
     ids, y = [i for i, _ in rows], np.array([v for _, v in rows])
     for n in names:
@@ -173,3 +173,16 @@ def test_copies_of_asked_vectors_have_all_their_neighbours(spark):
         best.pop(n)
         assert got[n] == sorted(best, key=lambda j: (-best[j], j))[:5]
     assert set(got) == set(names)
+
+
+def test_measured_probes():
+    r = np.random.default_rng(6)
+    x = _unit(r, 4000, 16)
+    c = hnsw.centroids(x, 40)
+    p = neighbours.needed_probes(x, c, 5)
+    s = x @ x.T
+    np.fill_diagonal(s, -2)
+    near = np.argsort(-s, axis=1)[:, :5]
+    own, ranks = (x @ c.T).argmax(1), np.argsort(np.argsort(-(x @ c.T), axis=1), axis=1)
+    assert 0.96 < (np.take_along_axis(ranks, own[near], 1) < p).mean() and 1 < p < 40
+    assert neighbours.needed_probes(x[:3], c, 5) == 40 and neighbours.needed_probes(x, c[:1], 5) == 1
