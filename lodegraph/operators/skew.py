@@ -19,6 +19,12 @@ def hot_keys(counts: DataFrame, key: str, n: str, total: int) -> DataFrame:
     return counts.filter(F.col(n) >= F.lit(least)).select(key)
 
 
+def few_hot(counts: DataFrame, key: str, n: str) -> DataFrame:
+    """``hot_keys`` of a table of (key, n), worked out now: a local table of at most HOT_PARTS keys."""
+    total = counts.agg(F.sum(n)).first()[0] or 0
+    return counts.sparkSession.createDataFrame(hot_keys(counts, key, n, total).collect(), counts.select(key).schema)
+
+
 def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, hot: DataFrame, how: str = "left") -> DataFrame:
     """``rows`` joined with ``lookup`` (one row a key) where ``hot`` lists the at most HOT_PARTS hot keys.
 

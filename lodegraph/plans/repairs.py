@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodegraph.operators import orphans, units
-from lodegraph.plans.session import cut, load
+from lodegraph.plans.session import load
 
 NAME_ENDS = {"source": ["source_type", "source"], "target": ["target_type", "target"]}
 ID_ENDS = {"source": ["source_id"], "target": ["target_id"]}
@@ -27,19 +27,14 @@ def p5_common(spark: SparkSession, d: str) -> DataFrame:
     return _converted(spark, d).select("table_name", "row_id", "quantity", "dimension", "common_quantity", "common_unit", "common_basis").distinct()
 
 
-def _orphans(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """(ends, orphans): both with table_name; parents are one lookup of ids and of (type, name)."""
+def _ends_and_state(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(ends, state): the ends of both tables and the records by id and by (type, name), under one kind of ref."""
     g = load(spark, d, "graph_entities").select("id", "type", "name", "is_active", "created_at")
-    by_id = orphans.parent_state(g.withColumn("ref", F.concat(F.lit("#"), "id")), "ref")
-    by_name = orphans.parent_state(g.withColumn("ref", F.concat(F.col("type"), F.lit("\u0001"), F.col("name"))), "ref")
-    state = by_id.unionByName(by_name).filter("ref is not null")
+    refs = F.array(F.concat(F.lit("#"), "id"), F.concat(F.col("type"), F.lit("\u0001"), F.col("name")))
+    state = orphans.parent_state(g.select(F.explode(refs).alias("ref"), "is_active", "created_at").filter("ref is not null"), "ref")
     a = orphans.reference_ends(load(spark, d, "relationships"), "rel_id", NAME_ENDS).withColumn("table_name", F.lit("relationships"))
     b = orphans.reference_ends(load(spark, d, "graph_relationships"), "id", ID_ENDS).withColumn("table_name", F.lit("graph_relationships"))
-    b = b.withColumn("ref", F.concat(F.lit("#"), "ref")).withColumn("row_id", F.col("row_id").cast("long"))
-    ends = a.unionByName(b).withColumn("row_id", F.concat_ws("\u0001", "table_name", F.col("row_id").cast("string")))
-    got = orphans.direct_orphans(ends, state)
-    split = F.split("row_id", "\u0001")
-    return ends, got.select(split[0].alias("table_name"), split[1].cast("long").alias("row_id"), "end_name", "ref", "at", "reason")
+    return a.unionByName(b.withColumn("ref", F.concat(F.lit("#"), "ref")).withColumn("row_id", F.col("row_id").cast("long"))), state
 
 
 #: Edges whose source is a part of their target, and the other way round.
@@ -47,63 +42,42 @@ PARENT_RELATIONS = ["BELONGS_TO"]
 CHILD_RELATIONS = ["HAS_CHILD"]
 
 
-def orphan_cascade(spark: SparkSession, d: str) -> DataFrame:
-    """(table_name, row_id, end_name, at, reason) of all orphaned ends, direct and inherited.
-
-    A record is orphaned if a record it belongs to is missing or deleted, or is itself orphaned; an end that
-    refers to such a record is an orphan by inheritance unless it is one directly.
-    """
-    direct = cut(_orphans(spark, d)[1].distinct())
-    edges = load(spark, d, "graph_relationships").select(F.col("id").cast("long").alias("row_id"), "source_id", "target_id", "relation", "created_at")
-    up = edges.filter(F.col("relation").isin(PARENT_RELATIONS)).select(F.col("source_id").alias("child"), F.col("target_id").alias("parent"))
-    down = edges.filter(F.col("relation").isin(CHILD_RELATIONS)).select(F.col("target_id").alias("child"), F.col("source_id").alias("parent"))
-    mine = direct.filter("table_name = 'graph_relationships'")
-    gone = mine.filter("reason in ('missing', 'deleted')").select(F.substring("ref", 2, 1_000_000).alias("ref"))
-    below = orphans.inherited_orphans(up.unionByName(down), gone).select("ref").distinct()
-    ends = orphans.reference_ends(edges, "row_id", ID_ENDS).distinct()
-    hit = ends.join(below, "ref", "left_semi").join(mine.select("row_id", "end_name").distinct(), ["row_id", "end_name"], "left_anti")
-    inherited = hit.select(F.lit("graph_relationships").alias("table_name"), "row_id", "end_name", "at", F.lit("inherited").alias("reason"))
-    return direct.select("table_name", "row_id", "end_name", "at", "reason").unionByName(inherited)
-
-
-def orphan_cascade_both(spark: SparkSession, d: str) -> DataFrame:
-    """``orphan_cascade`` with the parent links and the orphaned records of both tables.
-
-    graph_relationships names records by id, relationships by type and name; each is followed under its own key.
-    """
-    all_ends, direct = _orphans(spark, d)
-    direct = cut(direct.distinct())
+def _links(spark: SparkSession, d: str) -> DataFrame:
+    """(child, parent) of both tables; graph_relationships names records by id, relationships by type and name."""
     by_name = lambda e: F.when(F.coalesce(F.col(e), F.lit("")) != "", F.concat_ws("\u0001", F.coalesce(F.col(f"{e}_type"), F.lit("\u0000")), e))
     by_id = lambda e: F.when(F.coalesce(F.col(f"{e}_id"), F.lit("")) != "", F.concat(F.lit("#"), f"{e}_id"))
-    links = None
+    parts = []
     for table, relation, ref in (("relationships", "type", by_name), ("graph_relationships", "relation", by_id)):
-        t = load(spark, d, table)
-        for kinds, child, parent in ((PARENT_RELATIONS, "source", "target"), (CHILD_RELATIONS, "target", "source")):
-            part = t.filter(F.col(relation).isin(kinds)).select(ref(child).alias("child"), ref(parent).alias("parent"))
-            links = part if links is None else links.unionByName(part)
-    below = orphans.inherited_orphans(links, direct.filter("reason in ('missing', 'deleted')").select("ref")).select("ref").distinct()
-    split = F.split("row_id", "\u0001")
-    ends = all_ends.select(split[0].alias("table_name"), split[1].cast("long").alias("row_id"), "end_name", "ref", "at").distinct()
-    key = ["table_name", "row_id", "end_name"]
-    hit = ends.join(below, "ref", "left_semi").join(direct.select(*key).distinct(), key, "left_anti")
-    return direct.select(*key, "at", "reason").unionByName(hit.select(*key, "at", F.lit("inherited").alias("reason")))
+        t, up = load(spark, d, table), F.col(relation).isin(PARENT_RELATIONS)
+        ways = F.when(up, F.struct(ref("source").alias("child"), ref("target").alias("parent"))).when(F.col(relation).isin(CHILD_RELATIONS), F.struct(ref("target").alias("child"), ref("source").alias("parent")))
+        parts.append(t.select(ways.alias("x")).filter("x is not null").select("x.*"))
+    return parts[0].unionByName(parts[1])
 
 
-def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return orphan_cascade(spark, d).filter("reason <> 'inherited'").select("table_name", "row_id", "end_name").distinct()
+def orphan_cascade(spark: SparkSession, d: str, inherit: bool = True) -> DataFrame:
+    """(table_name, row_id, end_name, ref, at, reason) of the orphaned ends of both tables.
 
+    The base of the cascade are the direct orphans. From the records among them that are missing or deleted it
+    goes down the parent links of both tables; an end that refers to a record found there is an orphan by
+    inheritance unless it is one directly. Without ``inherit`` it stops at the base.
+    """
+    ends, state = _ends_and_state(spark, d)
+    hot = orphans.hot_refs(ends)
+    base = orphans.orphaned_ends(ends, state, hot)
+    if not inherit:
+        return base
+    gone = base.filter("reason in ('missing', 'deleted')").select("ref")
+    return orphans.orphaned_ends(ends, state, hot, orphans.inherited_orphans(_links(spark, d), gone))
 
-def p6_report(spark: SparkSession, d: str) -> DataFrame:
-    """Orphaned ends by table and month of created_at, direct ones by reason and those by inheritance.
 
-    Inheritance is walked in graph_relationships only, as its SQL has it; ``p6_report_both`` walks both tables.
-    """
-    return _by_month(orphan_cascade(spark, d))
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """The base of the cascade: what is orphaned directly, which is what a case is."""
+    return orphan_cascade(spark, d, inherit=False).select("table_name", "row_id", "end_name").distinct()
 
 
-def p6_report_both(spark: SparkSession, d: str) -> DataFrame:
-    """``p6_report`` with inheritance in both tables."""
-    return _by_month(orphan_cascade_both(spark, d))
+def p6_report(spark: SparkSession, d: str) -> DataFrame:
+    """Orphaned ends by table and month of created_at, direct ones by reason and those by inheritance."""
+    return _by_month(orphan_cascade(spark, d))
 
 
 def _by_month(found: DataFrame) -> DataFrame:
@@ -112,7 +86,7 @@ def _by_month(found: DataFrame) -> DataFrame:
     return got.groupBy("table_name", "month").agg(F.count_if(F.col("reason") != "inherited").alias("direct"), *kinds)
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_common, p6_found, p6_report, p6_report_both)}
+QUERIES = {f.__name__: f for f in (p5_found, p5_common, p6_found, p6_report)}
 
 SQL = {
     "p6_found": """
@@ -129,16 +103,17 @@ SQL = {
         WHERE g.k <> '' AND (s.born IS NULL OR s.born > g.created_at)""",
     "p6_report": """
         WITH RECURSIVE st_id AS (SELECT id AS k, min(CASE WHEN coalesce(is_active, true) THEN created_at END) AS born FROM graph_entities GROUP BY 1),
-        st_name AS (SELECT type, name, min(CASE WHEN coalesce(is_active, true) THEN created_at END) AS born FROM graph_entities GROUP BY 1, 2),
-        r AS (SELECT rel_id AS row_id, 'source' AS end_name, source_type AS t, source AS n, created_at AS ts FROM relationships UNION ALL SELECT rel_id, 'target', target_type, target, created_at FROM relationships),
-        g AS (SELECT CAST(id AS BIGINT) AS row_id, 'source' AS end_name, source_id AS k, created_at AS ts FROM graph_relationships UNION ALL SELECT id, 'target', target_id, created_at FROM graph_relationships),
-        dr AS (SELECT 'relationships' AS table_name, row_id, end_name, ts, CASE WHEN s.name IS NULL THEN 'missing' WHEN born IS NULL THEN 'deleted' WHEN born > ts THEN 'later' END AS reason, n AS k FROM r LEFT JOIN st_name s ON s.type = r.t AND s.name = r.n WHERE n <> ''),
-        dg AS (SELECT 'graph_relationships' AS table_name, row_id, end_name, ts, CASE WHEN s.k IS NULL THEN 'missing' WHEN born IS NULL THEN 'deleted' WHEN born > ts THEN 'later' END AS reason, g.k FROM g LEFT JOIN st_id s ON s.k = g.k WHERE g.k <> ''),
-        direct AS (SELECT * FROM dr WHERE reason IS NOT NULL UNION ALL SELECT * FROM dg WHERE reason IS NOT NULL),
-        links AS (SELECT DISTINCT source_id AS child, target_id AS parent FROM graph_relationships WHERE relation = 'BELONGS_TO' AND source_id <> target_id UNION SELECT target_id, source_id FROM graph_relationships WHERE relation = 'HAS_CHILD' AND source_id <> target_id),
-        gone AS (SELECT DISTINCT k FROM dg WHERE reason IN ('missing', 'deleted')),
-        below AS (SELECT child AS k FROM links WHERE parent IN (SELECT k FROM gone) UNION SELECT child FROM links JOIN below ON parent = below.k),
-        inh AS (SELECT 'graph_relationships' AS table_name, row_id, end_name, ts, 'inherited' AS reason FROM g WHERE g.k IN (SELECT k FROM below WHERE k NOT IN (SELECT k FROM gone)) AND g.k <> '' AND NOT EXISTS (SELECT 1 FROM dg WHERE dg.reason IS NOT NULL AND dg.row_id = g.row_id AND dg.end_name = g.end_name)),
-        u AS (SELECT DISTINCT table_name, row_id, end_name, reason, strftime(ts, '%Y-%m') AS month FROM (SELECT table_name, row_id, end_name, ts, reason FROM direct UNION ALL SELECT * FROM inh))
-        SELECT table_name, month, count(*) FILTER (reason <> 'inherited') AS direct, count(*) FILTER (reason = 'missing') AS missing, count(*) FILTER (reason = 'deleted') AS deleted, count(*) FILTER (reason = 'later') AS later, count(*) FILTER (reason = 'inherited') AS inherited FROM u GROUP BY 1, 2""",
+        st_name AS (SELECT type || chr(1) || name AS k, min(CASE WHEN coalesce(is_active, true) THEN created_at END) AS born FROM graph_entities GROUP BY 1),
+        st AS (SELECT 'relationships' AS t, k, born FROM st_name WHERE k IS NOT NULL UNION ALL SELECT 'graph_relationships', k, born FROM st_id WHERE k IS NOT NULL),
+        rel AS (SELECT 'relationships' AS t, rel_id AS row_id, CASE WHEN source <> '' THEN coalesce(source_type, '') || chr(1) || source END AS a, CASE WHEN target <> '' THEN coalesce(target_type, '') || chr(1) || target END AS b, type AS kind, created_at AS ts FROM relationships
+                UNION ALL SELECT 'graph_relationships', CAST(id AS BIGINT), nullif(source_id, ''), nullif(target_id, ''), relation, created_at FROM graph_relationships),
+        ends AS (SELECT t, row_id, 'source' AS e, a AS k, ts FROM rel WHERE a IS NOT NULL UNION ALL SELECT t, row_id, 'target', b, ts FROM rel WHERE b IS NOT NULL),
+        dir AS (SELECT ends.*, CASE WHEN st.k IS NULL THEN 'missing' WHEN born IS NULL THEN 'deleted' WHEN born > ts THEN 'later' END AS reason FROM ends LEFT JOIN st USING (t, k)),
+        links AS (SELECT DISTINCT t, a AS child, b AS parent FROM rel WHERE kind = 'BELONGS_TO' AND a <> b UNION SELECT t, b, a FROM rel WHERE kind = 'HAS_CHILD' AND a <> b),
+        gone AS (SELECT DISTINCT t, k FROM dir WHERE reason IN ('missing', 'deleted')),
+        below AS (SELECT links.t, child AS k FROM links JOIN gone ON gone.t = links.t AND parent = gone.k UNION SELECT links.t, child FROM links JOIN below ON links.t = below.t AND parent = below.k),
+        inh AS (SELECT ends.* FROM ends JOIN below USING (t, k) ANTI JOIN gone USING (t, k)),
+        u AS (SELECT DISTINCT t, row_id, e, reason, strftime(ts, '%Y-%m') AS month FROM dir WHERE reason IS NOT NULL
+              UNION SELECT t, row_id, e, 'inherited', strftime(ts, '%Y-%m') FROM inh WHERE NOT EXISTS (SELECT 1 FROM dir WHERE reason IS NOT NULL AND dir.t = inh.t AND dir.row_id = inh.row_id AND dir.e = inh.e))
+        SELECT t AS table_name, month, count(*) FILTER (reason <> 'inherited') AS direct, count(*) FILTER (reason = 'missing') AS missing, count(*) FILTER (reason = 'deleted') AS deleted, count(*) FILTER (reason = 'later') AS later, count(*) FILTER (reason = 'inherited') AS inherited FROM u GROUP BY 1, 2""",
 }

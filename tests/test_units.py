@@ -54,9 +54,9 @@ def test_direct_orphans(spark):
     g = spark.createDataFrame([("a", True, t(5)), ("a", False, t(1)), ("b", False, t(1)), ("c", None, None)], "ref string, is_active boolean, created_at timestamp_ntz")
     e = spark.createDataFrame([(1, "a", t(6)), (2, "a", t(2)), (3, "b", t(9)), (4, "z", t(9)), (5, "", t(9)), (6, None, t(9)), (7, "c", None), (1, "a", t(6))], "row_id long, source string, created_at timestamp_ntz")
     ends = orphans.reference_ends(e, "row_id", {"source": ["source"]})
-    got = {(x.row_id, x.reason) for x in orphans.direct_orphans(ends, orphans.parent_state(g, "ref")).collect()}
+    got = {(x.row_id, x.reason) for x in orphans.orphaned_ends(ends, orphans.parent_state(g, "ref"), orphans.hot_refs(ends)).collect()}
     assert got == {(2, "later"), (3, "deleted"), (4, "missing")}
-    assert orphans.direct_orphans(ends.limit(0), orphans.parent_state(g, "ref")).count() == 0
+    assert orphans.orphaned_ends(ends.limit(0), orphans.parent_state(g, "ref"), orphans.hot_refs(ends.limit(0))).count() == 0
 
 
 def test_cascade_ends_in_cycles(spark):
