@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lodegraph.operators.ordering import global_row_number
 from lodegraph.operators.texts import paragraph_parts, token_count
 
-SOFT, LEAST_TEXT = 1500, 300
+SOFT, HARD, LEAST_TEXT = 1500, 2000, 300
 
 
 def pack_ranges(sizes: Column, budget: Column | int) -> Column:
@@ -48,27 +48,81 @@ def table_groups(tables: Column, budget: int) -> Column:
     return F.transform(cuts, lambda c: F.slice(pieces, c["from"] + 1, c["n"]))
 
 
-def section_parts(sections: DataFrame, soft: int = SOFT) -> DataFrame:
-    """Rows of sections (text, tables, …) as parts: part_no, n_parts, text, tables.
+PART = "struct<text:string,tables:{0},notes:array<string>>"
+
+
+def _parts_size(text: Column, tables: Column, notes: Column) -> Column:
+    add = lambda xs, f: F.coalesce(F.aggregate(xs, F.lit(0), lambda a, x: a + f(x)), F.lit(0))
+    return token_count(text) + add(tables, table_size) + add(notes, token_count)
+
+
+def _with_notes(df: DataFrame) -> DataFrame:
+    return df if "notes" in df.columns else df.withColumn("notes", F.array().cast("array<string>"))
 
-    A section within the budget is one part. Otherwise its text is packed by paragraphs and its tables by
-    groups; the first text part takes the first group if both fit. No text and no table row is lost.
+
+def _numbered(d: DataFrame, keep: list[str], parts: Column, no: str, n: str) -> DataFrame:
+    d = d.withColumn("__p", parts)
+    d = d.select(*keep, F.size("__p").alias(n), F.posexplode("__p").alias("__i", "__x"))
+    return d.select(*keep, n, (F.col("__i") + 1).alias(no), "__x.text", "__x.tables", "__x.notes")
+
+
+def section_parts(sections: DataFrame, soft: int = SOFT) -> DataFrame:
+    """Sections (text, tables, and notes if there are any) as parts: part_no, n_parts, text, tables, notes.
+
+    A section within the budget is one part. Of a larger one the notes stay with the first part, and
+    - several tables are packed into groups, large ones in pieces; the first group goes with the text if that fits
+      the budget, else with the first piece of the text cut at half the budget, whose other pieces follow;
+    - a single table over the budget is cut into pieces behind the pieces of the text; a smaller one stays with the
+      first piece of a text cut to what it leaves, ``LEAST_TEXT`` at least;
+    - a text alone is cut by paragraphs.
+    No text, note and table row is lost.
+    """
+    d = _with_notes(sections)
+    kind = d.schema["tables"].dataType.simpleString()
+    none_t, none_n = F.array().cast(kind), F.array().cast("array<string>")
+    t, tb, notes = F.col("text"), F.coalesce(F.col("tables"), none_t), F.coalesce(F.col("notes"), none_n)
+    one = F.get(tb, F.lit(0))
+    d = d.withColumns({"__over": _parts_size(t, tb, notes) > soft, "__t": F.coalesce(table_size(one), F.lit(0)), "__n": F.size(tb)})
+    large = F.col("__over") & (F.col("__n") == 1) & (F.col("__t") > soft)
+    budget = F.when(F.col("__n") > 1, F.lit(soft // 2)).when((F.col("__n") == 1) & ~large, F.greatest(F.lit(soft) - F.col("__t"), F.lit(LEAST_TEXT))).otherwise(F.lit(soft))
+    whole = ~F.col("__over") | (F.col("__n") > 1) & (token_count(t) <= soft)
+    texts = F.when(F.coalesce(F.trim(t), F.lit("")) == "", none_n).when(whole, F.array(t)).otherwise(paragraph_parts(t, budget))
+    groups = F.when(large, F.transform(split_table(one, soft), lambda x: F.array(x))).when(F.col("__over") & (F.col("__n") > 1), table_groups(tb, soft)).otherwise(F.array(tb))
+    # the first piece of the text leads: with the notes, and with the first group of tables unless one large table is cut
+    d = d.withColumns({"__lead": F.when(large, 0).otherwise(1), "__texts": texts, "__groups": groups})
+    part = lambda text, tabs, ns: F.struct(text.cast("string").alias("text"), tabs.alias("tables"), ns.alias("notes"))
+    behind = lambda xs, n: F.slice(xs, n + 1, F.greatest(F.size(xs), F.lit(1)))
+    first = part(F.coalesce(F.get("__texts", F.lit(0)), F.when(F.col("__over"), "").otherwise(t)), F.when(F.col("__lead") == 1, F.coalesce(F.get("__groups", F.lit(0)), none_t)).otherwise(none_t), notes)
+    led = F.when((F.col("__lead") == 1) | (F.size("__texts") > 0) | (F.size(notes) > 0), F.array(first)).otherwise(F.array().cast(f"array<{PART.format(kind)}>"))
+    rest = F.concat(F.transform(behind(F.col("__texts"), F.lit(1)), lambda p: part(p, none_t, none_n)), F.transform(behind(F.col("__groups"), F.col("__lead")), lambda g: part(F.lit(""), g, none_n)))
+    return _numbered(d, [c for c in sections.columns if c not in ("text", "tables", "notes")], F.concat(led, rest), "part_no", "n_parts")
+
+
+def hard_parts(parts: DataFrame, soft: int = SOFT, hard: int = HARD) -> DataFrame:
+    """``parts`` with those over ``hard`` cut again: sub_no, n_subs.
+
+    Text and tables are parted: the text is cut to ``hard - 100`` (the soft budget if there are tables), each
+    table is a piece of its own, one over ``hard - 100`` in pieces of rows. Notes go with the first piece. What
+    cannot be cut (one paragraph, one row) stays as it is.
     """
-    t, tb = F.col("text"), F.col("tables")
-    none_t = F.slice(tb, 1, 0)
-    total = token_count(t) + F.coalesce(F.aggregate(tb, F.lit(0), lambda a, x: a + table_size(x)), F.lit(0))
-    part = lambda text, tabs: F.struct(text.cast("string").alias("text"), tabs.alias("tables"))
-    by_text = F.when(F.coalesce(F.trim(t), F.lit("")) != "", F.transform(paragraph_parts(t, soft), lambda p: part(p, none_t))).otherwise(F.transform(F.slice(F.array(F.lit("")), 1, 0), lambda p: part(p, none_t)))
-    by_tables = F.transform(table_groups(F.coalesce(tb, F.array()), soft), lambda g: part(F.lit(""), g))
-    parts = F.when(total <= soft, F.array(part(t, tb))).otherwise(F.concat(by_text, by_tables))
-    parts = F.when(F.size(parts) == 0, F.array(part(t, tb))).otherwise(parts)
-    keep = [c for c in sections.columns if c not in ("text", "tables")]
-    d = sections.withColumn("__p", parts)
-    return d.select(*keep, F.size("__p").alias("n_parts"), F.posexplode("__p").alias("__i", "__x")).select(*keep, "n_parts", (F.col("__i") + 1).alias("part_no"), F.col("__x.text").alias("text"), F.col("__x.tables").alias("tables"))
+    d = _with_notes(parts)
+    kind = d.schema["tables"].dataType.simpleString()
+    t, tb, notes = F.col("text"), F.coalesce(F.col("tables"), F.array().cast(kind)), F.coalesce(F.col("notes"), F.array().cast("array<string>"))
+    part = lambda text, tabs, ns: F.struct(text.cast("string").alias("text"), tabs.alias("tables"), ns.alias("notes"))
+    budget = F.when(F.size(tb) > 0, F.lit(min(hard - 100, soft))).otherwise(F.lit(hard - 100))
+    texts = F.when(F.coalesce(F.trim(t), F.lit("")) == "", F.array().cast("array<string>")).otherwise(paragraph_parts(t, budget))
+    none_t, none_n = F.array().cast(kind), F.array().cast("array<string>")
+    tables = F.flatten(F.transform(tb, lambda x: F.transform(split_table(x, hard - 100), lambda y: part(F.lit(""), F.array(y), none_n))))
+    some = F.concat(F.transform(texts, lambda p: part(p, none_t, none_n)), tables)
+    led = F.transform(some, lambda x, i: x.withField("notes", F.when(i == 0, notes).otherwise(none_n)))
+    whole = F.array(part(t, tb, notes))
+    subs = F.when((_parts_size(t, tb, notes) <= hard) | (F.size(led) <= 1), whole).otherwise(led)
+    return _numbered(d, [c for c in parts.columns if c not in ("text", "tables", "notes")], subs, "sub_no", "n_subs")
 
 
 def number_chunks(parts: DataFrame, order: list[str], with_content: bool = True) -> DataFrame:
-    """chunk_id ``C-0001`` by section in order, with -A, -B, … (then numbers) for the parts of a section.
+    """chunk_id ``C-0001`` by section in order, with -A, -B, … (then numbers) for the parts of a section and -a, -b,
+    … for the pieces of a part (``hard_parts``).
 
     ``order`` is a total order of sections. Parts with neither text nor tables are left out.
     """
@@ -81,5 +135,8 @@ def number_chunks(parts: DataFrame, order: list[str], with_content: bool = True)
     cond = on[0]
     for c in on[1:]:
         cond = cond & c
+    if "sub_no" in parts.columns:
+        small = F.when(F.col("sub_no") <= 26, F.char(F.lit(96) + F.col("sub_no"))).otherwise(F.col("sub_no").cast("string"))
+        suffix = F.concat(suffix, F.when(F.col("n_subs") > 1, F.concat(F.lit("-"), small)).otherwise(""))
     d = parts.alias("p").join(ids.alias("i"), cond).select("p.*", "i.__n")
     return d.withColumn("chunk_id", F.concat(F.format_string("C-%04d", F.col("__n")), suffix)).drop("__n")

@@ -16,7 +16,7 @@ def header_role(header: Column) -> Column:
 
 def entity_name(name: Column) -> Column:
     """Single spaces between Hangul go, a number joins its unit, other white space is squeezed."""
-    t = F.trim(F.regexp_replace(name, r"\s+", " "))
+    t = F.trim(F.regexp_replace(name, r"(?U)\s+", " "))
     t = F.regexp_replace(t, r"(?<=[가-힣]) (?=[가-힣])", "")
     return F.regexp_replace(t, r"(\d) (mm|cm|m|kg|t|kW)(?![A-Za-z])", "$1$2")
 

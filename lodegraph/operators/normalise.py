@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from lodegraph.operators import rules
 from lodegraph.operators.ordering import global_row_number, latest
+from lodegraph.operators.skew import few_hot, lookup_join
 
 
 @F.pandas_udf(T.StringType())
@@ -20,19 +21,28 @@ def nfkc(s: pd.Series) -> pd.Series:
 
 
 def _tidy(t: Column) -> Column:
-    t = F.trim(F.regexp_replace(t, r"\s+", " "))
+    t = F.trim(F.regexp_replace(t, r"(?U)\s+", " "))
     t = F.regexp_replace(F.regexp_replace(t, r"\s*\(\s*", "("), r"\s*\)\s*", ")")
     for a, b in rules.UNIT_SIGNS.items():
         t = F.replace(t, F.lit(a), F.lit(b))
     return t
 
 
-def normal_name(name: Column) -> Column:
-    """Diameter sign before a number out, NFKC, white space squeezed, none at parentheses, unit signs. Null is ''."""
+def normal_name(name: Column, type_: Column | None = None) -> Column:
+    """Diameter sign before a number out, NFKC, white space squeezed, none at parentheses, unit signs. Null is ''.
+
+    Given the type, the spaced-out trades of labour names are written together.
+    """
     bare = F.regexp_replace(F.coalesce(name, F.lit("")), r"[φΦø∅ɸ]\s*(?=\d)", "")
     # plain ASCII and Hangul syllables are composed already and need no Python
     odd = bare.rlike(r"[^\x00-\x7f가-힣]")
-    return _tidy(F.when(odd, nfkc(F.when(odd, bare))).otherwise(bare))
+    t = F.when(odd, nfkc(F.when(odd, bare))).otherwise(bare)
+    if type_ is not None:
+        whole = t
+        for trade in rules.SPACED_TRADES:
+            whole = F.replace(whole, F.lit(" ".join(trade)), F.lit(trade))
+        t = F.when(type_ == "Labor", whole).otherwise(t)
+    return _tidy(t)
 
 
 def normal_spec(spec: Column) -> Column:
@@ -50,15 +60,41 @@ def representatives(e: DataFrame, keys: list[str]) -> DataFrame:
     ).select(*keys, F.col("o.r").alias("row_id"), "n_rows", "confidence", F.col("l.s").alias("longest_spec"), "n_chunks")
 
 
-def direction_actions(r: DataFrame) -> DataFrame:
-    """(rel_id, action): what a relation's ends need, by the table of allowed directions.
+def chunk_heads(e: DataFrame, chunk: str = "source_chunk_id", order: str = "row_id") -> DataFrame:
+    """(chunk, work, section): the first WorkType and the first Section of each chunk; blank ids are none."""
+    first = lambda t: F.min_by("name", F.when((F.col("type") == t) & (F.trim("name") != ""), F.col(order)))
+    return e.filter(F.trim(chunk) != "").groupBy(chunk).agg(first("WorkType").alias("work"), first("Section").alias("section"))
+
+
+def repair_directions(r: DataFrame, heads: DataFrame, chunk: str = "source_chunk_id") -> DataFrame:
+    """``r`` with action and the ends that follow from it, by the table of allowed directions.
 
-    keep: allowed or unknown relation; flip: allowed the other way round; drop: neither, or an end without type.
+    keep: an allowed or unknown relation. note: the target of HAS_NOTE that is called a WorkType reads like a note
+    and becomes one. work: a source that is not allowed becomes the chunk's first WorkType; for labour, equipment
+    and material whatever the target is, for other relations if the target is of the right type. section: there
+    is no WorkType, and a material may hang on the chunk's Section. drop: everything else, notes of notes among it.
     """
-    ok = rules.allowed(F.col("type"), F.col("source_type"), F.col("target_type"))
-    back = rules.allowed(F.col("type"), F.col("target_type"), F.col("source_type"))
-    action = F.when(ok.isNull() & F.col("source_type").isNotNull() & F.col("target_type").isNotNull(), "keep").when(ok, "keep").when(back, "flip").otherwise("drop")
-    return r.withColumn("action", F.when(~F.col("type").isin(*rules.DIRECTIONS), "keep").otherwise(action))
+    d = lookup_join(r, heads, chunk, few_hot(r.groupBy(chunk).agg(F.count(F.lit(1)).alias("n")), chunk, "n"))
+    rel, st, tt = F.col("type"), F.col("source_type"), F.col("target_type")
+    sources = rules.lookup(rel, {k: ",".join(v[0]) for k, v in rules.DIRECTIONS.items()})
+    goal = rules.lookup(rel, {k: v[1] for k, v in rules.DIRECTIONS.items()})
+    source_ok = F.coalesce(F.array_contains(F.split(sources, ","), st), F.lit(False))
+    target_ok = F.coalesce(tt == goal, F.lit(False))
+    resource = rel.isin("REQUIRES_LABOR", "REQUIRES_EQUIPMENT", "USES_MATERIAL")
+    note = (rel == "HAS_NOTE") & F.coalesce((tt == "WorkType") & F.col("target").rlike(rules.NOTE_LIKE), F.lit(False))
+    loop = (rel == "HAS_NOTE") & F.coalesce((st == "Note") & (tt == "Note"), F.lit(False))
+    action = (
+        F.when(goal.isNull() | source_ok & target_ok, "keep")
+        .when(source_ok, F.when(note, "note").otherwise("drop"))
+        .when(resource, F.when(F.col("work").isNotNull(), "work").when(F.col("section").isNotNull() & (rel == "USES_MATERIAL"), "section").otherwise("drop"))
+        .when(~loop & target_ok & F.col("work").isNotNull(), "work")
+        .otherwise("drop")
+    )
+    d = d.withColumn("action", action)
+    named = {"work": ("work", "WorkType"), "section": ("section", "Section")}
+    pick = lambda i, own: rules.switch(F.col("action"), {a: F.col(v[0]) if i == 0 else F.lit(v[1]) for a, v in named.items()}, own)
+    fixed = {"source": pick(0, F.col("source")), "source_type": pick(1, st), "target_type": F.when(F.col("action") == "note", "Note").otherwise(tt)}
+    return d.withColumns(fixed).drop("work", "section").select(*r.columns, "action")
 
 
 def flag_outliers(r: DataFrame) -> DataFrame:
@@ -70,10 +106,12 @@ def flag_outliers(r: DataFrame) -> DataFrame:
 
 def edge_states(edges: DataFrame, ids: DataFrame, source: str = "source_id", target: str = "target_id") -> DataFrame:
     """``edges`` with state ok, source, target or both: which ends have no node. Null ends have none."""
-    known = ids.select("id").distinct()
-    d = edges.join(known.select(F.col("id").alias(source), F.lit(True).alias("s_ok")), source, "left").join(known.select(F.col("id").alias(target), F.lit(True).alias("t_ok")), target, "left")
+    known, d = ids.select("id").distinct(), edges
+    for end, flag in ((source, "s_ok"), (target, "t_ok")):
+        hot = few_hot(edges.groupBy(end).agg(F.count(F.lit(1)).alias("n")), end, "n")
+        d = lookup_join(d, known.select(F.col("id").alias(end), F.lit(True).alias(flag)), end, hot)
     state = F.when(F.col("s_ok") & F.col("t_ok"), "ok").when(F.col("s_ok"), "target").when(F.col("t_ok"), "source").otherwise("both")
-    return d.withColumn("state", state).drop("s_ok", "t_ok")
+    return d.select(*edges.columns, state.alias("state"))
 
 
 def first_of_each(edges: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -100,11 +138,17 @@ def assign_ids(nodes: DataFrame, order: list[str]) -> DataFrame:
 
 
 def resolve_ids(ends: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(…, entity_id): by (type, name, spec), else by (type, name), else ''."""
-    exact = nodes.groupBy("type", "name", F.coalesce("spec", F.lit("")).alias("spec_key")).agg(F.max("id").alias("exact"))
-    loose = nodes.groupBy("type", "name").agg(F.min("id").alias("loose"))
-    d = ends.withColumn("spec_key", F.coalesce("spec", F.lit("")))
-    return d.join(exact, ["type", "name", "spec_key"], "left").join(loose, ["type", "name"], "left").withColumn("entity_id", F.coalesce("exact", "loose", F.lit(""))).drop("spec_key", "exact", "loose")
+    """(…, entity_id): by (type, name, spec), else by (type, name), else ''. A null spec is a blank one."""
+    key = lambda *c: F.concat_ws("\u0001", *[F.coalesce(x, F.lit("\u0000")) for x in c])
+    spec = F.coalesce("spec", F.lit(""))
+    exact = nodes.groupBy(key(F.col("type"), F.col("name"), spec).alias("__k")).agg(F.max("id").alias("exact"))
+    loose = nodes.groupBy(key(F.col("type"), F.col("name")).alias("__k")).agg(F.min("id").alias("loose"))
+    d = ends
+    for keys, table in (((F.col("type"), F.col("name"), spec), exact), ((F.col("type"), F.col("name")), loose)):
+        # an end without type or name has no node
+        d = d.withColumn("__k", F.when(F.col("type").isNotNull() & F.col("name").isNotNull(), key(*keys)))
+        d = lookup_join(d, table, "__k", few_hot(d.groupBy("__k").agg(F.count(F.lit(1)).alias("n")), "__k", "n")).drop("__k")
+    return d.select(*ends.columns, F.coalesce("exact", "loose", F.lit("")).alias("entity_id"))
 
 
 def garbage_reason(name: Column) -> Column:

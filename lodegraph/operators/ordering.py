@@ -101,8 +101,9 @@ def global_row_number(df: DataFrame, order: list[str], name: str = "row_no") ->
     for p, n in sizes:
         offset[p] = total
         total += n
-    base = F.create_map(*[F.lit(x) for kv in offset.items() for x in kv])[part] if offset else F.lit(0)
-    return placed.withColumn(name, base + F.col("__m").bitwiseAND(F.lit(_POS)) + 1).drop("__m")
+    base = df.sparkSession.createDataFrame(list(offset.items()), "__grn_part bigint, __grn_base bigint")  # one row a part
+    d = placed.withColumn("__grn_part", part.cast("bigint")).join(F.broadcast(base), "__grn_part", "left")
+    return d.select(*df.columns, (F.col("__grn_base") + F.col("__m").bitwiseAND(F.lit(_POS)) + 1).alias(name))
 
 
 def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

@@ -81,8 +81,7 @@ def resolve_types(edges: DataFrame, entities: DataFrame, default: str = "WorkTyp
     return edges.join(by_name, "source", "left").select("rel_id", F.coalesce(F.nullif(F.trim("source_type"), F.lit("")), "found", F.lit(default)).alias("source_type"))
 
 
-def union_by_key(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame:
-    """Arrays of both sides by key, concatenated, sorted."""
-    x = a.select(key, F.col(value).alias("__a")).join(b.select(key, F.col(value).alias("__b")), key, "full")
-    none = F.array().cast("array<string>")
-    return x.select(key, F.array_sort(F.concat(F.coalesce("__a", none), F.coalesce("__b", none))).alias(value))
+def union_rows(valid: DataFrame, recovered: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, origin): rows of both sides, each key once; a key on both sides is valid. Groups are never gathered."""
+    u = valid.withColumn("__o", F.lit(0)).unionByName(recovered.withColumn("__o", F.lit(1)))
+    return u.groupBy(*keys).agg(F.min("__o").alias("__o")).select(*keys, F.when(F.col("__o") == 0, "valid").otherwise("recovered").alias("origin"))

@@ -11,6 +11,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lodegraph.operators.skew import few_hot, lookup_join
+
 # ---- vectors ----
 
 
@@ -60,7 +62,9 @@ def one_hop(edges: DataFrame, nodes: DataFrame, seeds: DataFrame) -> DataFrame:
     """(id, direction, relation, related_id, related_name, related_type) for all seeds at once."""
     n = nodes.select(F.col("id").alias("related_id"), F.col("name").alias("related_name"), F.col("type").alias("related_type"))
     e = edges.select(F.col("source_id").alias("id"), "relation", F.col("target_id").alias("related_id"))
-    return e.join(seeds.select("id"), "id", "left_semi").join(n, "related_id").select("id", F.lit("outbound").alias("direction"), "relation", "related_id", "related_name", "related_type")
+    e = e.join(seeds.select("id").distinct(), "id", "left_semi")
+    hot = few_hot(e.groupBy("related_id").agg(F.count(F.lit(1)).alias("n")), "related_id", "n")
+    return lookup_join(e, n, "related_id", hot, "inner").select("id", F.lit("outbound").alias("direction"), "relation", "related_id", "related_name", "related_type")
 
 
 def hierarchy(links: DataFrame, nodes: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -232,9 +236,17 @@ def matrix(df: DataFrame, row: str, col: str, value: str, order: str, columns: l
 
 
 def context_text(df: DataFrame, by: str, part: str, order: list[str], most_chars: int = 6000) -> DataFrame:
-    """Parts of a group in order, joined and cut to a size, with its estimated tokens."""
-    d = df.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(*order, part))).alias("x"))
-    text = F.substring(F.array_join(F.transform("x", lambda e: e[part]), "\n"), 1, most_chars)
+    """Parts of a group in order, joined and cut to a size, with its estimated tokens.
+
+    A part and its line end are a character at least, so no more than ``most_chars`` parts of a group can show;
+    further ones go before the shuffle, and what lies behind the cut goes before anything is collected.
+    """
+    w = Window.partitionBy(by).orderBy(*order, part)
+    d = df.select(by, *[c for c in order if c != part], F.substring(part, 1, most_chars).alias(part)).withColumn("__n", F.row_number().over(w)).filter(F.col("__n") <= most_chars)
+    before = F.coalesce(F.sum(F.length(part) + 1).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    d = d.withColumn("__before", before).filter(F.col("__before") < most_chars)
+    d = d.groupBy(by).agg(F.array_sort(F.collect_list(F.struct("__n", F.col(part).alias("part")))).alias("x"))
+    text = F.substring(F.array_join(F.transform("x", lambda e: e["part"]), "\n"), 1, most_chars)
     return d.select(by, text.alias("context")).withColumn("tokens", F.ceil(F.length("context") / 2).cast("int"))
 
 

@@ -38,6 +38,10 @@ DIRECTIONS = {
     "APPLIES_STANDARD": (("WorkType", "Section", "Equipment", "Material"), "Standard"),
     "BELONGS_TO": (("WorkType",), "Section"),
 }
+# Trades whose names are also written with a space behind each syllable.
+SPACED_TRADES = ("특별인부", "보통인부", "콘크리트공", "철근공", "비계공", "형틀목공", "용접공", "배관공", "조적공", "미장공", "방수공", "도장공", "타일공", "판금공", "석공", "지적기사", "지적산업기사", "지적기능사")
+# What a note that was taken for a work type reads like.
+NOTE_LIKE = r"(^\[주\]|^①|^②|^③|^④|^⑤|^※|별도\s*계상|포함|제외|할증|감소|적용|기준|비고|^주\)|주\d+\))"
 METHOD_RANK = {"merged": 1, "llm": 2, "table_rule": 3, "auto": 4}
 OUTLIER = {"REQUIRES_LABOR": 75.0, "REQUIRES_EQUIPMENT": 3300.0, "USES_MATERIAL": 225.0}
 UNIT_SIGNS = {"㎥": "m³", "㎡": "m²", "㎝": "cm", "㎜": "mm", "㎞": "km", "㏊": "ha", "ℓ": "L", "KW": "kW", "Kw": "kW"}
@@ -61,6 +65,14 @@ def lookup(col: Column, table: dict, default=None) -> Column:
     return out.otherwise(F.lit(default))
 
 
+def switch(col: Column, cases: dict[str, Column], default: Column) -> Column:
+    """The column of the case that ``col`` names."""
+    out = None
+    for k, v in cases.items():
+        out = F.when(col == k, v) if out is None else out.when(col == k, v)
+    return out.otherwise(default)
+
+
 def allowed(relation: Column, source_type: Column, target_type: Column) -> Column:
     """Whether a relation may go from source_type to target_type; null for unknown relations."""
     out = None

@@ -45,15 +45,23 @@ def markers(df: DataFrame, kind: str, text: str = "text") -> DataFrame:
 
 def sections_of(df: DataFrame, file: str = "file", text: str = "text", joined_gap: int = 10) -> DataFrame:
     """(file, group, section_ids, raw_text): text behind each group of SECTION markers; markers with at most
-    ``joined_gap`` characters between them are one group."""
-    m = markers(df.select(file, text), "SECTION", text).drop("title", "department", "chapter")
-    w = Window.partitionBy(file).orderBy("start_pos")
-    m = m.join(df.select(file, text), file).withColumn("next", F.lead("start_pos").over(w)).withColumn("prev_end", F.lag("end_pos").over(w))
-    between = F.length(strip(F.expr(f"substring({text}, prev_end + 1, start_pos - prev_end)")))
-    m = m.withColumn("new", F.when(F.col("prev_end").isNull() | (between > joined_gap), 1).otherwise(0)).withColumn("group", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    body = F.expr(f"substring({text}, end_pos + 1, coalesce(next, length({text})) - end_pos)")
-    last = m.withColumn("body", body)
-    return last.groupBy(file, "group").agg(F.array_sort(F.collect_list(F.struct("start_pos", "section_id"))).alias("s"), F.max_by("body", "start_pos").alias("raw_text")).select(file, "group", F.col("s.section_id").alias("section_ids"), strip(F.col("raw_text")).alias("raw_text"))
+    ``joined_gap`` characters between them are one group.
+
+    A text is cut at its markers once, where it lies; nothing is shuffled and no text is copied a marker.
+    """
+    d = df.filter(F.col(text).rlike(SECTION)).select(file, F.regexp_extract_all(text, F.lit(SECTION), F.lit(1)).alias("__id"), F.split(text, SECTION, -1).alias("__p"))
+    n = F.size("__id")
+    items = F.arrays_zip(F.col("__id").alias("id"), F.slice("__p", 1, n).alias("before"), F.slice("__p", 2, n).alias("body"))
+    groups = F.array().cast("array<struct<ids:array<string>,body:string>>")
+    one = lambda ids, body: F.array(F.struct(ids.alias("ids"), body.alias("body")))
+
+    def step(acc: Column, x: Column) -> Column:
+        last, k = F.try_element_at(acc, F.lit(-1)), F.size(acc)
+        joined = (k > 0) & (F.length(strip(x["before"])) <= joined_gap)
+        return F.when(joined, F.concat(F.slice(acc, 1, F.greatest(k - 1, F.lit(0))), one(F.concat(last["ids"], F.array(x["id"])), x["body"]))).otherwise(F.concat(acc, one(F.array(x["id"]), x["body"])))
+
+    g = d.select(file, F.posexplode(F.aggregate(items, groups, step)).alias("__i", "__g"))
+    return g.select(file, (F.col("__i") + 1).alias("group"), F.col("__g.ids").alias("section_ids"), strip(F.col("__g.body")).alias("raw_text"))
 
 
 def spread_text(groups: DataFrame, titles: DataFrame) -> DataFrame:

@@ -168,7 +168,7 @@ def long_cells(df: DataFrame, keys: list[str], tables: str = "tables") -> DataFr
     return t.select(*keys, "table_id", (F.col("r") + 1).alias("row_no"), F.explode("row").alias("header", "c")).select(*keys, "table_id", "row_no", "header", "c.s", "c.n")
 
 
-def split_rows(rows: Column, size: Column | None = None, budget: int = 1500, header_size: Column | int = 0) -> Column:
+def split_rows(rows: Column, size: Column | None = None, budget: Column | int = 1500, header_size: Column | int = 0) -> Column:
     """Greedy packing of an array of texts: arrays of consecutive elements whose sizes with the header's fit the
     budget; an element over the budget stands alone."""
     size_of = lambda x: F.ceil(F.length(x) / 2)

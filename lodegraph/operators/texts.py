@@ -80,7 +80,7 @@ def chunk_tokens(text: Column, tables: Column, own_notes: Column) -> Column:
     return token_count(text) + of_tables + F.coalesce(F.aggregate(own_notes, F.lit(0), add), F.lit(0))
 
 
-def paragraph_parts(text: Column, budget: int = 1500) -> Column:
+def paragraph_parts(text: Column, budget: Column | int = 1500) -> Column:
     """Paragraphs packed greedily under the budget; texts of one paragraph by lines; larger ones stay whole."""
     paras = F.split(text, r"\n\s*\n")
     units = F.filter(F.when(F.size(paras) > 1, paras).otherwise(F.split(text, "\n")), lambda x: F.trim(x) != "")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lodegraph.operators import chunking, extract, normalise as N, rules, segments, tables as T, texts as X
 from lodegraph.operators.ordering import latest
+from lodegraph.plans.session import cut
 
 TABLE = "struct<table_id:string,type:string,headers:array<string>,rows:array<map<string,struct<s:string,n:double>>>,notes_in_table:array<string>>"
 
@@ -53,8 +54,8 @@ def clean_sections(sections: DataFrame) -> DataFrame:
     )
 
 
-def make_chunks(sections: DataFrame, soft: int = chunking.SOFT) -> DataFrame:
-    parts = chunking.section_parts(sections, soft)
+def make_chunks(sections: DataFrame, soft: int = chunking.SOFT, hard: int = chunking.HARD) -> DataFrame:
+    parts = chunking.hard_parts(chunking.section_parts(sections, soft), soft, hard)
     c = chunking.number_chunks(parts, ["section_id"])
     return c.withColumn("subsection", F.concat_ws(" ", "section_id", "title")).withColumn("token_count", X.chunk_tokens(F.col("text"), F.col("tables"), F.col("notes")))
 
@@ -65,7 +66,7 @@ def extract_graph(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
     c = chunks.select("chunk_id", "section_id", "title", "notes")
     e_rows = rows.join(c.select("chunk_id", "section_id", "title"), "chunk_id").select("chunk_id", "section_id", extract.type_of_name(F.col("name")).alias("type"), "name", "spec", "unit", "quantity", F.lit("table_rule").alias("source_method"), F.lit(1.0).alias("confidence"), "title")
     base = lambda type_, name: c.select("chunk_id", "section_id", F.lit(type_).alias("type"), name.alias("name"), F.lit(None).cast("string").alias("spec"), F.lit(None).cast("string").alias("unit"), F.lit(None).cast("double").alias("quantity"), F.lit("auto").alias("source_method"), F.lit(1.0).alias("confidence"), "title")
-    notes = c.withColumn("note", F.explode("notes")).select("chunk_id", "section_id", F.lit("Note").alias("type"), F.substring("note", 1, 500).alias("name"), F.lit(None).cast("string").alias("spec"), F.lit(None).cast("string").alias("unit"), F.lit(None).cast("double").alias("quantity"), F.lit("auto").alias("source_method"), F.lit(1.0).alias("confidence"), "title")
+    notes = c.withColumn("note", F.explode("notes")).select("chunk_id", "section_id", F.lit("Note").alias("type"), F.col("note").alias("name"), F.lit(None).cast("string").alias("spec"), F.lit(None).cast("string").alias("unit"), F.lit(None).cast("double").alias("quantity"), F.lit("auto").alias("source_method"), F.lit(1.0).alias("confidence"), "title")
     e = e_rows.unionByName(base("Section", F.col("section_id"))).unionByName(base("WorkType", F.col("title"))).unionByName(notes).filter("trim(name) <> ''")
     e = e.withColumn("normalized_name", F.lower(F.regexp_replace(N.normal_name(F.col("name")), r"\s+", "")))
     rel = rules.lookup(F.col("type"), {"Labor": "REQUIRES_LABOR", "Equipment": "REQUIRES_EQUIPMENT", "Material": "USES_MATERIAL", "Note": "HAS_NOTE", "Section": "BELONGS_TO"})
@@ -83,9 +84,11 @@ def build_graph(entities: DataFrame, relationships: DataFrame) -> tuple[DataFram
     one = good.groupBy("type", "k").agg(F.min(F.struct((-F.col("confidence")).alias("c"), "name")).alias("o"), F.count(F.lit(1)).alias("mentions"))
     nodes = N.assign_ids(one.select("type", "k", F.col("o.name").alias("name"), "mentions"), ["k"])
     r = N.flag_outliers(relationships)
-    r = N.direction_actions(r).filter("action <> 'drop'")
-    flip = F.col("action") == "flip"
-    r = r.select(F.when(flip, F.col("target_type")).otherwise(F.col("source_type")).alias("st"), F.when(flip, norm("target")).otherwise(norm("source")).alias("sk"), F.when(flip, F.col("source_type")).otherwise(F.col("target_type")).alias("tt"), F.when(flip, norm("source")).otherwise(norm("target")).alias("tk"), F.col("type").alias("relation"), "quantity", "unit", "outlier")
+    chunk = "source_chunk_id" if "source_chunk_id" in entities.columns else "chunk_id"
+    if chunk not in entities.columns:  # mentions that name no chunk
+        entities, r = entities.withColumn(chunk, F.lit(None).cast("string")), r.withColumn(chunk, F.lit(None).cast("string"))
+    r = N.repair_directions(r, N.chunk_heads(entities, chunk, "row_id" if "row_id" in entities.columns else "name"), chunk).filter("action <> 'drop'")
+    r = r.select(F.col("source_type").alias("st"), norm("source").alias("sk"), F.col("target_type").alias("tt"), norm("target").alias("tk"), F.col("type").alias("relation"), "quantity", "unit", "outlier")
     ids = nodes.select("type", "k", "id")
     r = r.join(ids.select(F.col("type").alias("st"), F.col("k").alias("sk"), F.col("id").alias("source_id")), ["st", "sk"]).join(ids.select(F.col("type").alias("tt"), F.col("k").alias("tk"), F.col("id").alias("target_id")), ["tt", "tk"])
     edges = r.filter("source_id <> target_id").groupBy("source_id", "target_id", "relation", "quantity", "unit").agg(F.bool_or("outlier").alias("outlier"), F.count(F.lit(1)).alias("mentions"))
@@ -93,9 +96,10 @@ def build_graph(entities: DataFrame, relationships: DataFrame) -> tuple[DataFram
 
 
 def documents_to_graph(docs: DataFrame, toc: DataFrame) -> dict[str, DataFrame]:
-    """All stages by name: sections, chunks, entities, relationships, nodes, edges."""
-    sections = clean_sections(parse_tables(split_documents(docs, toc)))
-    chunks = make_chunks(sections)
-    entities, relationships = extract_graph(chunks)
+    """All stages by name: sections, chunks, entities, relationships, nodes, edges. Stages that several later ones
+    read are written to the shared folder."""
+    sections = cut(clean_sections(parse_tables(split_documents(docs, toc))))
+    chunks = cut(make_chunks(sections))
+    entities, relationships = map(cut, extract_graph(chunks))
     nodes, edges = build_graph(entities, relationships)
     return {"sections": sections, "chunks": chunks, "entities": entities, "relationships": relationships, "nodes": nodes, "edges": edges}

@@ -22,7 +22,7 @@ def e01_header_roles(spark: SparkSession, d: str) -> DataFrame:
 
 
 def e04_entity_names(spark: SparkSession, d: str) -> DataFrame:
-    return _e(spark, d).filter(F.col("name").rlike(r"^[\x20-\x7e가-힣]*$")).select("row_id", E.entity_name(F.col("name")).alias("clean"))
+    return _e(spark, d).select("row_id", E.entity_name(F.col("name")).alias("clean"))
 
 
 def e05_header_leaf(spark: SparkSession, d: str) -> DataFrame:
@@ -106,18 +106,18 @@ def f10_fill_rate(spark: SparkSession, d: str) -> DataFrame:
     return w.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.trim("sub_section") != "").alias("filled")).withColumn("warn", F.col("filled") < F.col("n") * 0.3)
 
 
-def f11_union_arrays(spark: SparkSession, d: str) -> DataFrame:
-    e = _e(spark, d)
-    one = lambda m: e.filter(F.col("source_method") == m).groupBy(F.col("source_section_id").alias("k")).agg(F.array_sort(F.collect_set(F.col("row_id").cast("string"))).alias("ids"))
-    return R.union_by_key(one("llm"), one("table_rule"), "k", "ids").select("k", F.array_join("ids", ",").alias("ids"))
+def f11_union_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Mentions of two extractors by section, each once, valid ones before recovered ones."""
+    e = _e(spark, d).select(F.col("source_section_id").alias("k"), "row_id", "source_method")
+    return R.union_rows(e.filter("source_method = 'llm'").drop("source_method"), e.filter("source_method = 'table_rule'").drop("source_method"), ["k", "row_id"])
 
 
 def g02_specs(spark: SparkSession, d: str) -> DataFrame:
-    return _e(spark, d).filter(F.coalesce("spec", F.lit("")).rlike(r"^[\x20-\x7e]*$")).select("row_id", N.normal_spec(F.col("spec")).alias("spec"))
+    return _e(spark, d).select("row_id", N.normal_spec(F.col("spec")).alias("spec"))
 
 
 def g03_normal_names(spark: SparkSession, d: str) -> DataFrame:
-    return _e(spark, d).select("row_id", N.normal_name(F.col("name")).alias("name"), N.normal_spec(F.col("spec")).alias("spec"))
+    return _e(spark, d).select("row_id", N.normal_name(F.col("name"), F.col("type")).alias("name"), N.normal_spec(F.col("spec")).alias("spec"))
 
 
 def g05_representatives(spark: SparkSession, d: str) -> DataFrame:
@@ -139,7 +139,9 @@ def g07_missing_nodes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def g08_direction(spark: SparkSession, d: str) -> DataFrame:
-    return N.direction_actions(_r(spark, d)).groupBy("type", "source_type", "target_type", "action").agg(F.count(F.lit(1)).alias("n"))
+    """What becomes of each relation: its action and the ends that follow from it."""
+    r = _r(spark, d).select("rel_id", "type", "source", "source_type", "target", "target_type", "source_chunk_id").distinct()
+    return N.repair_directions(r, N.chunk_heads(_e(spark, d))).drop("source_chunk_id")
 
 
 def g09_outliers(spark: SparkSession, d: str) -> DataFrame:
@@ -163,9 +165,12 @@ def g11_assign_ids_all(spark: SparkSession, d: str) -> DataFrame:
 
 
 def g12_resolve_ids(spark: SparkSession, d: str) -> DataFrame:
-    nodes = load(spark, d, "graph_entities").select("id", "type", "name", F.lit(None).cast("string").alias("spec"))
-    ends = _r(spark, d).select("rel_id", F.col("source_type").alias("type"), F.col("source").alias("name"), F.lit("x").alias("spec")).distinct()
-    return N.resolve_ids(ends, nodes).select("rel_id", "entity_id")
+    """Mentions by type, name and spec to the node of their name and spec, or of the name where every third row's
+    spec is taken away; a node is called after its first row."""
+    e = _e(spark, d).select("row_id", "type", F.col("normalized_name").alias("name"), "spec")
+    nodes = e.groupBy("type", "name", "spec").agg(F.format_string("N-%08d", F.min("row_id")).alias("id"))
+    ends = e.withColumn("spec", F.when(F.col("row_id") % 3 != 0, F.col("spec")).otherwise("no such spec"))
+    return N.resolve_ids(ends, nodes).select("row_id", "entity_id")
 
 
 def g13_edge_dedup(spark: SparkSession, d: str) -> DataFrame:
@@ -214,11 +219,31 @@ _TC = f"""c AS (SELECT chunk_id, table_id, row_no, col_no, header, {_ROLE(_HH)}
 _NUM = lambda s: f"TRY_CAST(replace(regexp_replace(trim({s}), '^\\((.*)\\)$', '\\1'), ',', '') AS DOUBLE)"
 _EKEY = "concat_ws('::', type, lower(normalized_name), CASE WHEN type IN ('WorkType', 'Equipment', 'Material') THEN nullif(trim(spec, ' '), '') END, nullif(trim(sub_section, ' '), ''))"
 _DIR = lambda s, t: "CASE type " + " ".join(f"WHEN '{r}' THEN {s} IN ({', '.join(repr(x) for x in a)}) AND {t} = '{b}'" for r, (a, b) in rules.DIRECTIONS.items()) + " END"
+# compatibility composition of what the test tables hold, written out; blanks of any kind are squeezed by _TIDY
+_WIDE = "".join(chr(0xFF01 + i) for i in range(94)), "".join(chr(0x21 + i) for i in range(94)).replace("'", "''")
+_BLANKS = r"[\s\x{A0}\x{2000}-\x{200A}\x{202F}\x{205F}\x{3000}]"
+
+
+def _nfkc(c: str) -> str:
+    t = f"translate({c}, '²³‑{_WIDE[0]}', '23‐{_WIDE[1]}')"
+    for a, b in {"ﬁ": "fi", "ﬂ": "fl", "Ⅱ": "II", "㎝": "cm", "㎜": "mm", "㎞": "km", "㎏": "kg", "㎡": "m2", "㎥": "m3", "㎠": "cm2", "㎾": "kW", "㎖": "ml"}.items():
+        t = f"replace({t}, '{a}', '{b}')"
+    return f"nfc_normalize({t})"
+
+
+def _tidy(c: str, type_: str | None = None) -> str:
+    t = _nfkc(f"regexp_replace({c}, '[φΦø∅ɸ]\\s*([0-9])', '\\1', 'g')")
+    for trade in ("특별인부", "보통인부", "콘크리트공", "철근공", "비계공", "형틀목공", "용접공", "배관공", "조적공", "미장공", "방수공", "도장공", "타일공", "판금공", "석공", "지적기사", "지적산업기사", "지적기능사") if type_ else ():
+        t = f"replace({t}, CASE WHEN {type_} = 'Labor' THEN '{' '.join(trade)}' ELSE chr(1) END, '{trade}')"
+    t = f"trim(regexp_replace({t}, '{_BLANKS}+', ' ', 'g'), ' ')"
+    return f"replace(replace(regexp_replace(regexp_replace({t}, '\\s*\\(\\s*', '(', 'g'), '\\s*\\)\\s*', ')', 'g'), 'KW', 'kW'), 'Kw', 'kW')"
+
+
 _VALID = lambda c: f"regexp_full_match(trim(split_part({c}, '#', 1)), '\\d{{1,2}}-\\d{{1,2}}(-\\d{{1,3}})?')"
 
 SQL = {
     "e01_header_roles": f"SELECT header, {_ROLE(_HH)} AS role, count(*) AS n FROM (SELECT unnest(t.headers) AS header FROM (SELECT unnest(tables) AS t FROM graph_chunks)) GROUP BY 1, 2",
-    "e04_entity_names": r"SELECT row_id, regexp_replace(regexp_replace(regexp_replace(trim(regexp_replace(name, '\s+', ' ', 'g')), '([가-힣]) ([가-힣])', '\1\2', 'g'), '([가-힣]) ([가-힣])', '\1\2', 'g'), '(\d) (mm|cm|m|kg|t|kW)\b', '\1\2', 'g') AS clean FROM entities WHERE regexp_full_match(name, '[\x20-\x7e가-힣]*')",
+    "e04_entity_names": rf"SELECT row_id, regexp_replace(regexp_replace(regexp_replace(trim(regexp_replace(name, '{_BLANKS}+', ' ', 'g'), ' '), '([가-힣]) ([가-힣])', '\1\2', 'g'), '([가-힣]) ([가-힣])', '\1\2', 'g'), '(\d) (mm|cm|m|kg|t|kW)([^A-Za-z]|$)', '\1\2\3', 'g') AS clean FROM entities",
     "e05_header_leaf": f"SELECT key, CASE WHEN regexp_matches(lower(section || '_' || title), '{'|'.join(rules.TOTALS)}') THEN '' ELSE split_part(section || '_' || title, '_', -1) END AS leaf FROM toc",
     "e08_matrix_facts": f"""WITH base AS (SELECT chunk_id, unnest(tables) AS t, row_number() OVER () AS rid FROM graph_chunks), {_TC},
         f AS (SELECT *, {_NUM('s')} AS quantity FROM c WHERE col_no > 1), l AS (SELECT chunk_id, table_id, row_no, s AS label FROM c WHERE col_no = 1)
@@ -244,19 +269,29 @@ SQL = {
     "f08_references": f"WITH x AS (SELECT section_id, unnest(cross_references) AS x FROM graph_chunks), y AS (SELECT section_id, coalesce(nullif(trim(x.target_section_id), ''), nullif(regexp_extract(x.context, '(\\d{{1,2}}-\\d{{1,2}}(?:-\\d{{1,3}})?)', 1), '')) AS t FROM x) SELECT DISTINCT trim(split_part(section_id, '#', 1)) AS source, trim(split_part(t, '#', 1)) AS target FROM y WHERE {_VALID('t')} AND {_VALID('section_id')} AND trim(split_part(section_id, '#', 1)) <> trim(split_part(t, '#', 1))",
     "f09_missing_links": "SELECT DISTINCT name, source_chunk_id FROM entities e WHERE type = 'WorkType' AND NOT EXISTS (SELECT 1 FROM relationships r WHERE r.type = 'BELONGS_TO' AND r.source = e.name AND r.source_chunk_id = e.source_chunk_id)",
     "f10_fill_rate": "SELECT count(*) AS n, count(*) FILTER (trim(sub_section) <> '') AS filled, count(*) FILTER (trim(sub_section) <> '') < count(*) * 0.3 AS warn FROM entities WHERE type = 'WorkType'",
-    "f11_union_arrays": "SELECT source_section_id AS k, string_agg(CAST(row_id AS VARCHAR), ',' ORDER BY CAST(row_id AS VARCHAR)) AS ids FROM entities WHERE source_method IN ('llm', 'table_rule') GROUP BY 1",
-    "g02_specs": r"SELECT row_id, CASE WHEN spec IS NULL OR trim(spec, ' ') IN ('', '-') THEN '' ELSE replace(replace(regexp_replace(regexp_replace(trim(regexp_replace(spec, '\s+', ' ', 'g')), '\s*\(\s*', '(', 'g'), '\s*\)\s*', ')', 'g'), 'KW', 'kW'), 'Kw', 'kW') END AS spec FROM entities WHERE regexp_full_match(coalesce(spec, ''), '[\x20-\x7e]*')",
+    "f11_union_rows": "SELECT source_section_id AS k, row_id, CASE source_method WHEN 'llm' THEN 'valid' ELSE 'recovered' END AS origin FROM entities WHERE source_method IN ('llm', 'table_rule')",
+    "g02_specs": f"SELECT row_id, CASE WHEN spec IS NULL OR trim(spec, ' ') IN ('', '-', '없음', '—', '―') THEN '' ELSE {_tidy('spec')} END AS spec FROM entities",
+    "g03_normal_names": f"SELECT row_id, {_tidy('name', 'type')} AS name, CASE WHEN spec IS NULL OR trim(spec, ' ') IN ('', '-', '없음', '—', '―') THEN '' ELSE {_tidy('spec')} END AS spec FROM entities",
     "g05_representatives": """SELECT type, normalized_name, arg_min(row_id, (-coalesce(confidence, 0.0), CASE source_method WHEN 'merged' THEN 1 WHEN 'llm' THEN 2 WHEN 'table_rule' THEN 3 WHEN 'auto' THEN 4 ELSE 9 END, row_id)) AS row_id, count(*) AS n_rows, max(confidence) AS confidence,
         CASE WHEN count(spec) > 0 THEN arg_max(spec, (length(spec), encode(spec))) FILTER (spec IS NOT NULL) END AS longest_spec, count(DISTINCT nullif(trim(source_chunk_id), '')) AS n_chunks FROM entities GROUP BY 1, 2""",
     "g06_rename_map": """WITH rep AS (SELECT type, normalized_name, arg_min(name, (-coalesce(confidence, 0.0), CASE source_method WHEN 'merged' THEN 1 WHEN 'llm' THEN 2 WHEN 'table_rule' THEN 3 WHEN 'auto' THEN 4 ELSE 9 END, row_id)) AS new_name FROM entities GROUP BY 1, 2)
         SELECT e.type, e.name AS old_name, decode(max(encode(r.new_name))) AS new_name FROM entities e JOIN rep r ON e.type = r.type AND e.normalized_name = r.normalized_name WHERE e.name <> r.new_name GROUP BY 1, 2""",
     "g07_missing_nodes": "SELECT DISTINCT target AS name, 0.8::DOUBLE AS confidence FROM relationships WHERE target_type = 'Section' AND target <> '' AND target NOT IN (SELECT name FROM graph_entities WHERE type = 'Section' AND name IS NOT NULL)",
-    "g08_direction": f"SELECT type, source_type, target_type, CASE WHEN type NOT IN ({', '.join(repr(x) for x in rules.DIRECTIONS)}) THEN 'keep' WHEN {_DIR('source_type', 'target_type')} THEN 'keep' WHEN {_DIR('target_type', 'source_type')} THEN 'flip' ELSE 'drop' END AS action, count(*) AS n FROM relationships GROUP BY 1, 2, 3, 4",
+    "g08_direction": """WITH h AS (SELECT source_chunk_id, arg_min(name, row_id) FILTER (type = 'WorkType' AND trim(name, ' ') <> '') AS work, arg_min(name, row_id) FILTER (type = 'Section' AND trim(name, ' ') <> '') AS section FROM entities WHERE trim(source_chunk_id, ' ') <> '' GROUP BY 1),
+        x AS (SELECT DISTINCT rel_id, type, source, source_type, target, target_type, work, section, CASE type WHEN 'REQUIRES_LABOR' THEN 'Labor' WHEN 'REQUIRES_EQUIPMENT' THEN 'Equipment' WHEN 'USES_MATERIAL' THEN 'Material' WHEN 'HAS_NOTE' THEN 'Note' WHEN 'APPLIES_STANDARD' THEN 'Standard' WHEN 'BELONGS_TO' THEN 'Section' END AS goal,
+            coalesce(source_type IN ('WorkType', CASE WHEN type IN ('HAS_NOTE', 'APPLIES_STANDARD') THEN 'Section' END, CASE WHEN type IN ('HAS_NOTE', 'APPLIES_STANDARD') THEN 'Equipment' END, CASE WHEN type IN ('HAS_NOTE', 'APPLIES_STANDARD') THEN 'Material' END, CASE WHEN type = 'HAS_NOTE' THEN 'Standard' END, CASE WHEN type = 'HAS_NOTE' THEN 'Labor' END), false) AS s_ok FROM relationships r LEFT JOIN h USING (source_chunk_id)),
+        y AS (SELECT *, coalesce(target_type = goal, false) AS t_ok FROM x),
+        z AS (SELECT *, CASE WHEN goal IS NULL OR s_ok AND t_ok THEN 'keep'
+            WHEN s_ok AND type = 'HAS_NOTE' AND target_type = 'WorkType' AND regexp_matches(target, '^\\[주\\]|^[①②③④⑤※]|별도\\s*계상|포함|제외|할증|감소|적용|기준|비고|^주\\)|주\\d+\\)') THEN 'note' WHEN s_ok THEN 'drop'
+            WHEN goal IN ('Labor', 'Equipment', 'Material') AND work IS NOT NULL THEN 'work' WHEN goal = 'Material' AND section IS NOT NULL THEN 'section' WHEN goal IN ('Labor', 'Equipment', 'Material') THEN 'drop'
+            WHEN t_ok AND work IS NOT NULL AND NOT coalesce(source_type = 'Note' AND target_type = 'Note', false) THEN 'work' ELSE 'drop' END AS action FROM y)
+        SELECT rel_id, type, CASE action WHEN 'work' THEN work WHEN 'section' THEN section ELSE source END AS source, CASE action WHEN 'work' THEN 'WorkType' WHEN 'section' THEN 'Section' ELSE source_type END AS source_type, target, CASE action WHEN 'note' THEN 'Note' ELSE target_type END AS target_type, action FROM z""",
     "g09_outliers": "WITH r AS (SELECT type, coalesce(quantity > CASE type WHEN 'REQUIRES_LABOR' THEN 75 WHEN 'REQUIRES_EQUIPMENT' THEN 3300 WHEN 'USES_MATERIAL' THEN 225 END, false) AS o, confidence FROM relationships WHERE quantity IS NULL OR quantity <> 0) SELECT type, count(*) AS kept, count(*) FILTER (o) AS outliers, count(*) FILTER (o OR confidence = 0.3) AS low FROM r GROUP BY 1",
     "g10_chunk_dedup": "SELECT min(rel_id) AS rel_id, source_chunk_id, type, source, source_type, target, target_type, quantity, unit, per_unit FROM relationships GROUP BY ALL",
     "g11_assign_ids": f"""WITH n AS (SELECT type, coalesce(normalized_name, '') AS name, coalesce(spec, '') AS spec, min(row_id) AS row_id FROM entities WHERE type IN ({', '.join(repr(x) for x in rules.TYPE_PREFIX)}) GROUP BY 1, 2, 3), r AS (SELECT *, row_number() OVER (PARTITION BY type ORDER BY encode(name), encode(spec)) AS n FROM n)
         SELECT type, name, spec, row_id, CASE type {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in rules.TYPE_PREFIX.items())} END || '-' || CASE WHEN n < 10000 THEN lpad(CAST(n AS VARCHAR), 4, '0') ELSE CAST(n AS VARCHAR) END AS id FROM r""",
-    "g12_resolve_ids": "WITH l AS (SELECT type, name, min(id) AS id FROM graph_entities GROUP BY 1, 2) SELECT rel_id, coalesce(l.id, '') AS entity_id FROM (SELECT DISTINCT rel_id, source_type, source FROM relationships) r LEFT JOIN l ON l.type = r.source_type AND l.name = r.source",
+    "g12_resolve_ids": """WITH n AS (SELECT type, normalized_name AS name, coalesce(spec, '') AS spec, printf('N-%08d', min(row_id)) AS id FROM entities GROUP BY type, normalized_name, entities.spec), a AS (SELECT type, name, spec, max(id) AS id FROM n GROUP BY 1, 2, 3), b AS (SELECT type, name, min(id) AS id FROM n GROUP BY 1, 2)
+        SELECT row_id, coalesce(a.id, b.id, '') AS entity_id FROM entities e LEFT JOIN a ON a.type = e.type AND a.name = e.normalized_name AND a.spec = CASE WHEN row_id % 3 <> 0 THEN coalesce(e.spec, '') ELSE 'no such spec' END LEFT JOIN b ON b.type = e.type AND b.name = e.normalized_name""",
     "g13_edge_dedup": "SELECT min(id) AS id, source_id, target_id, relation FROM graph_relationships GROUP BY 2, 3, 4",
     "g14_garbage": r"WITH bad AS (SELECT id FROM graph_entities WHERE trim(coalesce(name, ''), ' ') = '' OR NOT regexp_matches(name, '[A-Za-z0-9가-힣]') OR regexp_full_match(trim(name, ' '), '[\d.,]+') OR regexp_full_match(trim(name, ' '), '[\d.,]+\s*(mm|cm|m|kg|t|kW|개|인|%)') OR regexp_matches(trim(name, ' '), '^[:：]') OR length(trim(name, ' ')) = 1 OR name LIKE '%φ%') SELECT id AS edge, source_id, target_id FROM graph_relationships r WHERE NOT EXISTS (SELECT 1 FROM bad WHERE bad.id = r.source_id) AND NOT EXISTS (SELECT 1 FROM bad WHERE bad.id = r.target_id)",
     "g16_self_loops": "SELECT relation, count(*) AS n FROM graph_relationships WHERE NOT coalesce(source_id = target_id AND source_id <> '', false) GROUP BY 1",

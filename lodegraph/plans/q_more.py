@@ -86,10 +86,13 @@ def d12_table_groups(spark: SparkSession, d: str) -> DataFrame:
 
 
 def d13_section_parts(spark: SparkSession, d: str) -> DataFrame:
-    """Sections cut to parts under 300: table rows of each are kept."""
-    parts = chunking.section_parts(_one_chunk(spark, d).select("chunk_id", "text", "tables"), 300)
+    """Sections cut to parts at the real limit: which strategy each took, and what its parts hold in all."""
+    parts = chunking.section_parts(_one_chunk(spark, d).select("chunk_id", "text", "tables", "notes"))
     rows = F.coalesce(F.aggregate("tables", F.lit(0), lambda a, t: a + F.size(t["rows"])), F.lit(0))
-    return parts.groupBy("chunk_id").agg(F.sum(rows).alias("n_rows"))
+    letters = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"\s+", ""))
+    p = parts.select("chunk_id", "part_no", "n_parts", rows.alias("r"), letters.alias("c"), F.coalesce(F.size("notes"), F.lit(0)).alias("n"), (F.coalesce(F.size("tables"), F.lit(0)) > 0).alias("t"))
+    lone = F.sum(F.when(F.col("t") & (F.col("c") > 0), 1).otherwise(0)) == 0
+    return p.groupBy("chunk_id").agg((F.max("n_parts") > 1).alias("cut"), F.sum("r").alias("n_rows"), F.sum("c").alias("n_letters"), F.sum("n").alias("n_notes"), (F.sum(F.when(F.col("part_no") == 1, F.col("n"))) == F.sum("n")).alias("notes_first"), lone.alias("tables_alone"))
 
 
 def d14_chunk_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -228,7 +231,10 @@ SQL = {
     "c30_base_ids": "SELECT chunk_id, regexp_replace(trim(split_part(section_id, '#', 1)), '-[A-F]$', '') AS base_id FROM graph_chunks",
     "c22_material_names": r"SELECT p_partkey, regexp_replace(regexp_replace(p_name, '\s+', '', 'g'), '^(.+?)((?:KSD?|SCH|STD)[-\w]*)$', '\1(\2)') AS name FROM part",
     "d12_table_groups": f"WITH {_ONE} SELECT chunk_id, CAST(list_sum(list_transform(tables, lambda t: len(t.rows))) AS BIGINT) AS n_rows FROM one WHERE len(tables) > 0",
-    "d13_section_parts": f"WITH {_ONE} SELECT chunk_id, CAST(coalesce(list_sum(list_transform(tables, lambda t: len(t.rows))), 0) AS BIGINT) AS n_rows FROM one",
+    "d13_section_parts": f"""WITH {_ONE}, tok AS (SELECT *, len(tables) AS nt, ceil(coalesce(length(text), 0) / 2.0) AS tx, coalesce(list_sum(list_transform(tables, lambda t: coalesce(list_sum(list_transform(t.rows, lambda r: coalesce(list_sum(list_transform(map_values(r), lambda c: ceil(coalesce(length(c.s), 0) / 2.0))), 0))), 0))), 0) AS tt,
+            coalesce(list_sum(list_transform(notes, lambda n: ceil(length(n) / 2.0))), 0) AS nn, length(regexp_replace(coalesce(text, ''), '\\s+', '', 'g')) AS c FROM one)
+        SELECT chunk_id, tx + tt + nn > 1500 AND NOT (coalesce(nt, 0) = 0 AND (tx <= 1500 OR len(list_filter(string_split(text, chr(10)), lambda x: trim(x, ' ') <> '')) <= 1)) AND NOT (nt > 1 AND tx <= 1500 AND tt <= 1500) AND NOT (nt = 1 AND tt <= 1500 AND (tx <= greatest(1500 - tt, 300) OR len(list_filter(string_split(text, chr(10)), lambda x: trim(x, ' ') <> '')) <= 1)) AS cut,
+        CAST(coalesce(list_sum(list_transform(tables, lambda t: len(t.rows))), 0) AS BIGINT) AS n_rows, CAST(c AS BIGINT) AS n_letters, CAST(coalesce(len(notes), 0) AS BIGINT) AS n_notes, true AS notes_first, coalesce(nt, 0) = 0 OR c = 0 OR tx + tt + nn > 1500 AND nt = 1 AND tt > 1500 AS tables_alone FROM tok""",
     "d14_chunk_ids": f"WITH {_ONE} SELECT chunk_id AS sec, 'C-' || lpad(CAST(row_number() OVER (ORDER BY chunk_id) AS VARCHAR), 4, '0') AS number FROM one WHERE coalesce(trim(text, ' '), '') <> '' OR len(tables) > 0",
     "e21_finalise": "SELECT source_method, count(*) AS chunks, CAST(sum(n) AS BIGINT) AS entities, max(n) AS most FROM (SELECT source_chunk_id, source_method, count(*) AS n FROM entities WHERE source_chunk_id <> '' GROUP BY 1, 2) GROUP BY 1",
     "f12_quarantine": "WITH v AS (SELECT DISTINCT type, normalized_name FROM entities WHERE confidence >= 0.9) SELECT CASE WHEN EXISTS (SELECT 1 FROM v WHERE v.type = e.type AND v.normalized_name = e.normalized_name) THEN 'recovered' ELSE 'discarded' END AS state, count(*) AS n FROM entities e WHERE confidence < 0.55 GROUP BY 1",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lodegraph.operators import normalise as N, quality as Q, rules
+from lodegraph.operators import normalise as N, ordering, quality as Q, rules
 from lodegraph.operators.tables import flat_text
 from lodegraph.plans.session import load
 
@@ -121,7 +121,7 @@ def h24_isolated(spark: SparkSession, d: str) -> DataFrame:
 def h25_name_stages(spark: SparkSession, d: str) -> DataFrame:
     """How each entity's name is found in its chunk."""
     c = _all_text(_c(spark, d)).groupBy(F.col("chunk_id").alias("source_chunk_id")).agg(F.max("all_text").alias("t")).withColumn("t", Q.flat(F.col("t")))
-    e = _e(spark, d).select("row_id", "name", "source_chunk_id").filter(F.col("name").rlike(r"^[\x20-\x7e가-힣]+$")).join(c, "source_chunk_id")
+    e = _e(spark, d).select("row_id", "name", "source_chunk_id").join(c, "source_chunk_id")
     return e.groupBy(F.coalesce(Q.name_stage(F.col("name"), F.col("t")), F.lit("none")).alias("stage")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -130,8 +130,7 @@ def h27_verdict(spark: SparkSession, d: str) -> DataFrame:
 
 
 def h28_strict(spark: SparkSession, d: str) -> DataFrame:
-    e = _e(spark, d).filter(F.col("name").rlike(r"^[\x20-\x7e가-힣]+$"))
-    return Q.strict_split(e, _all_text(_c(spark, d))).groupBy("valid").agg(F.count(F.lit(1)).alias("n"))
+    return Q.strict_split(_e(spark, d), _all_text(_c(spark, d))).groupBy("valid").agg(F.count(F.lit(1)).alias("n"))
 
 
 def h29_quantity_evidence(spark: SparkSession, d: str) -> DataFrame:
@@ -229,7 +228,9 @@ def h51_orphan_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def h53_chunk_groups(spark: SparkSession, d: str) -> DataFrame:
-    return _c(spark, d).groupBy("section_id", "source_file").agg(F.array_join(F.array_sort(F.collect_set("chunk_id")), ",").alias("chunks"))
+    """Chunks by section and file, numbered in their group; a group of any size is spread over tasks."""
+    c = _c(spark, d).select("section_id", "source_file", "chunk_id").distinct()
+    return ordering.islands(c.withColumn("__one", F.lit(1)), ["section_id", "source_file"], ["chunk_id"], F.lit(True), "position").drop("__one")
 
 
 def h59_summary(spark: SparkSession, d: str) -> DataFrame:
@@ -283,7 +284,7 @@ SQL = {
     "h22_edge_integrity": "SELECT state, count(*) AS n FROM (SELECT CASE WHEN s.id IS NOT NULL AND t.id IS NOT NULL THEN 'ok' WHEN s.id IS NOT NULL THEN 'target' WHEN t.id IS NOT NULL THEN 'source' ELSE 'both' END AS state FROM graph_relationships r LEFT JOIN (SELECT DISTINCT id FROM graph_entities) s ON s.id = r.source_id LEFT JOIN (SELECT DISTINCT id FROM graph_entities) t ON t.id = r.target_id) GROUP BY 1",
     "h23_units": _RATIO("quantity_units", "relationships WHERE quantity <> 0", "coalesce(trim(unit, ' '), '') <> ''", ">= 0.95"),
     "h24_isolated": "SELECT type, count(*) AS n FROM (SELECT DISTINCT id, type FROM graph_entities g WHERE NOT EXISTS (SELECT 1 FROM graph_relationships r WHERE r.source_id = g.id) AND NOT EXISTS (SELECT 1 FROM graph_relationships r WHERE r.target_id = g.id)) GROUP BY 1",
-    "h25_name_stages": rf"""WITH c AS (SELECT chunk_id, decode(max(encode({_ALL}))) AS t FROM graph_chunks GROUP BY 1), e AS (SELECT name, lower(regexp_replace(t, '\s+', '', 'g')) AS t, regexp_replace(name, '\([^)]*\)', '', 'g') AS bare FROM entities JOIN c ON c.chunk_id = source_chunk_id WHERE regexp_full_match(name, '[\x20-\x7e가-힣]+')),
+    "h25_name_stages": rf"""WITH c AS (SELECT chunk_id, decode(max(encode({_ALL}))) AS t FROM graph_chunks GROUP BY 1), e AS (SELECT name, lower(regexp_replace(t, '\s+', '', 'g')) AS t, regexp_replace(name, '\([^)]*\)', '', 'g') AS bare FROM entities JOIN c ON c.chunk_id = source_chunk_id),
         f AS (SELECT t, name, lower(regexp_replace(name, '\s+', '', 'g')) AS n1, lower(regexp_replace(bare, '\s+', '', 'g')) AS n2, lower(regexp_replace(regexp_replace(bare, '[\d.,]+\s*(?:mm|cm|m|kg|t|kW|%)?', '', 'g'), '\s+', '', 'g')) AS n3, list_filter(regexp_split_to_array(name, '[\s()/·,]+'), lambda w: length(w) >= 2) AS ws FROM e)
         SELECT CASE WHEN contains(t, n1) THEN 'exact' WHEN n2 <> '' AND contains(t, n2) THEN 'no_parens' WHEN length(n3) >= 2 AND contains(t, n3) THEN 'no_numbers' WHEN len(ws) > 0 AND len(list_filter(ws, lambda w: NOT contains(t, lower(w)))) = 0 THEN 'words' WHEN length(n1) >= 4 AND contains(t, substr(n1, 1, 4)) THEN 'prefix' ELSE 'none' END AS stage, count(*) AS n FROM f GROUP BY 1""",
     "h31_audit": f"WITH {_AUD} SELECT base_id, src_rows, got_rows, pct, band FROM x",
@@ -304,7 +305,10 @@ SQL = {
     "h48_methods": f"SELECT type, count(*) FILTER (source_method = 'llm') AS llm, count(*) FILTER (source_method = 'merged') AS merged, count(*) FILTER (source_method = 'table_rule') AS table_rule FROM entities WHERE type IN ({_TYPES}) GROUP BY 1",
     "h49_unit_classes": "SELECT CASE WHEN coalesce(trim(unit, ' '), '') = '' THEN 'blank' WHEN contains(unit, '/') THEN 'compound' WHEN regexp_matches(unit, '[가-힣]') THEN 'hangul' WHEN regexp_full_match(unit, '[A-Za-z0-9 .,]+') THEN 'latin' ELSE 'symbol' END AS kind, count(*) AS n FROM entities GROUP BY 1",
     "h51_orphan_profile": "WITH g AS (SELECT DISTINCT id, type FROM graph_entities) SELECT type, count(*) AS n, count(*) FILTER (NOT EXISTS (SELECT 1 FROM graph_relationships r WHERE r.source_id = g.id) AND NOT EXISTS (SELECT 1 FROM graph_relationships r WHERE r.target_id = g.id)) AS lone FROM g GROUP BY 1",
-    "h53_chunk_groups": "SELECT section_id, source_file, string_agg(chunk_id, ',' ORDER BY chunk_id) AS chunks FROM (SELECT DISTINCT section_id, source_file, chunk_id FROM graph_chunks) GROUP BY 1, 2",
+    "h28_strict": rf"""WITH c AS (SELECT chunk_id, lower(regexp_replace(decode(max(encode({_ALL}))), '\s+', '', 'g')) AS t FROM graph_chunks GROUP BY 1),
+        e AS (SELECT row_id, type, t, lower(name) AS n FROM entities LEFT JOIN c ON chunk_id = source_chunk_id)
+        SELECT type = 'Note' OR coalesce(len(list_filter(regexp_split_to_array(n, '[^0-9a-z_가-힣]+'), lambda w: length(w) >= 2 AND contains(t, w))) > 0 OR contains(t, regexp_replace(n, '\s+', '', 'g')), false) AS valid, count(*) AS n FROM e GROUP BY 1""",
+    "h53_chunk_groups": "SELECT *, row_number() OVER (PARTITION BY section_id, source_file ORDER BY chunk_id) AS position FROM (SELECT DISTINCT section_id, source_file, chunk_id FROM graph_chunks)",
     "h59_summary": f"WITH {_AUD} SELECT band, count(*) AS sections, CAST(sum(src_rows) AS BIGINT) AS src_rows, CAST(sum(got_rows) AS BIGINT) AS got_rows FROM x GROUP BY 1",
     "h60_marker_census": "SELECT source_file, CAST(sum(coalesce(len(regexp_extract_all(text, '<!-- SECTION:')), 0)) AS BIGINT) AS sections, CAST(sum(coalesce(len(regexp_extract_all(text, '<!-- PAGE ')), 0)) AS BIGINT) AS pages, CAST(sum(coalesce(len(regexp_extract_all(text, '<table')), 0)) AS BIGINT) AS tables FROM graph_chunks GROUP BY 1",
     "h61_recoverable": "SELECT chunk_id, EXISTS (SELECT 1 FROM graph_chunks o WHERE o.section_id = c.section_id AND trim(o.text, ' ') <> '') AS has_text FROM graph_chunks c WHERE coalesce(trim(text, ' '), '') = ''",

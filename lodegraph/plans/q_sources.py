@@ -39,8 +39,10 @@ def a09_append_numbers(spark: SparkSession, d: str) -> DataFrame:
 
 def a11_positional_update(spark: SparkSession, d: str) -> DataFrame:
     g = ordering.latest(load(spark, d, "graph_entities"), ["id"], [F.desc("created_at"), F.col("name")]).select("id", "embedding")
-    ups = g.filter(F.substring("id", -1, 1) == "7").groupBy(F.substring("id", 1, 1)).agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    ups = ups.withColumn("vals", F.transform("ids", lambda x: F.array(F.lit(1.0).cast("float"))))
+    """Every id gets a vector as long as its own name, sent in arrays of ids and values that match by position."""
+    block = F.pmod(F.xxhash64("id"), F.lit(stores.blocks_of(g.count())))
+    pairs = F.array_sort(F.collect_list(F.struct("id", F.array_repeat(F.lit(1.0).cast("float"), F.length("id")).alias("v"))))
+    ups = g.groupBy(block.alias("b")).agg(pairs.alias("p")).select(F.col("p.id").alias("ids"), F.col("p.v").alias("vals"))
     return stores.positional_update(g, "graph_entities", "id", "embedding", ups).select("id", F.size("embedding").alias("dims"))
 
 
@@ -200,7 +202,7 @@ SQL = {
     "a06_markers": "SELECT key, '<!-- SECTION: ' || key || ' | ' || title || ' | 부문:' || chapter || ' | 장:' || section || ' -->' AS marker, '<!-- PAGE ' || coalesce(page, 0) || ' | ' || section || ' -->' AS page_marker FROM toc",
     "a08_upsert_relationships": "SELECT rel_id, source, target, type, quantity, loaded_at FROM (SELECT *, row_number() OVER (PARTITION BY rel_id ORDER BY loaded_at DESC) rn FROM relationships) WHERE rn = 1",
     "a09_append_numbers": "SELECT row_id, source_chunk_id, 1000 + row_number() OVER (ORDER BY source_chunk_id NULLS FIRST, row_id) AS id FROM entities",
-    "a11_positional_update": "SELECT id, CAST(CASE WHEN id LIKE '%7' THEN 1 ELSE len(embedding) END AS INT) AS dims FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY created_at DESC, name) rn FROM graph_entities) WHERE rn = 1",
+    "a11_positional_update": "SELECT DISTINCT id, CAST(length(id) AS INT) AS dims FROM graph_entities",
     "a12_without_vector": "SELECT id, type, name FROM graph_entities WHERE embedding IS NULL",
     "a14_json_fields": "SELECT event_id, CAST(TRY_CAST(nullif(json_extract_string(props, '$.k'), '') AS DECIMAL(18,2)) AS DOUBLE) AS k, json_extract_string(props, '$.absent') AS absent FROM events",
     "a15_last_wins": "SELECT max(row_id) AS row_id, type, normalized_name, spec, unit FROM entities WHERE type IS NOT NULL AND normalized_name IS NOT NULL GROUP BY ALL",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodegraph.operators import chunking, extract, normalise as N, quality as Q, segments, tables as T, texts as X
-from lodegraph.operators.ordering import carry_forward
+from lodegraph.operators.ordering import carry_forward, latest
 from lodegraph.plans import answer, pipeline as P
 from lodegraph.plans.session import load
 
@@ -97,10 +97,13 @@ def d08_clean_sections(spark: SparkSession, d: str) -> DataFrame:
 
 
 def d15_hard_limit(spark: SparkSession, d: str) -> DataFrame:
-    """Parts under 300 that are still over 400: paragraphs or rows that cannot be cut."""
-    parts = chunking.section_parts(_c(spark, d).dropDuplicates(["chunk_id"]).select("chunk_id", "text", "tables"), 300)
-    size = X.token_count(F.col("text")) + F.coalesce(F.aggregate("tables", F.lit(0), lambda a, t: a + chunking.table_size(t)), F.lit(0))
-    return parts.filter(size > 400).select("chunk_id", "part_no", size.alias("size"))
+    """Stored chunks over the hard limit cut again: pieces of each, and what they hold in all."""
+    c = latest(_c(spark, d), ["chunk_id"], [F.desc("created_at")]).select("chunk_id", "text", "tables", "notes")
+    p = chunking.hard_parts(c)
+    rows = F.coalesce(F.aggregate("tables", F.lit(0), lambda a, t: a + F.size(t["rows"])), F.lit(0))
+    letters = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"\s+", ""))
+    p = p.select("chunk_id", "n_subs", rows.alias("r"), letters.alias("c"), F.coalesce(F.size("notes"), F.lit(0)).alias("n"), ((F.coalesce(F.size("tables"), F.lit(0)) > 0) & (letters > 0)).alias("mixed"))
+    return p.groupBy("chunk_id").agg((F.max("n_subs") > 1).alias("cut"), F.sum("r").alias("n_rows"), F.sum("c").alias("n_letters"), F.sum("n").alias("n_notes"), F.bool_or("mixed").alias("mixed")).filter("cut")
 
 
 def d16_chunk_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -163,7 +166,13 @@ _T = "(SELECT chunk_id, unnest(tables) AS t FROM graph_chunks)"
 _CELLS = f"(SELECT unnest(map_keys(r)) AS header, unnest(map_values(r)).s AS s FROM (SELECT unnest(t.rows) AS r FROM {_T}))"
 _VALID = r"regexp_full_match(trim(split_part(section_id, '#', 1)), '\d{1,2}-\d{1,2}(-\d{1,3})?')"
 
+_ONE = "one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY chunk_id ORDER BY created_at DESC) AS rn FROM graph_chunks) WHERE rn = 1)"
+
 SQL = {
+    "d15_hard_limit": f"""WITH {_ONE}, tok AS (SELECT *, coalesce(len(tables), 0) AS nt, ceil(coalesce(length(text), 0) / 2.0) AS tx, coalesce(list_sum(list_transform(tables, lambda t: coalesce(list_sum(list_transform(t.rows, lambda r: coalesce(list_sum(list_transform(map_values(r), lambda c: ceil(coalesce(length(c.s), 0) / 2.0))), 0))), 0))), 0) AS tt,
+            coalesce(list_sum(list_transform(notes, lambda n: ceil(length(n) / 2.0))), 0) AS nn, length(regexp_replace(coalesce(text, ''), '\\s+', '', 'g')) AS c FROM one)
+        SELECT chunk_id, true AS cut, CAST(coalesce(list_sum(list_transform(tables, lambda t: len(t.rows))), 0) AS BIGINT) AS n_rows, CAST(c AS BIGINT) AS n_letters, CAST(coalesce(len(notes), 0) AS BIGINT) AS n_notes, false AS mixed FROM tok
+        WHERE tx + tt + nn > 2000 AND (nt > 0 AND c > 0 OR nt > 1 OR c > 0 AND tx > 1900 AND len(list_filter(string_split(text, chr(10)), lambda x: trim(x, ' ') <> '')) > 1)""",
     "a01_source_files": r"SELECT DISTINCT source_file, coalesce(TRY_CAST(regexp_extract(source_file, '(\d+)-\d+', 1) AS INT), 0) AS first_page FROM graph_chunks",
     "a02_toc_lookup": "SELECT key, id, chapter, section, title, page FROM toc",
     "a22_requests": "SELECT doc_id AS qid, CAST(length(substr(trim(text, ' '), 1, 500)) AS INT) AS chars FROM documents WHERE trim(text, ' ') <> ''",

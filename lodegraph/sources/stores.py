@@ -60,6 +60,15 @@ def append_numbered(df: DataFrame, order: list[str], first: int = 1, name: str =
 UPDATABLE = ("graph_entities", "graph_chunks")
 
 
+#: Rows of an array of a positional update, about.
+UPDATE_ROWS = 1_000
+
+
+def blocks_of(rows: int) -> int:
+    """Arrays to send so many rows in, by hash of their key."""
+    return max(1, -(-rows // UPDATE_ROWS))
+
+
 def positional_update(df: DataFrame, table: str, key: str, column: str, ids: DataFrame) -> DataFrame:
     """``df`` with ``column`` replaced where ``ids`` (arrays ids and vals, by position) has a value for the key."""
     if table not in UPDATABLE:

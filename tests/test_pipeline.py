@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from lodegraph.operators import chunking
 from lodegraph.plans import pipeline
 
-TABLE = "<table><tr><th>구분</th><th>규격</th><th>단위</th><th>수량</th></tr><tr><td>보통작업원</td><td>A</td><td>인</td><td>0.5</td></tr><tr><td>모르타르</td><td></td><td>m³</td><td>1,200</td></tr><tr><td>발전기</td><td></td><td>대</td><td>0</td></tr><tr><td colspan=4>[주] 별도 계상</td></tr></table>"
+TABLE = "<table><tr><th>구분</th><th>규격</th><th>단위</th><th>수량</th></tr><tr><td>보통인부</td><td>A</td><td>인</td><td>0.5</td></tr><tr><td>모르타르</td><td></td><td>m³</td><td>1,200</td></tr><tr><td>발전기</td><td></td><td>대</td><td>0</td></tr><tr><td colspan=4>[주] 별도 계상</td></tr></table>"
 DOC = """<!-- SECTION: 1-1-1 | 앵커 천공 | 부문:토목 | 장:일반 -->
 1-1-1 앵커 천공('24년 보완)
 본문 하나. (m당)
@@ -28,7 +28,7 @@ def test_documents_to_graph(spark):
     assert s["1-1-1#2"].revision_year == "2024" and s["1-1-1#2"].unit_basis == "m당" and "<table" not in s["1-1-1#2"].text
     t = s["1-1-1#2"].tables[0]
     assert t.headers == ["구분", "규격", "단위", "수량"] and t.type == "A" and t.notes_in_table == ["[주] 별도 계상"]
-    assert [(r["구분"].s, r["수량"].n) for r in t.rows] == [("보통작업원", 0.5), ("모르타르", 1200.0), ("발전기", 0.0)]
+    assert [(r["구분"].s, r["수량"].n) for r in t.rows] == [("보통인부", 0.5), ("모르타르", 1200.0), ("발전기", 0.0)]
     assert [x.target_section_id for x in s["1-1-2"].cross_references] == ["1-1-1"] and s["1-1-2"].conditions[0].rate == "20%"
     c = got["chunks"].orderBy("chunk_id").collect()
     assert [r.chunk_id for r in c] == ["C-0001", "C-0002"]
