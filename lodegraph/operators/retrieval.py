@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lodegraph.operators.skew import few_hot, lookup_join
@@ -41,18 +44,73 @@ def valid_vector(v: Column, dim: int) -> Column:
     return F.coalesce((F.size(v) == dim) & ~bad, F.lit(False))
 
 
-def vector_top_k(df: DataFrame, vector: list[float] | None, k: int = 5, threshold: float = 0.5, key: str = "id", column: str = "embedding", types: list[str] | None = None) -> DataFrame:
-    """(key, similarity): the k rows nearest to one vector, above the threshold; nothing for an invalid vector."""
-    d = df if types is None else df.filter(F.col("type").isin(*types))
-    if vector is None:
-        return d.select(key, F.lit(0.0).alias("similarity")).limit(0)
-    d = d.select(key, cosine(F.col(column), F.array(*[F.lit(float(x)) for x in vector])).alias("similarity"))
-    return d.filter(F.col("similarity") > threshold).orderBy(F.desc("similarity"), key).limit(k)
+#: Queries that are compared with a table at once: some 16 MB of 64 numbers each.
+QUERY_BLOCK = 32_768
 
 
-def sections_top_chunks(chunks: DataFrame, sections: list[str], vector: list[float], most: int = 10) -> DataFrame:
-    d = chunks.filter(F.col("section_id").isin(*sections))
-    return vector_top_k(d, vector, min(2 * len(sections), most), -2.0, "chunk_id")
+def vector_search(queries: DataFrame, rows: DataFrame, k: int = 5, threshold: float = 0.5, key: str = "id", dim: int = 64, block: int = QUERY_BLOCK) -> DataFrame:
+    """(qid, key, similarity, rank): for each query (qid, vector) the k rows (key, embedding) of highest cosine above
+    the threshold, exactly; ties by key.
+
+    Queries go in blocks of about ``block``, each sent to all tasks; a task keeps k rows a query and hands on no
+    more. Vectors that are null, of another length, zero or not finite take no part on either side.
+    """
+    spark = rows.sparkSession
+    types = dict(queries.dtypes)["qid"], dict(rows.dtypes)[key]
+    q = queries.select("qid", F.col("vector").cast("array<double>").alias("vector")).filter(F.col("qid").isNotNull() & valid_vector(F.col("vector"), dim))
+    blocks = max(1, -(-q.count() // block))
+    data = rows.select(key, F.col("embedding").cast("array<double>").alias("v")).filter(F.col(key).isNotNull() & valid_vector(F.col("v"), dim))
+    out = None
+    for i in range(blocks):
+        part = q.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == i).toArrow()  # about ``block`` rows
+        shared = spark.sparkContext.broadcast((part.column(0).to_pylist(), _units(part.column(1), dim)))
+        got = data.mapInArrow(_best_of(shared, k, threshold, dim, key, types), f"qid {types[0]}, `{key}` {types[1]}, similarity double")
+        out = got if out is None else out.unionByName(got)
+    w = Window.partitionBy("qid").orderBy(F.desc(F.round("similarity", 9)), key)
+    return out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def _units(column, dim: int) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    x = np.asarray(column.flatten().to_numpy(zero_copy_only=False), "f8").reshape(-1, dim)
+    with np.errstate(all="ignore"):
+        return np.nan_to_num(x / np.linalg.norm(x, axis=1, keepdims=True))
+
+
+def _best_of(shared, k: int, threshold: float, dim: int, key: str, types: tuple[str, str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, q = shared.value
+        sims, names = np.full((len(ids), k), -np.inf), np.full((len(ids), k), None, object)
+        for b in batches:
+            x, own = _units(b.column(1), dim), np.array(b.column(0).to_pylist(), object)
+            for r in range(0, len(x), 2048):
+                for c in range(0, len(ids), 2048):
+                    s = q[c : c + 2048] @ x[r : r + 2048].T
+                    at = np.nonzero((s > threshold).any(1) & (s.max(1, initial=-np.inf) >= sims[c : c + 2048, -1]))[0]
+                    if len(at):
+                        all_s = np.concatenate([sims[c + at], np.where(s[at] > threshold, s[at], -np.inf)], 1)
+                        all_n = np.concatenate([names[c + at], np.broadcast_to(own[r : r + 2048], s[at].shape)], 1)
+                        # ties by key, so that what a task keeps does not hang on its batches
+                        for row, i in enumerate(at):
+                            top = sorted(np.nonzero(all_s[row] > -np.inf)[0], key=lambda j: (-round(all_s[row, j], 9), all_n[row, j]))[:k]
+                            sims[c + i], names[c + i] = -np.inf, None
+                            sims[c + i, : len(top)], names[c + i, : len(top)] = all_s[row, top], all_n[row, top]
+        a, b = np.nonzero(sims > -np.inf)
+        arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
+        yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in a], arrow.get(types[0])), pa.array(list(names[a, b]), arrow.get(types[1])), pa.array(sims[a, b], pa.float64())], ["qid", key, "similarity"])
+
+    return run
+
+
+def sections_top_chunks(queries: DataFrame, chunks: DataFrame, most: int = 10, per_section: int = 2) -> DataFrame:
+    """(section_id, chunk_id, similarity, rank): for each query (section_id, vector) the best chunks of its section,
+    ``per_section`` a section and ``most`` at most. A section has one query; sections of any size are spread."""
+    d = chunks.filter(F.col("section_id").isNotNull()).select("section_id", "chunk_id", "embedding")
+    hot = few_hot(d.groupBy("section_id").agg(F.count(F.lit(1)).alias("n")), "section_id", "n")
+    d = lookup_join(d, queries.select("section_id", "vector"), "section_id", hot, "inner")
+    d = d.withColumn("similarity", cosine(F.col("embedding"), F.col("vector"))).filter("similarity is not null")
+    w = Window.partitionBy("section_id").orderBy(F.desc(F.round("similarity", 9)), "chunk_id")
+    return d.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= min(per_section, most)).select("section_id", "chunk_id", "similarity", "rank")
 
 
 # ---- edges ----

@@ -82,8 +82,8 @@ def chunk_tokens(text: Column, tables: Column, own_notes: Column) -> Column:
 
 def paragraph_parts(text: Column, budget: Column | int = 1500) -> Column:
     """Paragraphs packed greedily under the budget; texts of one paragraph by lines; larger ones stay whole."""
-    paras = F.split(text, r"\n\s*\n")
-    units = F.filter(F.when(F.size(paras) > 1, paras).otherwise(F.split(text, "\n")), lambda x: F.trim(x) != "")
+    paras = F.filter(F.split(text, r"\n\s*\n"), lambda x: F.trim(x) != "")
+    units = F.when(F.size(paras) > 1, paras).otherwise(F.filter(F.split(text, "\n"), lambda x: F.trim(x) != ""))
     join = lambda p: F.when(F.size(paras) > 1, F.array_join(p, "\n\n")).otherwise(F.array_join(p, "\n"))
     return F.transform(split_rows(units, budget=budget), join)
 

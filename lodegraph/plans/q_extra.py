@@ -153,10 +153,10 @@ def h56_recount(spark: SparkSession, d: str) -> DataFrame:
 
 
 def i08_self_query(spark: SparkSession, d: str) -> DataFrame:
-    """Nearest vectors to the row of the largest id; it is its own nearest."""
+    """The asked vectors (ids divisible by 100) with their 3 nearest above 0, themselves first."""
     e = load(spark, d, "embeddings")
-    q = e.orderBy(F.desc("vec_id")).limit(1).collect()
-    return V.vector_top_k(e, [float(x) for x in q[0].embedding], 3, 0.0, "vec_id").select("vec_id")
+    q = e.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("vector"))
+    return V.vector_search(q, e, 3, 0.0, "vec_id").select("qid", "vec_id", "rank")
 
 
 def j01_intent(spark: SparkSession, d: str) -> DataFrame:
@@ -227,7 +227,7 @@ SQL = {
     "h34_header_families": f"SELECT CASE WHEN contains(h, '수량') AND contains(h, '단위') THEN 'quantity' WHEN regexp_matches(h, '규격|치수|size') THEN 'size' WHEN regexp_matches(h, '비고|note|remark') THEN 'note' ELSE 'other' END AS family, count(*) AS n FROM (SELECT array_to_string(t.headers, ' ') AS h FROM {_T}) GROUP BY 1",
     "h50_preserved": "WITH n AS (SELECT DISTINCT type, name FROM graph_entities), r AS (SELECT DISTINCT rel_id, source_type, source, target_type, target FROM relationships) SELECT EXISTS (SELECT 1 FROM n WHERE n.type = r.source_type AND n.name = r.source) AS source_ok, EXISTS (SELECT 1 FROM n WHERE n.type = r.target_type AND n.name = r.target) AS target_ok, count(*) AS n FROM r GROUP BY 1, 2",
     "h56_recount": f"SELECT count(*) FILTER (quantity > CASE type WHEN 'REQUIRES_LABOR' THEN 75 WHEN 'REQUIRES_EQUIPMENT' THEN 3300 WHEN 'USES_MATERIAL' THEN 225 END) AS outliers, count(*) FILTER (NOT coalesce({_OK}, false)) AS direction_errors, count(*) AS n FROM relationships",
-    "i08_self_query": "SELECT vec_id FROM embeddings WHERE list_cosine_similarity(CAST(embedding AS DOUBLE[]), (SELECT CAST(embedding AS DOUBLE[]) FROM embeddings ORDER BY vec_id DESC LIMIT 1)) > 0 ORDER BY list_cosine_similarity(CAST(embedding AS DOUBLE[]), (SELECT CAST(embedding AS DOUBLE[]) FROM embeddings ORDER BY vec_id DESC LIMIT 1)) DESC, vec_id LIMIT 3",
+    "i08_self_query": "SELECT qid, vec_id, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(s, 9) DESC, vec_id) AS rank FROM (SELECT a.vec_id AS qid, b.vec_id, list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS s FROM embeddings a, embeddings b WHERE a.vec_id % 100 = 0) WHERE s > 0) WHERE rank <= 3",
     "j01_intent": "SELECT lang, count(*) FILTER (regexp_matches(lower(text), '얼마|몇|how much|how many|수량')) AS asks, count(*) AS n FROM documents GROUP BY 1",
     "j10_keyword_fallback": "WITH " + _HIT("SELECT key AS qid, split_part(title, ' ', 1) || ' ' || split_part(title, ' ', -1) AS question FROM toc", f"SELECT id, unnest({_W('name')}) AS w FROM (SELECT id, decode(min(encode(name))) AS name, min(type) AS type FROM graph_entities WHERE coalesce(is_active, true) GROUP BY 1) WHERE type IN ('WorkType', 'Material')") + " SELECT qid, id FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY hits * 2 + CASE WHEN hits = asked THEN 1 ELSE 0 END DESC, id) AS rank FROM h) WHERE rank <= 5 AND hits = asked",
     "j11_body_fallback": "WITH " + _HIT("SELECT key AS qid, title AS question FROM toc", f"SELECT DISTINCT section_id AS id, unnest({_W('text')}) AS w FROM graph_chunks WHERE text IS NOT NULL") + " SELECT DISTINCT qid, id FROM h WHERE hits = asked",

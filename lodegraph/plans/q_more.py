@@ -155,10 +155,10 @@ def h57_fact_search(spark: SparkSession, d: str) -> DataFrame:
 
 
 def i03_section_chunks(spark: SparkSession, d: str) -> DataFrame:
-    """Chunks of two sections by similarity to a fixed direction, best first."""
+    """For every section the two chunks nearest to its first one, in the section itself."""
     c = _one_chunk(spark, d).filter(V.valid_vector(F.col("embedding"), 64))
-    s = [r.section_id for r in c.select("section_id").distinct().orderBy("section_id").limit(2).collect()]
-    return V.sections_top_chunks(c, s, [1.0] * 64).select("chunk_id", F.round("similarity", 4).alias("similarity"))
+    first = c.groupBy("section_id").agg(F.min_by("embedding", "chunk_id").alias("vector"))
+    return V.sections_top_chunks(first, c).select("section_id", "chunk_id", F.round("similarity", 4).alias("similarity"), "rank")
 
 
 def j06_abbreviations(spark: SparkSession, d: str) -> DataFrame:
@@ -231,9 +231,12 @@ SQL = {
     "c30_base_ids": "SELECT chunk_id, regexp_replace(trim(split_part(section_id, '#', 1)), '-[A-F]$', '') AS base_id FROM graph_chunks",
     "c22_material_names": r"SELECT p_partkey, regexp_replace(regexp_replace(p_name, '\s+', '', 'g'), '^(.+?)((?:KSD?|SCH|STD)[-\w]*)$', '\1(\2)') AS name FROM part",
     "d12_table_groups": f"WITH {_ONE} SELECT chunk_id, CAST(list_sum(list_transform(tables, lambda t: len(t.rows))) AS BIGINT) AS n_rows FROM one WHERE len(tables) > 0",
+    "i03_section_chunks": f"""WITH {_ONE}, c AS (SELECT section_id, chunk_id, CAST(embedding AS DOUBLE[]) AS e FROM one WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0), q AS (SELECT section_id, arg_min(e, chunk_id) AS v FROM c GROUP BY 1),
+        s AS (SELECT section_id, chunk_id, list_cosine_similarity(e, v) AS s FROM c JOIN q USING (section_id) WHERE list_sum(list_transform(e, lambda x: x * x)) > 0 AND list_sum(list_transform(v, lambda x: x * x)) > 0)
+        SELECT section_id, chunk_id, round(s, 4) AS similarity, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY section_id ORDER BY round(s, 9) DESC, chunk_id) AS rank FROM s) WHERE rank <= 2""",
     "d13_section_parts": f"""WITH {_ONE}, tok AS (SELECT *, len(tables) AS nt, ceil(coalesce(length(text), 0) / 2.0) AS tx, coalesce(list_sum(list_transform(tables, lambda t: coalesce(list_sum(list_transform(t.rows, lambda r: coalesce(list_sum(list_transform(map_values(r), lambda c: ceil(coalesce(length(c.s), 0) / 2.0))), 0))), 0))), 0) AS tt,
             coalesce(list_sum(list_transform(notes, lambda n: ceil(length(n) / 2.0))), 0) AS nn, length(regexp_replace(coalesce(text, ''), '\\s+', '', 'g')) AS c FROM one)
-        SELECT chunk_id, tx + tt + nn > 1500 AND NOT (coalesce(nt, 0) = 0 AND (tx <= 1500 OR len(list_filter(string_split(text, chr(10)), lambda x: trim(x, ' ') <> '')) <= 1)) AND NOT (nt > 1 AND tx <= 1500 AND tt <= 1500) AND NOT (nt = 1 AND tt <= 1500 AND (tx <= greatest(1500 - tt, 300) OR len(list_filter(string_split(text, chr(10)), lambda x: trim(x, ' ') <> '')) <= 1)) AS cut,
+        SELECT chunk_id, tx + tt + nn > 1500 AND NOT (coalesce(nt, 0) = 0 AND (tx <= 1500 OR len(list_filter(string_split(text, chr(10)), lambda x: trim(x, ' ') <> '')) <= 1)) AND NOT (nt > 1 AND tt <= 1500 AND (tx <= 1500 OR len(list_filter(string_split(text, chr(10)), lambda x: trim(x, ' ') <> '')) <= 1)) AND NOT (nt = 1 AND tt <= 1500 AND (tx <= greatest(1500 - tt, 300) OR len(list_filter(string_split(text, chr(10)), lambda x: trim(x, ' ') <> '')) <= 1)) AS cut,
         CAST(coalesce(list_sum(list_transform(tables, lambda t: len(t.rows))), 0) AS BIGINT) AS n_rows, CAST(c AS BIGINT) AS n_letters, CAST(coalesce(len(notes), 0) AS BIGINT) AS n_notes, true AS notes_first, coalesce(nt, 0) = 0 OR c = 0 OR tx + tt + nn > 1500 AND nt = 1 AND tt > 1500 AS tables_alone FROM tok""",
     "d14_chunk_ids": f"WITH {_ONE} SELECT chunk_id AS sec, 'C-' || lpad(CAST(row_number() OVER (ORDER BY chunk_id) AS VARCHAR), 4, '0') AS number FROM one WHERE coalesce(trim(text, ' '), '') <> '' OR len(tables) > 0",
     "e21_finalise": "SELECT source_method, count(*) AS chunks, CAST(sum(n) AS BIGINT) AS entities, max(n) AS most FROM (SELECT source_chunk_id, source_method, count(*) AS n FROM entities WHERE source_chunk_id <> '' GROUP BY 1, 2) GROUP BY 1",

@@ -23,17 +23,21 @@ def _questions(spark, d):
     return load(spark, d, "toc").select(F.col("key").alias("qid"), F.col("title").alias("question"))
 
 
+def _asked(e: DataFrame) -> DataFrame:
+    """The query set of a search: every row whose id is divisible by 100."""
+    return e.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("vector"))
+
+
 def i01_vector_top_k(spark: SparkSession, d: str) -> DataFrame:
-    """Nearest vectors to the one of the smallest id, which is the first with similarity 1."""
+    """The 10 nearest of every asked vector, itself among them."""
     e = load(spark, d, "embeddings")
-    q = e.orderBy("vec_id").limit(1).collect()
-    return V.vector_top_k(e, [float(x) for x in q[0].embedding] if q else None, 10, -2.0, "vec_id").select("vec_id", F.round("similarity", 4).alias("similarity"))
+    return V.vector_search(_asked(e), e, 10, -2.0, "vec_id").withColumn("similarity", F.round("similarity", 4))
 
 
 def i02_typed_search(spark: SparkSession, d: str) -> DataFrame:
-    e = load(spark, d, "embeddings").withColumn("type", F.col("label").cast("string"))
-    q = e.orderBy("vec_id").limit(1).collect()
-    return V.vector_top_k(e, [float(x) for x in q[0].embedding], 10, -2.0, "vec_id", types=["1", "2"]).select("vec_id")
+    """The same among the rows of two types."""
+    e = load(spark, d, "embeddings")
+    return V.vector_search(_asked(e), e.filter("label in (1, 2)"), 10, -2.0, "vec_id").select("qid", "vec_id", "rank")
 
 
 def i04_one_hop(spark: SparkSession, d: str) -> DataFrame:
@@ -213,8 +217,8 @@ _HITS = f"""q AS (SELECT key AS qid, title AS question, {_W('title')} AS ws FROM
 _RANKED = "k AS (SELECT qid, id, CAST(hits * 2 + CASE WHEN hits = asked THEN 1 ELSE 0 END AS INT) AS score, row_number() OVER (PARTITION BY qid ORDER BY hits * 2 + CASE WHEN hits = asked THEN 1 ELSE 0 END DESC, id) AS rank FROM h)"
 
 SQL = {
-    "i01_vector_top_k": "SELECT vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), (SELECT CAST(embedding AS DOUBLE[]) FROM embeddings ORDER BY vec_id LIMIT 1)), 4) AS similarity FROM embeddings ORDER BY list_cosine_similarity(CAST(embedding AS DOUBLE[]), (SELECT CAST(embedding AS DOUBLE[]) FROM embeddings ORDER BY vec_id LIMIT 1)) DESC, vec_id LIMIT 10",
-    "i02_typed_search": "SELECT vec_id FROM embeddings WHERE label IN (1, 2) ORDER BY list_cosine_similarity(CAST(embedding AS DOUBLE[]), (SELECT CAST(embedding AS DOUBLE[]) FROM embeddings ORDER BY vec_id LIMIT 1)) DESC, vec_id LIMIT 10",
+    "i01_vector_top_k": "SELECT qid, vec_id, round(s, 4) AS similarity, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(s, 9) DESC, vec_id) AS rank FROM (SELECT a.vec_id AS qid, b.vec_id, list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS s FROM embeddings a, embeddings b WHERE a.vec_id % 100 = 0)) WHERE rank <= 10",
+    "i02_typed_search": "SELECT qid, vec_id, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(s, 9) DESC, vec_id) AS rank FROM (SELECT a.vec_id AS qid, b.vec_id, list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS s FROM embeddings a, embeddings b WHERE a.vec_id % 100 = 0 AND b.label IN (1, 2))) WHERE rank <= 10",
     "i04_one_hop": f"WITH {_N}, {_ED} SELECT s.id, 'outbound' AS direction, e.relation, t.id AS related_id, t.name AS related_name, t.type AS related_type FROM n s JOIN e ON e.source_id = s.id JOIN n t ON t.id = e.target_id WHERE s.type = 'WorkType'",
     "i05_grouped_edges": f"WITH {_ED} SELECT source_id AS id, count(*) FILTER (relation <> 'BELONGS_TO') AS n, coalesce(string_agg(DISTINCT concat_ws('>', relation, target_id), ',' ORDER BY concat_ws('>', relation, target_id)) FILTER (relation <> 'BELONGS_TO'), '') AS relations FROM e WHERE source_id <> '' GROUP BY 1",
     "i06_hierarchy": r"WITH t AS (SELECT id, decode(min(encode(title))) AS name FROM toc GROUP BY 1), l AS (SELECT p.id AS parent, k.id AS child FROM t k JOIN t p ON p.id = regexp_replace(k.id, '-\d+$', '') AND p.id <> k.id) SELECT parent AS id, 'child' AS direction, child AS related_id, name AS related_name FROM l JOIN t ON t.id = child UNION ALL SELECT child, 'parent', parent, name FROM l JOIN t ON t.id = parent",

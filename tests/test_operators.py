@@ -136,8 +136,30 @@ def test_notes_and_years(spark):
 @pytest.mark.parametrize("text", [None, "", "not_a_vector", "[1, 2]", "[NaN, 1, 2]", "[1, null, 3]"])
 def test_bad_query_vectors_find_nothing(spark, text):
     d = spark.createDataFrame([("a", [1.0, 0.0, 0.0])], "id string, embedding array<float>")
-    assert retrieval.vector_top_k(d, retrieval.parse_vector(text, 3)).count() == 0
-    assert retrieval.vector_top_k(d, retrieval.parse_vector("[1, 0, 0]", 3)).first().similarity == 1.0
+    q = spark.createDataFrame([("x", retrieval.parse_vector(text, 3)), ("y", retrieval.parse_vector("[1, 0, 0]", 3))], "qid string, vector array<double>")
+    assert [tuple(x) for x in retrieval.vector_search(q, d, dim=3).collect()] == [("y", "a", 1.0, 1)]
+
+
+def test_vector_search_against_brute_force(spark):
+    import numpy as np
+
+    r = np.random.default_rng(2)
+    x = r.normal(size=(300, 8))
+    x[7], x[9] = x[3] * 2, x[3]
+    rows = [(i, [float(v) for v in x[i]]) for i in range(300)] + [(900, None), (901, [0.0] * 8), (902, [1.0]), (903, [float("nan")] * 8), (None, [1.0] * 8)]
+    d = spark.createDataFrame(rows, "id long, embedding array<float>").repartition(5)
+    q = d.filter("id % 3 = 0").select(F.col("id").alias("qid"), F.col("embedding").alias("vector"))
+    y = x.astype("f4").astype("f8")
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    for block in (10_000, 20):
+        got = {}
+        for p in retrieval.vector_search(q, d, 4, 0.1, dim=8, block=block).orderBy("qid", "rank").collect():
+            got.setdefault(p.qid, []).append(p.id)
+        for i in range(0, 300, 3):
+            s = [(-round(float(v), 9), j) for j, v in enumerate(y @ y[i]) if v > 0.1]
+            assert got[i] == [j for _, j in sorted(s)[:4]]
+        assert set(got) == set(range(0, 300, 3))
+    assert retrieval.vector_search(q.limit(0), d, dim=8).count() == 0 and retrieval.vector_search(q, d.limit(0), dim=8).count() == 0
 
 
 def test_query_specs(spark):
@@ -172,3 +194,19 @@ def test_rate_limit_batch_and_stream(spark, tmp_path):
     q.awaitTermination(120)
     rows = spark.sql("select * from limited").toPandas()
     assert isinstance(rows, pd.DataFrame) and len(rows) == len(times) + 1 and int((~rows.allowed).sum()) == 2
+
+
+def test_directions_in_every_branch(spark):
+    e = spark.createDataFrame([(2, "WorkType", "w2", "a"), (1, "WorkType", "w1", "a"), (3, "Section", "s", "b"), (4, "WorkType", "w", " ")], "row_id long, type string, name string, source_chunk_id string")
+    rows = [
+        (1, "REQUIRES_LABOR", "x", "WorkType", "l", "Labor", "a", "keep", "x", "WorkType", "Labor"), (2, "HAS_CHILD", "x", "Labor", "l", "Labor", "a", "keep", "x", "Labor", "Labor"),
+        (3, "HAS_NOTE", "x", "WorkType", "※ 별도 계상", "WorkType", "a", "note", "x", "WorkType", "Note"), (4, "HAS_NOTE", "x", "WorkType", "paving", "WorkType", "a", "drop", "x", "WorkType", "WorkType"),
+        (5, "REQUIRES_LABOR", "x", "Equipment", "l", "Labor", "a", "work", "w1", "WorkType", "Labor"), (6, "USES_MATERIAL", "x", "Equipment", "m", "Material", "b", "section", "s", "Section", "Material"),
+        (7, "REQUIRES_LABOR", "x", "Equipment", "m", "Labor", "b", "drop", "x", "Equipment", "Labor"), (8, "HAS_NOTE", "n", "Note", "m", "Note", "a", "drop", "n", "Note", "Note"),
+        (9, "BELONGS_TO", "n", "Note", "s", "Section", "a", "work", "w1", "WorkType", "Section"), (10, "APPLIES_STANDARD", "n", "Note", "s", "Note", "a", "drop", "n", "Note", "Note"),
+        (11, "REQUIRES_LABOR", "x", None, "l", None, None, "drop", "x", None, None), (12, "USES_MATERIAL", "x", "Note", "m", "Material", " ", "drop", "x", "Note", "Material"),
+    ]
+    r = spark.createDataFrame([x[:7] for x in rows], "rel_id long, type string, source string, source_type string, target string, target_type string, source_chunk_id string")
+    got = {x.rel_id: (x.action, x.source, x.source_type, x.target_type) for x in normalise.repair_directions(r, normalise.chunk_heads(e)).collect()}
+    assert got == {x[0]: x[7:] for x in rows}
+    assert normalise.repair_directions(r.limit(0), normalise.chunk_heads(e.limit(0))).count() == 0
