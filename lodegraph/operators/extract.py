@@ -82,3 +82,37 @@ def prompt(chunk: DataFrame) -> DataFrame:
     head = F.concat_ws("\n", F.concat(F.lit("[section] "), "section_id"), F.concat(F.lit("[title] "), "title"), F.concat(F.lit("[department] "), "department"))
     md = F.array_join(F.transform(F.coalesce("tables", F.array()), to_markdown), "\n\n")
     return chunk.select("chunk_id", F.concat_ws("\n\n", head, F.nullif(F.trim("text"), F.lit("")), F.nullif(md, F.lit("")), F.nullif(F.array_join("notes", "\n"), F.lit(""))).alias("prompt"))
+
+
+# Sections whose numeric column heads are pipe schedules, and title words that say the same.
+SCHEDULE_SECTIONS = ("13-2-3", "13-1-1", "13-1-2", "13-2-1")
+SCHEDULE_TITLES = ("강관용접", "배관설치", "관만곡", "강관절단")
+# Trades in compound heads, and those that make the first row of a matrix its meta row.
+COMPOUND_JOBS = ("용접공", "인부", "용접봉", "배관공", "철근공", "비계공", "기사", "기능사", "기능공", "기술자", "전공")
+META_JOBS = ("용접공", "인부", "배관공", "용접봉", "기사", "기능사")
+
+
+def column_label(header: Column, section: Column, title: Column) -> Column:
+    """``SCH n`` for a numeric head where it is a schedule, else the head itself."""
+    known = section.isin(*SCHEDULE_SECTIONS) | F.coalesce(F.replace(title, F.lit(" "), F.lit("")).rlike("|".join(SCHEDULE_TITLES)), F.lit(False))
+    return F.when(F.trim(header).rlike(r"^\d+$") & known, F.concat(F.lit("SCH "), header)).otherwise(header)
+
+
+def _compound(table: Column) -> Column:
+    return F.size(F.filter(F.slice(table["headers"], 2, F.greatest(F.size(table["headers"]), F.lit(1))), lambda h: h.contains("_") & h.rlike("|".join(COMPOUND_JOBS))))
+
+
+def is_matrix_table(table: Column) -> Column:
+    """Two compound heads with a trade, or three numeric heads above trades in the first row or numbers in two of the
+    next four; at least three heads and a row."""
+    heads, rows = F.slice(table["headers"], 2, F.greatest(F.size(table["headers"]), F.lit(1))), table["rows"]
+    value = lambda r, h: F.trim(F.coalesce(F.try_element_at(r, h)["s"], F.lit("")))
+    first = F.array_join(F.transform(F.map_values(F.get(rows, F.lit(0))), lambda c: F.coalesce(c["s"], F.lit(""))), " ")
+    filled = F.size(F.filter(F.slice(rows, 2, 4), lambda r: F.exists(heads, lambda h: value(r, h).rlike(r"^\d+\.?\d*$"))))
+    numeric = F.size(F.filter(heads, lambda h: F.trim(h).rlike(r"^\d+$"))) >= 3
+    return F.coalesce((F.size(table["headers"]) >= 3) & (F.size(rows) > 0) & ((_compound(table) >= 2) | numeric & (first.rlike("|".join(META_JOBS)) | (filled >= 2))), F.lit(False))
+
+
+def matrix_kind(table: Column) -> Column:
+    """D2 for tables with a compound head, else D1."""
+    return F.when(_compound(table) > 0, "D2").otherwise("D1")

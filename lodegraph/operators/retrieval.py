@@ -193,24 +193,6 @@ def first_stage(stages: list[DataFrame], by: str = "qid") -> DataFrame:
     return u.withColumn("__m", F.min("stage").over(Window.partitionBy(by))).filter("stage = __m").drop("__m")
 
 
-def cascade(questions: DataFrame, nodes: DataFrame, chunks: DataFrame) -> DataFrame:
-    """(qid, id, stage, similarity): exact name, all words in the name, any word, words in the body of a section."""
-    exact = questions.join(nodes, F.lower(F.trim("question")) == F.lower(F.trim("name"))).select("qid", "id", F.lit(1.0).alias("similarity"))
-    hits = keyword_hits(questions, nodes)
-    every = hits.filter("hits = asked").select("qid", "id", F.lit(0.98).alias("similarity"))
-    some = hits.filter("hits < asked").select("qid", "id", F.lit(0.9).alias("similarity"))
-    body = keyword_hits(questions, chunks.select(F.col("section_id").alias("id"), "text").filter("text is not null"), "text").filter("hits = asked").select("qid", "id", F.lit(0.8).alias("similarity")).distinct()
-    return first_stage([exact, every, some, body])
-
-
-def merged_ranking(first: DataFrame, second: DataFrame, k: int = 5) -> DataFrame:
-    """Two ranked lists (qid, id, rank) as one: the first list's rows come first, an id once, k a query."""
-    u = first.withColumn("pri", F.lit(0)).unionByName(second.withColumn("pri", F.lit(1)))
-    one = u.groupBy("qid", "id").agg(F.min(F.struct("pri", "rank")).alias("o"))
-    w = Window.partitionBy("qid").orderBy("o", "id")
-    return one.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("qid", "id", "rank")
-
-
 def expand_terms(terms: DataFrame, synonyms: DataFrame) -> DataFrame:
     """(qid, term): terms and the synonyms of those that equal a key; ``synonyms`` has (key, alias)."""
     s = synonyms.select(F.upper("key").alias("__k"), "alias").unionByName(synonyms.select(F.upper("alias").alias("__k"), F.col("key").alias("alias")))
@@ -313,3 +295,9 @@ def group_chunks(chunks: DataFrame, most: int = 15) -> DataFrame:
     one = chunks.groupBy("section_id", "chunk_id").agg(F.max("text").alias("text"))
     w = Window.partitionBy("section_id").orderBy("chunk_id")
     return one.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= most).drop("rn")
+
+
+def route(question: Column, entity_id: Column, section_id: Column) -> Column:
+    """The path that answers a request: entity, section or search; none for a blank question without an entity."""
+    given = lambda c: F.coalesce(F.trim(c), F.lit("")) != ""
+    return F.when(given(entity_id), "entity").when(~given(question), "none").when(given(section_id), "section").otherwise("search")

@@ -64,6 +64,15 @@ def sections_of(df: DataFrame, file: str = "file", text: str = "text", joined_ga
     return g.select(file, (F.col("__i") + 1).alias("group"), F.col("__g.ids").alias("section_ids"), strip(F.col("__g.body")).alias("raw_text"))
 
 
+def source_ranges(df: DataFrame, file: str = "file", text: str = "text") -> DataFrame:
+    """(base_id, file, marker_no, text): what stands behind each SECTION or CONTEXT marker up to the next one, by base
+    id. The ranges of an id are rows, not one text, so an id of any size is spread."""
+    mark = r"<!-- (?:SECTION|CONTEXT): (\S+) \| .+? -->"
+    d = df.filter(F.col(text).rlike(mark)).select(file, F.regexp_extract_all(text, F.lit(mark), F.lit(1)).alias("__id"), F.split(text, mark, -1).alias("__p"))
+    z = d.select(file, F.posexplode(F.arrays_zip(F.col("__id").alias("id"), F.slice("__p", 2, F.size("__id")).alias("body"))).alias("__i", "__z"))
+    return z.select(base_id(F.col("__z.id")).alias("base_id"), file, (F.col("__i") + 1).alias("marker_no"), strip(F.col("__z.body")).alias("text"))
+
+
 def spread_text(groups: DataFrame, titles: DataFrame) -> DataFrame:
     """Divide a group's text among its sections: (file, group, section_id, part).
 

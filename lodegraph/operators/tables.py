@@ -244,3 +244,32 @@ def unpivot_wide(df: DataFrame, ids: list[str], measures: dict[str, tuple[str, .
     """Wide to long: each measure column becomes rows with its dimension values; only values above 0 stay."""
     parts = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(dims, vals)], F.round(F.col(c), digits).alias(value)) for c, vals in measures.items()])
     return df.select(*ids, F.explode(parts).alias("x")).select(*ids, "x.*").filter(F.col(value) > 0)
+
+
+def zip_unpivot(df: DataFrame, keys: list[str], left: str, right: str, digits: int = 3) -> DataFrame:
+    """(keys, row_no, side, header, quantity): two tables (arrays of rows) side by side by row number, in long form;
+    quantities above 0 stay. The longer table's rows stand alone."""
+    z = df.select(*keys, F.posexplode(F.arrays_zip(F.col(left).alias("left"), F.col(right).alias("right"))).alias("__i", "__z"))
+    sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(f"__z.{s}").alias("row")) for s in ("left", "right")])
+    x = z.select(*keys, (F.col("__i") + 1).alias("row_no"), F.explode(sides).alias("__s")).select(*keys, "row_no", "__s.side", F.explode("__s.row").alias("header", "__c"))
+    return x.select(*keys, "row_no", "side", "header", F.round("__c.n", digits).alias("quantity")).filter("quantity > 0")
+
+
+def simple_table(html: Column) -> Column:
+    """struct(headers, rows): heads and cells as they come, spans not expanded; a row of one spanning cell is skipped."""
+    text = lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, r"<[^>]*>", " "), r"\s+", " "))
+    behind = lambda x: F.slice(x, 2, F.greatest(F.size(x), F.lit(1)))
+    rows = behind(F.split(F.regexp_replace(html, r"(?is)</table>", ""), r"(?i)<tr[^>]*>"))
+    lone = lambda r: r.rlike(r"(?i)<td[^>]*colspan") & (F.size(F.split(r, r"(?i)<td[^>]*>")) == 2)
+    cells = F.transform(F.filter(rows, lambda r: ~lone(r)), lambda r: F.transform(behind(F.split(r, r"(?i)<td[^>]*>")), text))
+    heads = F.transform(behind(F.split(html, r"(?i)<th[^e>]*>")), lambda x: text(F.regexp_replace(x, r"(?is)</th>.*", "")))
+    return F.struct(heads.alias("headers"), F.filter(cells, lambda r: F.size(r) > 0).alias("rows"))
+
+
+def repair_targets(ids: DataFrame, chunks: DataFrame) -> DataFrame:
+    """(id, chunk_id, n_tables): of the chunks whose section id begins with an id the one with the fewest tables, ties
+    by chunk id. Every beginning of a section id is looked up, so this is an equi-join."""
+    n = F.coalesce(F.size("tables"), F.lit(0))
+    one = chunks.filter("section_id <> ''").groupBy("section_id").agg(F.min(F.struct(n.alias("n_tables"), "chunk_id")).alias("o"))
+    heads = one.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("section_id")), lambda i: F.substring("section_id", F.lit(1), i))).alias("id"), "o")
+    return heads.groupBy("id").agg(F.min("o").alias("o")).join(ids, "id", "left_semi").select("id", "o.chunk_id", "o.n_tables")

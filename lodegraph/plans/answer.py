@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lodegraph.operators import retrieval as V
+from lodegraph.operators import retrieval as V, search
 
 MAX_QUESTION, MAX_ENTITIES, MAX_CONTEXT, MAX_TURNS = 500, 10, 6000, 5
 
@@ -24,7 +24,8 @@ def contexts(questions: DataFrame, nodes: DataFrame, edges: DataFrame, chunks: D
 
     Sections that two entities share are expanded once, as edges are joined to the distinct hits.
     """
-    hits = V.cascade(questions, nodes, chunks)
+    hits = search.target_search(questions, nodes, chunks)
+    hits = hits.filter("stage < 7")  # bodies name sections, not entities
     w = Window.partitionBy("qid").orderBy(F.desc("similarity"), "id")
     top = hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= MAX_ENTITIES)
     hop = V.one_hop(edges, nodes, top.select("id").distinct()).select("id", F.concat_ws(" ", "relation", "related_name").alias("line"), F.lit(1).alias("kind"))

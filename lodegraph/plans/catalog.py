@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodegraph.plans import q_extra, q_graph, q_more, q_quality, q_retrieval, q_sources, q_steps, q_tables, repairs
+from lodegraph.plans import q_extra, q_graph, q_more, q_quality, q_rest, q_retrieval, q_sources, q_steps, q_tables, repairs
 
-MODULES = (repairs, q_sources, q_tables, q_graph, q_quality, q_retrieval, q_more, q_extra, q_steps)
+MODULES = (repairs, q_sources, q_tables, q_graph, q_quality, q_retrieval, q_more, q_extra, q_steps, q_rest)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

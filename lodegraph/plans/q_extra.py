@@ -66,18 +66,6 @@ def d19_estimates(spark: SparkSession, d: str) -> DataFrame:
     return c.select("chunk_id", F.aggregate("tables", F.lit(0), lambda a, t: a + chunking.table_size(t)).alias("size"))
 
 
-def e06_column_labels(spark: SparkSession, d: str) -> DataFrame:
-    """Numeric headers are sizes; others keep their words."""
-    h = _t(spark, d).select(F.explode("t.headers").alias("h")).distinct()
-    return h.select("h", F.when(F.col("h").rlike(r"^\d+$"), F.concat(F.lit("SCH "), "h")).otherwise(F.col("h")).alias("label"))
-
-
-def e07_matrix(spark: SparkSession, d: str) -> DataFrame:
-    """Tables with at least three headers that are no names, specs, units or notes: candidates for unpivoting."""
-    wide = F.size(F.filter("t.headers", lambda h: extract.header_role(h).isin("labor", "equipment", "material", "quantity", "other"))) >= 2
-    return _t(spark, d).groupBy(wide.alias("wide")).agg(F.count(F.lit(1)).alias("n"))
-
-
 def f03_entity_keys(spark: SparkSession, d: str) -> DataFrame:
     k = R.entity_key(F.col("type"), F.col("normalized_name"), F.col("spec"), F.col("sub_section"))
     return load(spark, d, "entities").groupBy(k.alias("key")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -215,7 +203,6 @@ SQL = {
     "c18_ranges": f"SELECT len(list_filter(flatten(list_transform(t.rows[1:10], lambda r: map_values(r))), lambda c: regexp_full_match(c.s, '\\s*[\\d.,]+\\s*[~-]\\s*[\\d.,]+\\s*'))) >= 2 AS ranges, len(t.headers) >= 3 AND len(list_filter(t.headers, lambda h: regexp_full_match(h, '\\s*[\\d,.]+\\s*'))) >= len(t.headers) * 0.5 AS matrix, count(*) AS n FROM {_T} GROUP BY 1, 2",
     "c32_row_words": f"SELECT len(list_filter(t.rows[1:5], lambda r: regexp_matches(coalesce(map_values(r)[1].s, ''), '{'|'.join(rules.HEADER_ROLES['labor'])}'))) > 0 AS has_trade, count(*) AS tables, CAST(sum(len(list_filter(t.rows, lambda r: len(list_filter(map_values(r), lambda c: c.n IS NOT NULL)) > 0))) AS BIGINT) AS numeric_rows FROM {_T} GROUP BY 1",
     "d19_estimates": "SELECT chunk_id, CAST(coalesce(list_sum(list_transform(flatten(flatten(list_transform(tables, lambda t: list_transform(t.rows, lambda r: map_values(r))))), lambda c: ceil(coalesce(length(c.s), 0) / 2.0))), 0) AS INT) AS size FROM graph_chunks WHERE tables IS NOT NULL",
-    "e06_column_labels": f"SELECT DISTINCT h, CASE WHEN regexp_full_match(h, '\\d+') THEN 'SCH ' || h ELSE h END AS label FROM (SELECT unnest(t.headers) AS h FROM {_T})",
     "f03_entity_keys": "SELECT concat_ws('::', type, lower(normalized_name), CASE WHEN type IN ('WorkType', 'Equipment', 'Material') THEN nullif(trim(spec, ' '), '') END, nullif(trim(sub_section, ' '), '')) AS key, count(*) AS n FROM entities GROUP BY 1 HAVING count(*) > 1",
     "g04_dedup_keys": "SELECT type, CASE WHEN type = 'Section' THEN '' ELSE coalesce(normalized_name, '') END AS name, CASE WHEN type IN ('WorkType', 'Equipment', 'Material') THEN coalesce(spec, '') WHEN type = 'Note' THEN coalesce(source_section_id, '') WHEN type = 'Section' THEN coalesce(code, '') ELSE '' END AS extra, count(*) AS n FROM entities GROUP BY 1, 2, 3",
     "g18_flat_edges": "SELECT source, target, type, quantity, unit, per_unit, count(*) AS n FROM relationships GROUP BY ALL",

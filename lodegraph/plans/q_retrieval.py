@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodegraph.functions import external as X
-from lodegraph.operators import relations as R, retrieval as V
+from lodegraph.operators import relations as R, retrieval as V, search
+from lodegraph.operators.ordering import latest
 from lodegraph.plans.session import load
 from lodegraph.streaming import stateful as S
 
@@ -79,8 +80,28 @@ def j09_size_numbers(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "entities").select("row_id", F.explode(V.size_numbers(F.concat_ws(" ", "name", "spec"))).alias("number"))
 
 
+SYNONYMS = {"조립": "설치", "용접": "웰딩", "비계": "scaffold", "운반": "하역"}
+SHORT = {"취부": "mounting", "포설": "laying", "붙임": "tiling", "절단": "cutting", "매입": "conduit"}
+
+
+def _asked_names(spark, d):
+    """Titles of the contents with the vector of their section's first chunk, and every name of a mentioned work or
+    section without one."""
+    c = load(spark, d, "graph_chunks").filter(V.valid_vector(F.col("embedding"), 64)).groupBy(F.col("section_id").alias("key")).agg(F.min_by("embedding", F.struct("chunk_id", "created_at")).alias("vector"))
+    t = load(spark, d, "toc").join(c, "key", "left").select(F.concat(F.lit("T:"), "key").alias("qid"), F.col("title").alias("question"), "vector")
+    e = load(spark, d, "entities").filter("type in ('WorkType', 'Section') and name is not null").groupBy(F.col("name").alias("question")).agg(F.min("row_id").alias("r"))
+    return t.unionByName(e.select(F.format_string("M:%d", F.col("r")).alias("qid"), "question", F.lit(None).cast("array<float>").alias("vector")))
+
+
+def _found_nodes(spark, d):
+    """Active nodes, the last row of an id."""
+    g = load(spark, d, "graph_entities").filter("coalesce(is_active, true)")
+    return latest(g, ["id"], [F.desc("created_at"), F.col("name"), F.col("source_section")])
+
+
 def j13_cascade(spark: SparkSession, d: str) -> DataFrame:
-    return V.cascade(_questions(spark, d), _nodes(spark, d).filter("type in ('WorkType', 'Section')"), load(spark, d, "graph_chunks"))
+    got = search.target_search(_asked_names(spark, d), _found_nodes(spark, d), load(spark, d, "graph_chunks"), SYNONYMS, SHORT)
+    return got.withColumn("similarity", F.round("similarity", 4))
 
 
 def j14_keyword_search(spark: SparkSession, d: str) -> DataFrame:
@@ -88,11 +109,10 @@ def j14_keyword_search(spark: SparkSession, d: str) -> DataFrame:
 
 
 def j12_hybrid(spark: SparkSession, d: str) -> DataFrame:
-    """Exact names first, then the keyword ranking, an id once, five a question."""
-    q, n = _questions(spark, d), _nodes(spark, d)
-    w = V.Window.partitionBy("qid").orderBy("id")
-    exact = q.join(n, F.col("name").startswith(F.col("question")) & (F.substring("name", 1, 4) == F.substring("question", 1, 4))).select("qid", "id", F.row_number().over(w).alias("rank"))
-    return V.merged_ranking(exact, V.keyword_search(q, n, 20).select("qid", "id", "rank"), 5)
+    """Titles with the first spec of their section: nearest vectors, names with all its numbers before them."""
+    spec = load(spark, d, "entities").filter("trim(spec) <> ''").groupBy(F.concat(F.lit("T:"), "source_section_id").alias("qid")).agg(F.min_by("spec", "row_id").alias("spec"))
+    q = _asked_names(spark, d).filter("qid like 'T:%'").join(spec, "qid", "left").withColumn("question", F.concat_ws(" ", "question", "spec"))
+    return search.hybrid_search(q, _found_nodes(spark, d))
 
 
 def j15_useful_terms(spark: SparkSession, d: str) -> DataFrame:
@@ -216,7 +236,42 @@ _HITS = f"""q AS (SELECT key AS qid, title AS question, {_W('title')} AS ws FROM
     h AS (SELECT qid, id, asked, count(*) AS hits FROM qw JOIN nw USING (w) GROUP BY 1, 2, 3)"""
 _RANKED = "k AS (SELECT qid, id, CAST(hits * 2 + CASE WHEN hits = asked THEN 1 ELSE 0 END AS INT) AS score, row_number() OVER (PARTITION BY qid ORDER BY hits * 2 + CASE WHEN hits = asked THEN 1 ELSE 0 END DESC, id) AS rank FROM h)"
 
+_WORDS = lambda c: f"list_filter(list_distinct(regexp_split_to_array(lower({c}), '[^0-9a-z가-힣]+')), lambda w: length(w) >= 2)"
+_FOUND = "g AS (SELECT id, name, lower(name) AS nm, type, source_section, CAST(embedding AS DOUBLE[]) AS e FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY created_at DESC, name, source_section NULLS FIRST) AS rn FROM graph_entities WHERE coalesce(is_active, true)) WHERE rn = 1)"
+_OKV = "len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0"
+_ASKED = f"""cv AS (SELECT section_id AS key, arg_min(CAST(embedding AS DOUBLE[]), (chunk_id, created_at)) AS v FROM graph_chunks WHERE {_OKV} GROUP BY 1),
+    q AS (SELECT 'T:' || toc.key AS qid, title AS question, v FROM toc LEFT JOIN cv ON cv.key = toc.key UNION ALL SELECT 'M:' || min(row_id), name, NULL FROM entities WHERE type IN ('WorkType', 'Section') AND name IS NOT NULL GROUP BY name)"""
+_NEAR = lambda k, types: f"""nv AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(s, 9) DESC, id) AS r FROM (SELECT qid, id, nm, type, source_section, list_cosine_similarity(v, e) AS s FROM rest JOIN g ON len(e) = 64 AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND list_sum(list_transform(e, lambda x: x * x)) > 0 WHERE v IS NOT NULL AND list_sum(list_transform(v, lambda x: x * x)) > 0{types}) WHERE s > 0.4 QUALIFY r <= {k})"""
+_PAIRS = lambda t, both: "(VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in [*t.items(), *([(b, a) for a, b in t.items()] if both else [])]) + ") AS al(a, b)"
+
 SQL = {
+    # every question against every name
+    "j13_cascade": f"""WITH {_FOUND}, {_ASKED},
+        a0 AS (SELECT *, nullif(regexp_extract(question, '([0-9A-Z]{{6}})[^0-9A-Za-z_]*$', 1), '') AS code, regexp_replace(regexp_replace(question, '([0-9A-Z]{{6}})[^0-9A-Za-z_]*$', ''), '[\\s·,/_(-]+$|(?i)\\s+no\\.\\s*$', '') AS bare FROM q),
+        a AS (SELECT qid, question, v, lower(coalesce(code, nullif(regexp_extract(question, '([φΦø]\\s*\\d+)', 1), ''), nullif(regexp_extract(question, '(\\d+(?:\\.\\d+)?\\s*mm)', 1), ''), nullif(regexp_extract(question, '((?i:SCH)\\s*\\d+)', 1), ''), nullif(regexp_extract(question, '(\\d+(?:-\\d+/\\d+|/\\d+)?\\s*(?:inch|인치|"))', 1), ''), nullif(regexp_extract(question, '(\\d+\\s*[x×]\\s*\\d+)', 1), ''))) AS spec, nullif(trim(lower(bare), ' '), '') AS w FROM a0),
+        t AS (SELECT *, {_WORDS('w')} AS ws FROM a), d AS (SELECT *, CASE WHEN len(list_filter(ws, lambda x: NOT regexp_full_match(x, '[A-Za-z]{{1,3}}'))) = 0 THEN ws ELSE list_filter(ws, lambda x: NOT regexp_full_match(x, '[A-Za-z]{{1,3}}')) END AS terms FROM t),
+        n AS (SELECT * FROM g WHERE type IN ('WorkType', 'Section')), b AS (SELECT * FROM d WHERE w IS NOT NULL AND spec IS NOT NULL),
+        mx AS (SELECT qid, '%' || array_to_string(regexp_extract_all(w, '[a-z]+|[가-힣]+|\\d+'), '%') || '%' AS p FROM d WHERE regexp_matches(w, '[a-z]') AND regexp_matches(w, '[가-힣]')),
+        s1 AS (SELECT qid, id, 1 AS stage FROM b JOIN n ON contains(nm, w) AND contains(substr(nm, strpos(nm, w) + length(w)), spec)
+            UNION SELECT qid, id, 2 FROM b JOIN n ON contains(nm, w) UNION SELECT qid, id, 2 FROM b JOIN mx USING (qid) JOIN n ON nm LIKE p UNION SELECT qid, id, 2 FROM b JOIN {_PAIRS(SYNONYMS, True)} ON list_contains(ws, a) JOIN n ON contains(nm, b)
+            UNION SELECT qid, id, 3 FROM b JOIN {_PAIRS(SHORT, False)} ON list_contains(ws, a) JOIN g ON contains(nm, al.b) AND type IN ('WorkType', 'Section', 'Standard')),
+        f1 AS (SELECT qid, id, stage, row_number() OVER (PARTITION BY qid ORDER BY id) AS rank FROM (SELECT *, min(stage) OVER (PARTITION BY qid) AS m FROM s1) WHERE stage = m QUALIFY rank <= CASE stage WHEN 2 THEN 20 ELSE 5 END),
+        l AS (SELECT * FROM d WHERE w IS NOT NULL AND qid NOT IN (SELECT qid FROM f1)), lt AS (SELECT qid, unnest(terms) AS term FROM l),
+        s2 AS (SELECT qid, id, 4 AS stage FROM lt JOIN n ON contains(nm, term) UNION SELECT qid, id, 4 FROM lt JOIN n ON nm LIKE '%' || array_to_string(regexp_extract_all(term, '[a-z]+|[가-힣]+|\\d+'), '%') || '%' WHERE regexp_matches(term, '[a-z]') AND regexp_matches(term, '[가-힣]')
+            UNION SELECT qid, id, 4 FROM l JOIN {_PAIRS(SYNONYMS, True)} ON list_contains(ws, a) JOIN n ON contains(nm, al.b) UNION SELECT qid, id, 5 FROM l JOIN n ON contains(nm, w) WHERE len(terms) > 1),
+        c2 AS (SELECT s2.*, CASE stage WHEN 4 THEN 2 * len(list_filter(ws, lambda x: contains(nm, x))) + len(list_filter(regexp_extract_all(lower(question), '[가-힣]+'), lambda x: contains(nm, x))) ELSE 0 END AS score FROM (SELECT *, min(stage) OVER (PARTITION BY qid) AS m FROM s2) s2 JOIN l USING (qid) JOIN n USING (id) WHERE stage = m),
+        f2 AS (SELECT qid, id, stage, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM c2 QUALIFY rank <= 20),
+        rest AS (SELECT * FROM d WHERE qid NOT IN (SELECT qid FROM f1) AND qid NOT IN (SELECT qid FROM f2)), {_NEAR(10, " AND type IN ('WorkType', 'Section')")},
+        v2 AS (SELECT qid, id, type, round(s - CASE WHEN type = 'Section' AND source_section IS NOT NULL AND source_section NOT IN (SELECT section_id FROM graph_chunks WHERE section_id IS NOT NULL) THEN 0.3 ELSE 0 END, 6) AS s FROM nv), f3 AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY s DESC, id) AS rank FROM v2 QUALIFY rank <= 5),
+        o AS (SELECT qid, {_WORDS('question')} AS ws FROM rest WHERE qid NOT IN (SELECT qid FROM f3 WHERE type = 'WorkType' AND s >= 0.7)), bd AS (SELECT section_id AS id, {_WORDS('text')} AS cw FROM graph_chunks WHERE text IS NOT NULL AND section_id IS NOT NULL),
+        bc AS (SELECT id, list_distinct(flatten(list(cw))) AS cw FROM bd GROUP BY 1), f4 AS (SELECT qid, id, row_number() OVER (PARTITION BY qid ORDER BY id) AS rank FROM o JOIN bc ON len(ws) > 0 AND list_has_all(cw, ws) QUALIFY rank <= 5)
+        SELECT qid, id, stage, CASE stage WHEN 1 THEN 1.0 WHEN 2 THEN 0.98 ELSE 0.96 END::DOUBLE AS similarity, CAST(rank AS INT) AS rank FROM f1 UNION ALL SELECT qid, id, stage, CASE stage WHEN 4 THEN 0.95 ELSE 0.9 END::DOUBLE, CAST(rank AS INT) FROM f2 UNION ALL SELECT qid, id, 6, round(s, 4), CAST(rank AS INT) FROM f3 UNION ALL SELECT qid, id, 7, 0.8::DOUBLE, CAST(rank AS INT) FROM f4""",
+    "j12_hybrid": f"""WITH {_FOUND}, {_ASKED}, sp AS (SELECT 'T:' || source_section_id AS qid, arg_min(spec, row_id) AS spec FROM entities WHERE trim(spec, ' ') <> '' GROUP BY 1),
+        rest AS (SELECT qid, v, list_distinct(regexp_extract_all(concat_ws(' ', question, spec), '\\d{{2,}}')) AS ns FROM q LEFT JOIN sp USING (qid) WHERE qid LIKE 'T:%'), {_NEAR(5, '')},
+        ex AS (SELECT DISTINCT qid FROM nv JOIN rest USING (qid) WHERE len(list_filter(ns, lambda x: NOT contains(nm, x))) = 0),
+        nm AS (SELECT qid, id, row_number() OVER (PARTITION BY qid ORDER BY id) AS r FROM rest JOIN g ON name IS NOT NULL AND len(list_filter(ns, lambda x: NOT contains(nm, x))) = 0 WHERE len(ns) > 0 AND qid NOT IN (SELECT qid FROM ex) QUALIFY r <= 5),
+        u AS (SELECT qid, id, min((pri, r)) AS o FROM (SELECT qid, id, 0 AS pri, r FROM nm UNION ALL SELECT qid, id, 1, r FROM nv) GROUP BY 1, 2)
+        SELECT qid, id, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY o, id) AS rank FROM u) WHERE rank <= 5""",
     "i01_vector_top_k": "SELECT qid, vec_id, round(s, 4) AS similarity, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(s, 9) DESC, vec_id) AS rank FROM (SELECT a.vec_id AS qid, b.vec_id, list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS s FROM embeddings a, embeddings b WHERE a.vec_id % 100 = 0)) WHERE rank <= 10",
     "i02_typed_search": "SELECT qid, vec_id, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(s, 9) DESC, vec_id) AS rank FROM (SELECT a.vec_id AS qid, b.vec_id, list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS s FROM embeddings a, embeddings b WHERE a.vec_id % 100 = 0 AND b.label IN (1, 2))) WHERE rank <= 10",
     "i04_one_hop": f"WITH {_N}, {_ED} SELECT s.id, 'outbound' AS direction, e.relation, t.id AS related_id, t.name AS related_name, t.type AS related_type FROM n s JOIN e ON e.source_id = s.id JOIN n t ON t.id = e.target_id WHERE s.type = 'WorkType'",
@@ -226,14 +281,7 @@ SQL = {
     "j07_synonyms": f"WITH t AS (SELECT key AS qid, unnest({_W('title')}) AS term FROM toc), s(k, a) AS (VALUES ('배관', '파이프'), ('용접', '웰딩'), ('조립', '설치'), ('비계', 'scaffold')), b AS (SELECT upper(k) AS k, a FROM s UNION ALL SELECT upper(a), k FROM s) SELECT DISTINCT qid, term FROM (SELECT qid, term FROM t UNION ALL SELECT qid, a FROM t JOIN b ON upper(term) = k)",
     "j08_mixed_script": r"SELECT row_id, '%' || array_to_string(r, '%') || '%' AS pattern FROM (SELECT row_id, regexp_extract_all(regexp_extract(name, '^([^ \t\n\r\f\v]+)', 1), '[A-Za-z]+|[가-힣]+|\d+') AS r FROM entities WHERE name IS NOT NULL) WHERE len(r) >= 2",
     "j09_size_numbers": r"SELECT row_id, unnest(regexp_extract_all(concat_ws(' ', name, spec), '(?:[φΦø]|DN|D=|W=|H=|SCH)\s*(\d+)', 1)) AS number FROM entities",
-    "j13_cascade": f"""WITH {_N}, n0 AS (SELECT id, name FROM n WHERE type IN ('WorkType', 'Section')), {_HITS}, bw AS (SELECT DISTINCT section_id AS id, unnest({_W('text')}) AS w FROM graph_chunks WHERE text IS NOT NULL),
-        b AS (SELECT qid, id FROM (SELECT qid, id, asked, count(*) AS hits FROM qw JOIN bw USING (w) GROUP BY 1, 2, 3) WHERE hits = asked),
-        u AS (SELECT qid, id, 1.0 AS similarity, 1 AS stage FROM q JOIN n0 ON lower(trim(question)) = lower(trim(name)) UNION ALL SELECT qid, id, 0.98, 2 FROM h WHERE hits = asked UNION ALL SELECT qid, id, 0.9, 3 FROM h WHERE hits < asked UNION ALL SELECT DISTINCT qid, id, 0.8, 4 FROM b)
-        SELECT qid, id, CAST(similarity AS DOUBLE) AS similarity, stage FROM (SELECT *, min(stage) OVER (PARTITION BY qid) AS m FROM u) WHERE stage = m""",
     "j14_keyword_search": f"WITH {_N}, n0 AS (SELECT * FROM n), {_HITS}, {_RANKED} SELECT qid, id, score, CAST(rank AS INT) AS rank FROM k WHERE rank <= 20",
-    "j12_hybrid": f"""WITH {_N}, n0 AS (SELECT * FROM n), {_HITS}, {_RANKED}, x AS (SELECT key AS qid, id, row_number() OVER (PARTITION BY key ORDER BY n.id) AS rank, 0 AS pri FROM toc t JOIN (SELECT id AS nid, name FROM n) nn ON starts_with(nn.name, t.title) JOIN n ON n.id = nn.nid),
-        u AS (SELECT qid, id, 0 AS pri, rank FROM (SELECT t.key AS qid, n.id AS id, row_number() OVER (PARTITION BY t.key ORDER BY n.id) AS rank FROM toc t JOIN n ON starts_with(n.name, t.title)) UNION ALL SELECT qid, id, 1, rank FROM k WHERE rank <= 20),
-        o AS (SELECT qid, id, min((pri, rank)) AS o FROM u GROUP BY 1, 2) SELECT qid, id, CAST(rank AS INT) AS rank FROM (SELECT qid, id, row_number() OVER (PARTITION BY qid ORDER BY o, id) AS rank FROM o) WHERE rank <= 5""",
     "j15_useful_terms": f"WITH t AS (SELECT row_id, {_W('name')} AS t FROM entities WHERE name IS NOT NULL), g AS (SELECT row_id, t, list_filter(t, lambda x: NOT regexp_full_match(x, '[A-Za-z]{{1,3}}')) AS good FROM t) SELECT row_id, array_to_string(list_sort(CASE WHEN len(good) = 0 THEN t ELSE good END), ' ') AS terms FROM g",
     "j22_sub_sections": "SELECT source_section_id, sub_section, count(*) AS works, decode(min(encode(name))) AS first FROM entities WHERE type = 'WorkType' AND trim(sub_section) <> '' GROUP BY 1, 2",
     "j23_options": rf"WITH {_N} SELECT source_section, CAST(p AS INT) AS position, id, name FROM (SELECT *, row_number() OVER (PARTITION BY source_section ORDER BY coalesce(TRY_CAST(regexp_extract(name, '(\d+)', 1) AS INT), 99), encode(name), id) AS p FROM n WHERE type = 'WorkType') WHERE p <= 15",

@@ -60,6 +60,11 @@ def append_numbered(df: DataFrame, order: list[str], first: int = 1, name: str =
 UPDATABLE = ("graph_entities", "graph_chunks")
 
 
+def offset_pages(df: DataFrame, order: list[str], size: int) -> DataFrame:
+    """``df`` with page_no from 0: pages of ``size`` rows in a total order, numbered without one task seeing all."""
+    return global_row_number(df, order, "__n").withColumn("page_no", F.floor((F.col("__n") - 1) / size)).drop("__n")
+
+
 #: Rows of an array of a positional update, about.
 UPDATE_ROWS = 1_000
 
