@@ -201,7 +201,7 @@ def l02_session_state(spark: SparkSession, d: str) -> DataFrame:
 
 def l03_last_turns(spark: SparkSession, d: str) -> DataFrame:
     e = load(spark, d, "events")
-    return e.select("event_id", F.array_join(S.last_turns(F.col("event_type"), "user_id", ["ts", "event_id"]), ",").alias("turns"))
+    return S.last_turns(e, "user_id", ["ts", "event_id"], "event_id", "event_type").select("event_id", F.array_join("turns", ",").alias("turns"))
 
 
 def l04_windowed_counts(spark: SparkSession, d: str) -> DataFrame:

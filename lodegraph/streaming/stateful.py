@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from lodegraph.operators.ordering import carry_forward
+from lodegraph.operators.ordering import carry_forward, islands
 
 WINDOW_US, MOST = 60_000_000, 10
 
@@ -41,27 +42,35 @@ def rate_limit(df: DataFrame, key: str, order: str, at: str, window: int = WINDO
     return rows.mapInArrow(run, f"`{key}` {kinds[key]}, `{order}` {kinds[order]}, `{at}` {kinds[at]}, allowed boolean")
 
 
-def rate_limit_stream(df: DataFrame, key: str, at: str, window: int = WINDOW_US, most: int = MOST) -> DataFrame:
-    """The same over a stream: state is the open window of a key and goes when it has expired."""
-    kind = dict(df.dtypes)[key]
+def limit_step(key: str, at: str, window: int, most: int, rows: int = 10_000):
+    """The fold of a trigger: all events of a key in it by time, however many frames they come in, on top of the open
+    window. Of an event only its time is held. The state goes when the watermark has passed the window's end."""
 
     def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        start, count = state.get if state.exists else (-1, 0)
         if state.hasTimedOut:
             state.remove()
             return
-        for f in frames:
-            f = f.sort_values(at)
+        start, count = state.get if state.exists else (None, 0)
+        times = np.sort(np.concatenate([np.empty(0, "i8"), *(f[at].to_numpy("i8") for f in frames)]))
+        for i in range(0, len(times), rows):
             ok = []
-            for t in f[at]:
-                s, count, allowed = limit_fold(None if start < 0 else start, count, int(t), window, most)
-                start = s
+            for t in times[i : i + rows].tolist():
+                start, count, allowed = limit_fold(start, count, t, window, most)
                 ok.append(allowed)
-            yield pd.DataFrame({key: k[0], at: f[at], "allowed": ok})
-        state.update((start, count))
-        state.setTimeoutDuration(max(1, window // 1000))
+            yield pd.DataFrame({key: k[0], at: times[i : i + rows], "allowed": ok})
+        if start is not None:
+            state.update((start, count))
+            state.setTimeoutTimestamp(max((start + window) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+
+    return step
 
-    return df.groupBy(key).applyInPandasWithState(step, f"`{key}` {kind}, `{at}` bigint, allowed boolean", "start bigint, count bigint", "append", GroupStateTimeout.ProcessingTimeTimeout)
+
+def rate_limit_stream(df: DataFrame, key: str, at: str, window: int = WINDOW_US, most: int = MOST, late: str = "1 minute") -> DataFrame:
+    """The same over a stream, by event time (``at`` in microseconds): events of a trigger are taken in order, events
+    later than ``late`` behind the newest are left out, and a replay gives the same result as the first run."""
+    kind = dict(df.dtypes)[key]
+    d = df.select(key, at, F.timestamp_micros(at).alias("__ts")).withWatermark("__ts", late)
+    return d.groupBy(key).applyInPandasWithState(limit_step(key, at, window, most), f"`{key}` {kind}, `{at}` bigint, allowed boolean", "start bigint, count bigint", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def windowed_counts(df: DataFrame, at: str, by: list[str], size: str, late: str | None = None) -> DataFrame:
@@ -75,6 +84,13 @@ def session_state(df: DataFrame, by: str, order: list[str], cols: list[str]) ->
     return carry_forward(df.withColumns({f"last_{c}": F.col(c) for c in cols}), [by], order, [f"last_{c}" for c in cols])
 
 
-def last_turns(value: Column, by: str, order: list[str], n: int = 5) -> Column:
-    """The last n values up to the row, oldest first."""
-    return F.collect_list(value).over(Window.partitionBy(by).orderBy(*order).rowsBetween(-(n - 1), 0))
+def last_turns(df: DataFrame, by: str, order: list[str], key: str, value: str, n: int = 5) -> DataFrame:
+    """(key, turns): the last n values of a conversation up to each row, oldest first; nulls are left out.
+
+    Rows are numbered over range partitions and each is handed to the n rows it belongs to, so a conversation of any
+    length is spread. ``order`` is a total order whose first column is not null.
+    """
+    d = islands(df.select(key, by, *[c for c in order if c not in (key, by)], F.col(value).alias("__v")), [by], order, F.lit(True), "__pos")
+    to = d.select(by, key, "__v", F.posexplode(F.sequence(F.col("__pos"), F.col("__pos") + n - 1)).alias("__i", "__to"))
+    got = to.groupBy(by, "__to").agg(F.max(F.when(F.col("__i") == 0, F.col(key))).alias(key), F.bool_or(F.col("__i") == 0).alias("__own"), F.sort_array(F.collect_list(F.when(F.col("__v").isNotNull(), F.struct((-F.col("__i")).alias("i"), F.col("__v").alias("v"))))).alias("x"))
+    return got.filter("__own").select(key, F.col("x.v").alias("turns"))

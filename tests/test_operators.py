@@ -182,9 +182,9 @@ def test_retry_and_embedding(spark):
 
 
 def test_rate_limit_batch_and_stream(spark, tmp_path):
-    s = 1_000_000
+    s, base = 1_000_000, 1_700_000_000
     times = [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 59, 61 + 60, 130]
-    d = spark.createDataFrame([("ip", i, t * s) for i, t in enumerate(times)] + [("other", 99, 0)], "k string, i long, at long")
+    d = spark.createDataFrame([("ip", i, (base + t) * s) for i, t in enumerate(times)] + [("other", 99, base * s)], "k string, i long, at long")
     got = {r.i: r.allowed for r in stateful.rate_limit(d, "k", "i", "at").collect()}
     assert [got[i] for i in range(len(times))] == [True] * 10 + [False, False, True, True] and got[99]
     src = tmp_path / "in"
@@ -210,3 +210,49 @@ def test_directions_in_every_branch(spark):
     got = {x.rel_id: (x.action, x.source, x.source_type, x.target_type) for x in normalise.repair_directions(r, normalise.chunk_heads(e)).collect()}
     assert got == {x[0]: x[7:] for x in rows}
     assert normalise.repair_directions(r.limit(0), normalise.chunk_heads(e.limit(0))).count() == 0
+
+
+class _State:
+    """The state of a key, as a stream keeps it."""
+
+    def __init__(self, watermark=0):
+        self.value, self.hasTimedOut, self.until, self.watermark = None, False, None, watermark
+
+    exists = property(lambda self: self.value is not None)
+    get = property(lambda self: self.value)
+
+    def update(self, v):
+        self.value = v
+
+    def remove(self):
+        self.value = None
+
+    def getCurrentWatermarkMs(self):
+        return self.watermark
+
+    def setTimeoutTimestamp(self, ms):
+        assert ms > self.watermark
+        self.until = ms
+
+
+def test_rate_limit_takes_all_frames_of_a_key_in_order():
+    s, step = 1_000_000, stateful.limit_step("k", "at", 60_000_000, 3, rows=2)
+    frames = [pd.DataFrame({"at": [50 * s, 10 * s]}), pd.DataFrame({"at": [70 * s, 0]}), pd.DataFrame({"at": [20 * s]})]
+    state = _State()
+    got = pd.concat(list(step(("a",), iter(frames), state)))
+    assert got["at"].tolist() == [0, 10 * s, 20 * s, 50 * s, 70 * s] and got.allowed.tolist() == [True, True, True, False, True]
+    assert state.value == (70 * s, 1) and state.until == 130_001
+    more = pd.concat(list(step(("a",), iter([pd.DataFrame({"at": [90 * s]})]), state)))
+    assert more.allowed.tolist() == [True] and state.value == (70 * s, 2)
+    state.hasTimedOut = True
+    assert list(step(("a",), iter([]), state)) == [] and not state.exists
+
+
+def test_last_turns(spark):
+    rows = [(i, "a" if i % 3 else "b", i // 2, None if i == 4 else f"v{i}") for i in range(40)] + [(99, None, 1, "x")]
+    d = spark.createDataFrame(rows, "id long, who string, at int, v string").repartition(5)
+    got = {r.id: r.turns for r in stateful.last_turns(d, "who", ["at", "id"], "id", "v", 3).collect()}
+    for i, who, at, _ in rows:
+        mine = sorted((x[2], x[0], x[3]) for x in rows if x[1] == who and (x[2], x[0]) <= (at, i))[-3:]
+        assert got[i] == [x[2] for x in mine if x[2] is not None]
+    assert len(got) == len(rows) and stateful.last_turns(d.limit(0), "who", ["at", "id"], "id", "v").count() == 0
