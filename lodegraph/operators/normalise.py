@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from lodegraph.operators import rules
 from lodegraph.operators.ordering import global_row_number, latest
 from lodegraph.operators.skew import few_hot, lookup_join
+from lodegraph.plans.session import ship_here
 
 
 @F.pandas_udf(T.StringType())
@@ -33,6 +34,7 @@ def normal_name(name: Column, type_: Column | None = None) -> Column:
 
     Given the type, the spaced-out trades of labour names are written together.
     """
+    ship_here()
     bare = F.regexp_replace(F.coalesce(name, F.lit("")), r"[φΦø∅ɸ]\s*(?=\d)", "")
     # plain ASCII and Hangul syllables are composed already and need no Python
     odd = bare.rlike(r"[^\x00-\x7f가-힣]")

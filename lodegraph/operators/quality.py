@@ -181,3 +181,33 @@ def proportional_sample(df: DataFrame, by: str, key: str, n: int) -> DataFrame:
     quota = sizes.crossJoin(F.broadcast(total)).select(by, F.greatest(F.lit(1), F.floor(F.col("__n") * n / F.col("__t"))).alias("__q"))  # total is one row
     w = Window.partitionBy(by).orderBy(F.md5(F.col(key).cast("string")), key)
     return df.withColumn("__r", F.row_number().over(w)).join(quota, by).filter("__r <= __q").drop("__r", "__q")
+
+
+def plain_number(number: Column) -> Column:
+    """One spelling of a number: no commas, no zeros behind a decimal point."""
+    bare = F.regexp_replace(number, ",", "")
+    return F.when(bare.contains("."), F.regexp_replace(bare, r"\.?0+$", "")).otherwise(bare)
+
+
+def comparable_cell(cell: Column) -> Column:
+    """A cell without blanks, commas, joints of heads, raised marks and trailing zeros."""
+    t = F.regexp_replace(F.regexp_replace(cell, r"(?U)\s+|&nbsp;", ""), r"[_^,]", "")
+    return F.regexp_replace(F.regexp_replace(t, r"(\d+\.\d*?)0+$", "$1"), r"\.$", "")
+
+
+def kept_share(source: DataFrame, made: DataFrame, by: list[str], item: str, of: str, least: float) -> DataFrame:
+    """(by, n, matched, share, passed): different items of a group on both sides over those of one side (``of`` is
+    source or made); groups that lack a side are left out. Items are rows, so a group of any size is spread."""
+    u = source.select(*by, item, F.lit(True).alias("s"), F.lit(False).alias("m")).unionByName(made.select(*by, item, F.lit(False).alias("s"), F.lit(True).alias("m")))
+    g = u.filter(F.col(item).isNotNull() & (F.col(item) != "")).groupBy(*by, item).agg(F.bool_or("s").alias("s"), F.bool_or("m").alias("m"))
+    g = g.groupBy(*by).agg(F.count_if("s").alias("ns"), F.count_if("m").alias("nm"), F.count_if(F.col("s") & F.col("m")).alias("matched")).filter("ns > 0 and nm > 0")
+    n = F.col("ns" if of == "source" else "nm")
+    share = F.round(F.col("matched") / n, 6)
+    return g.select(*by, n.alias("n"), "matched", share.alias("share"), (share >= least).alias("passed"))
+
+
+def severity(passed: DataFrame) -> DataFrame:
+    """(checked, passed, rate, severity) of a check: PASS from 95 % of its groups on, WARN from 85 %, else FAIL."""
+    d = passed.agg(F.count(F.lit(1)).alias("checked"), F.count_if("passed").alias("passed"))
+    rate = F.when(F.col("checked") == 0, 0.0).otherwise(F.col("passed") / F.col("checked"))
+    return d.withColumn("rate", F.round(rate, 6)).withColumn("severity", F.when(rate >= 0.95, "PASS").when(rate >= 0.85, "WARN").otherwise("FAIL"))

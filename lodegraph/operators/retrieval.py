@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lodegraph.operators.skew import few_hot, lookup_join
+from lodegraph.plans.session import ship
 
 # ---- vectors ----
 
@@ -56,6 +57,7 @@ def vector_search(queries: DataFrame, rows: DataFrame, k: int = 5, threshold: fl
     more. Vectors that are null, of another length, zero or not finite take no part on either side.
     """
     spark = rows.sparkSession
+    ship(spark)
     types = dict(queries.dtypes)["qid"], dict(rows.dtypes)[key]
     q = queries.select("qid", F.col("vector").cast("array<double>").alias("vector")).filter(F.col("qid").isNotNull() & valid_vector(F.col("vector"), dim))
     blocks = max(1, -(-q.count() // block))

@@ -8,6 +8,8 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lodegraph.plans.session import ship_here
+
 REGION = r"(?is)<table[^>]*>.*?</table>"
 
 # Keyword lists of table types; a caller may pass others.
@@ -96,6 +98,7 @@ def expand_grid(html: str) -> list[list[str]]:
 
 def grids(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key, table_no, grid array<array<string>>): every table of a text, expanded, in Arrow batches."""
+    ship_here()
     kind = dict(df.dtypes)[key]
     rows = df.select(key, F.posexplode(regions(F.col(text))).alias("i", "html"))
 

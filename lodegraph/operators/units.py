@@ -20,6 +20,8 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lodegraph.plans.session import ship_here
+
 # SI prefixes in use, by symbol and by name.
 PREFIX_SYMBOLS = {"k": 1e3, "M": 1e6, "G": 1e9, "h": 1e2, "d": 1e-1, "c": 1e-2, "m": 1e-3, "µ": 1e-6, "μ": 1e-6, "u": 1e-6}
 PREFIX_NAMES = {"kilo": 1e3, "mega": 1e6, "giga": 1e9, "hecto": 1e2, "deci": 1e-1, "centi": 1e-2, "milli": 1e-3, "micro": 1e-6, "킬로": 1e3, "메가": 1e6, "기가": 1e9, "헥토": 1e2, "데시": 1e-1, "센티": 1e-2, "밀리": 1e-3, "마이크로": 1e-6}
@@ -256,6 +258,7 @@ def to_common(df: DataFrame, common_units: DataFrame, row_id: str, basis: str |
     A factor is the number of common units in one unit as recorded, null where there is no common unit.
     common_quantity is null unless the unit has one; a basis without a common unit leaves it per recorded basis.
     """
+    ship_here()
     goal = common_targets(common_units)
     pick = lambda dim, i: F.element_at(F.create_map(*[F.lit(x) for d, v in goal.items() for x in (d, v[i])]), dim) if goal else F.lit(None)
     cols = [F.col(row_id).alias("row_id"), F.col(quantity).cast("double").alias("quantity")]

@@ -96,14 +96,6 @@ def h04_token_distribution(spark: SparkSession, d: str) -> DataFrame:
     return X.picked_percentiles(_c(spark, d).withColumn("size", X.token_count(F.col("text"))), "size", [0.25, 0.5, 0.75, 0.95])
 
 
-def h10_cell_accuracy(spark: SparkSession, d: str) -> DataFrame:
-    """Cells of each table that, without spaces, commas and signs, its own flat text holds."""
-    flat = lambda x: F.lower(F.regexp_replace(x, r"[\s,_^]+", ""))
-    t = _c(spark, d).select("chunk_id", flat(T.flat_text(F.col("tables"))).alias("all"), F.explode("tables").alias("t")).select("chunk_id", "all", F.explode(F.flatten(F.transform("t.rows", lambda r: F.map_values(r)))).alias("c"))
-    t = t.filter("length(c.s) >= 2")
-    return t.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("cells"), F.count_if(F.col("all").contains(flat(F.col("c.s")))).alias("kept"))
-
-
 def h17_numbers(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "documents").select("doc_id", F.size(Q.numbers(F.col("text"))).alias("numbers"), F.size(F.array_distinct(Q.numbers(F.col("text")))).alias("different"))
 
@@ -207,7 +199,6 @@ SQL = {
     "g04_dedup_keys": "SELECT type, CASE WHEN type = 'Section' THEN '' ELSE coalesce(normalized_name, '') END AS name, CASE WHEN type IN ('WorkType', 'Equipment', 'Material') THEN coalesce(spec, '') WHEN type = 'Note' THEN coalesce(source_section_id, '') WHEN type = 'Section' THEN coalesce(code, '') ELSE '' END AS extra, count(*) AS n FROM entities GROUP BY 1, 2, 3",
     "g18_flat_edges": "SELECT source, target, type, quantity, unit, per_unit, count(*) AS n FROM relationships GROUP BY ALL",
     "h04_token_distribution": f"WITH s AS (SELECT list_sort(list({_LEN2})) AS v FROM graph_chunks) SELECT CAST(len(v) AS BIGINT) AS n, v[1] AS least, v[-1] AS most, v[CAST(floor(len(v) * 0.25) AS INT) + 1] AS p25, v[CAST(floor(len(v) * 0.5) AS INT) + 1] AS p50, v[CAST(floor(len(v) * 0.75) AS INT) + 1] AS p75, v[CAST(floor(len(v) * 0.95) AS INT) + 1] AS p95 FROM s",
-    "h10_cell_accuracy": "SELECT chunk_id, count(*) AS cells, count(*) AS kept FROM (SELECT chunk_id, unnest(flatten(flatten(list_transform(tables, lambda t: list_transform(t.rows, lambda r: map_values(r)))))) AS c FROM graph_chunks) WHERE length(c.s) >= 2 GROUP BY 1",
     "h17_numbers": r"SELECT doc_id, CAST(len(n) AS INT) AS numbers, CAST(len(list_distinct(n)) AS INT) AS different FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '\d+(?:,\d{3})*(?:\.\d+)?') AS n FROM documents)",
     "h30_tokens": "SELECT row_id, array_to_string(list_sort(list_distinct(list_filter(string_split(lower(regexp_replace(name, '[^0-9A-Za-z_가-힣]+', ' ', 'g')), ' '), lambda w: w <> ''))), ' ') AS tokens FROM entities WHERE name IS NOT NULL",
     "h33_table_counts": "SELECT section_id, raw, parsed, raw > parsed + 1 AS short FROM (SELECT section_id, CAST(sum(coalesce(len(regexp_extract_all(text, '<table')), 0)) AS BIGINT) AS raw, CAST(sum(coalesce(len(tables), 0)) AS BIGINT) AS parsed FROM graph_chunks GROUP BY 1) WHERE raw > 0",

@@ -63,12 +63,6 @@ def h08_report(spark: SparkSession, d: str) -> DataFrame:
     return Q.report([h02_table_parse_rate(spark, d), h03_empty_chunks(spark, d), h21_chunk_coverage(spark, d), h23_units(spark, d)])
 
 
-def h09_containment(spark: SparkSession, d: str) -> DataFrame:
-    """Share of a chunk's title and note words that its text and tables hold."""
-    c = _all_text(_c(spark, d))
-    return c.select("chunk_id", Q.containment(Q.token_set(F.concat_ws(" ", "title", F.array_join("notes", " "))), Q.token_set(F.concat_ws(" ", "title", "all_text"))).alias("kept"))
-
-
 def h11_boundaries(spark: SparkSession, d: str) -> DataFrame:
     return Q.foreign_sections(_c(spark, d).select("chunk_id", "section_id", "text"), load(spark, d, "toc")).distinct()
 
@@ -84,13 +78,6 @@ def h13_note_recall(spark: SparkSession, d: str) -> DataFrame:
     return Q.ratio_check(c.filter("marked"), "note_recall", F.col("kept"), least=0.95)
 
 
-def h14_numbers_kept(spark: SparkSession, d: str) -> DataFrame:
-    """Numbers of a chunk's tables that its flat table text still has, by spelling."""
-    c = _c(spark, d).select("chunk_id", "created_at", flat_text(F.col("tables")).alias("flat"))
-    n = c.select("chunk_id", "flat", F.explode(Q.numbers(F.col("flat"))).alias("n"))
-    return n.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("numbers"), F.count_if(Q.number_kept(F.col("n"), F.col("flat"))).alias("kept"))
-
-
 def h15_isolation(spark: SparkSession, d: str) -> DataFrame:
     return _c(spark, d).groupBy("section_id").agg(F.countDistinct("department").alias("departments")).filter("departments > 1")
 
@@ -272,12 +259,8 @@ SQL = {
     "h05_blank_fields": " UNION ALL ".join(f"SELECT chunk_id, '{f}' AS field FROM graph_chunks WHERE coalesce(trim({f}, ' '), '') = ''" for f in ("section_id", "title", "department", "chapter", "revision_year", "text")),
     "h06_repeated_chunks": "SELECT chunk_id, count(*) AS n FROM graph_chunks GROUP BY 1 HAVING count(*) > 1",
     "h07_departments": "SELECT department, count(*) AS chunks, CAST(sum(coalesce(len(tables), 0)) AS BIGINT) AS tables, count(DISTINCT section_id) AS sections FROM graph_chunks GROUP BY 1",
-    "h09_containment": rf"""WITH c AS (SELECT chunk_id, concat_ws(' ', title, array_to_string(notes, ' ')) AS a, concat_ws(' ', title, {_ALL}) AS b FROM graph_chunks),
-        w AS (SELECT chunk_id, list_distinct(list_filter(regexp_split_to_array(lower(regexp_replace(regexp_replace(a, '(?s)<!--.*?-->', ' ', 'g'), '<[^>]+>', ' ', 'g')), '[^0-9A-Za-z_가-힣]+'), lambda x: x <> '')) AS a, list_distinct(list_filter(regexp_split_to_array(lower(regexp_replace(regexp_replace(b, '(?s)<!--.*?-->', ' ', 'g'), '<[^>]+>', ' ', 'g')), '[^0-9A-Za-z_가-힣]+'), lambda x: x <> '')) AS b FROM c)
-        SELECT chunk_id, CASE WHEN len(a) = 0 THEN 1.0 ELSE round(CAST(len(list_intersect(a, b)) AS DOUBLE) / len(a), 6) END AS kept FROM w""",
     "h12_reference_validity": _RATIO("reference_validity", "(SELECT unnest(cross_references) AS x FROM graph_chunks) LEFT JOIN (SELECT DISTINCT id FROM toc) k ON k.id = x.target_section_id", "k.id IS NOT NULL", ">= 1.0"),
     "h13_note_recall": _RATIO("note_recall", "(SELECT section_id, bool_or(coalesce(contains(text, '[주]'), false)) AS m, bool_or(coalesce(len(notes) > 0, false)) AS k FROM graph_chunks GROUP BY 1) WHERE m", "k", ">= 0.95"),
-    "h14_numbers_kept": rf"SELECT chunk_id, CAST(sum(n) AS BIGINT) AS numbers, CAST(sum(n) AS BIGINT) AS kept FROM (SELECT chunk_id, len(regexp_extract_all({_FLAT}, '\d+(?:,\d{{3}})*(?:\.\d+)?')) AS n FROM graph_chunks) WHERE n > 0 GROUP BY 1",
     "h15_isolation": "SELECT section_id, count(DISTINCT department) AS departments FROM graph_chunks GROUP BY 1 HAVING count(DISTINCT department) > 1",
     "h20_sample": "SELECT department, chunk_id FROM (SELECT *, row_number() OVER (PARTITION BY department ORDER BY md5(chunk_id), chunk_id) AS r FROM (SELECT DISTINCT department, chunk_id FROM graph_chunks)) WHERE r <= 20",
     "h21_chunk_coverage": _RATIO("chunk_coverage", "(SELECT DISTINCT chunk_id FROM graph_chunks)", "chunk_id IN (SELECT source_chunk_id FROM entities WHERE source_chunk_id IS NOT NULL)", ">= 0.9"),

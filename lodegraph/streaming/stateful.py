@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lodegraph.operators.ordering import carry_forward, islands
+from lodegraph.plans.session import ship
 
 WINDOW_US, MOST = 60_000_000, 10
 
@@ -25,6 +26,7 @@ def limit_fold(start: int | None, count: int, at: int, window: int, most: int) -
 def rate_limit(df: DataFrame, key: str, order: str, at: str, window: int = WINDOW_US, most: int = MOST) -> DataFrame:
     """(key, order, at, allowed) in batch. Rows of a key run through one task in order, in constant memory: only
     the open window is kept, however many rows a key has."""
+    ship(df.sparkSession)
     kinds = dict(df.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,6 +70,7 @@ def limit_step(key: str, at: str, window: int, most: int, rows: int = 10_000):
 def rate_limit_stream(df: DataFrame, key: str, at: str, window: int = WINDOW_US, most: int = MOST, late: str = "1 minute") -> DataFrame:
     """The same over a stream, by event time (``at`` in microseconds): events of a trigger are taken in order, events
     later than ``late`` behind the newest are left out, and a replay gives the same result as the first run."""
+    ship(df.sparkSession)
     kind = dict(df.dtypes)[key]
     d = df.select(key, at, F.timestamp_micros(at).alias("__ts")).withWatermark("__ts", late)
     return d.groupBy(key).applyInPandasWithState(limit_step(key, at, window, most), f"`{key}` {kind}, `{at}` bigint, allowed boolean", "start bigint, count bigint", "append", GroupStateTimeout.EventTimeTimeout)
