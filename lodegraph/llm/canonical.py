@@ -19,6 +19,8 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lodegraph.plans.session import ship_here
+
 # Letters of other scripts that are drawn as the Latin letter beside them.
 LOOKALIKE = {
     # Cyrillic
@@ -124,6 +126,7 @@ def _distinct(s: pd.Series, f) -> pd.Series:
 
 def _python_columns(cols: tuple[str, ...], f, plain: str) -> list[Column]:
     """``f`` of several text columns in one Python pass, null where the value is plain."""
+    ship_here()
 
     @F.pandas_udf(", ".join(f"c{i} string" for i in range(len(cols))))
     def run(*parts: pd.Series) -> pd.DataFrame:
