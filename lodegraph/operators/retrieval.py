@@ -195,6 +195,40 @@ def first_stage(stages: list[DataFrame], by: str = "qid") -> DataFrame:
     return u.withColumn("__m", F.min("stage").over(Window.partitionBy(by))).filter("stage = __m").drop("__m")
 
 
+def first_of(stages: list[tuple[DataFrame, int]], by: str = "qid", node: str = "node") -> DataFrame:
+    """Rows of the first stage that has any for each query, by node up to the stage's limit: (by, node, stage)."""
+    u = None
+    for i, (s, most) in enumerate(stages):
+        w = Window.partitionBy(by).orderBy(node)
+        s = s.select(by, node).distinct().withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= most).select(by, node, F.lit(i + 1).alias("stage"))
+        u = s if u is None else u.unionByName(s)
+    return u.withColumn("__m", F.min("stage").over(Window.partitionBy(by))).filter("stage = __m").drop("__m")
+
+
+def full_view(sections: DataFrame, nodes: DataFrame, chunks: DataFrame) -> DataFrame:
+    """(qid, node, stage) for each section (qid): its own works (200); works of sections whose chunks share title,
+    division and chapter with its own (30); works of sections below its id (50); the section nodes themselves.
+
+    Sections of one title are not paired: a title's first 30 works go to those of its sections that have none.
+    """
+    q = sections.select("qid").distinct()
+    works = nodes.filter("type = 'WorkType' and source_section is not null").select(F.col("id").alias("node"), "source_section").distinct()
+    own = q.join(works, q.qid == works.source_section).select("qid", "node")
+    place = ["title", "department", "chapter"]
+    at = chunks.select("section_id", *place).dropna().distinct()
+    named = at.join(works, at.section_id == works.source_section).select(*place, "node").distinct()
+    named = named.withColumn("__r", F.row_number().over(Window.partitionBy(*place).orderBy("node"))).filter("__r <= 30").drop("__r")
+    bare = q.join(own.select("qid").distinct(), "qid", "left_anti").join(at, F.col("qid") == F.col("section_id"))
+    beside = bare.join(named, place).select("qid", "node")
+    ids = F.split(F.substring_index("source_section", "#", 1), "-")
+    ups = F.transform(F.sequence(F.lit(1), F.size(ids) - 1), lambda i: F.array_join(F.slice(ids, F.lit(1), i), "-"))
+    up = works.select("node", F.explode(F.when(F.size(ids) > 1, ups)).alias("up"))
+    below = q.join(up, F.substring_index("qid", "#", 1) == F.col("up")).select("qid", "node")
+    own_nodes = nodes.filter("type = 'Section'").select(F.col("id").alias("node"), "source_section")
+    itself = q.join(own_nodes, q.qid == own_nodes.source_section).select("qid", "node")
+    return first_of([(own, 200), (beside, 30), (below, 50), (itself, 30)])
+
+
 def expand_terms(terms: DataFrame, synonyms: DataFrame) -> DataFrame:
     """(qid, term): terms and the synonyms of those that equal a key; ``synonyms`` has (key, alias)."""
     s = synonyms.select(F.upper("key").alias("__k"), "alias").unionByName(synonyms.select(F.upper("alias").alias("__k"), F.col("key").alias("alias")))

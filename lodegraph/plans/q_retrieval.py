@@ -177,15 +177,8 @@ def k14_context(spark: SparkSession, d: str) -> DataFrame:
 
 
 def k16_full_view(spark: SparkSession, d: str) -> DataFrame:
-    """Works of each contents entry: its own, else those below its id, else the section nodes themselves."""
-    n = _nodes(spark, d)
-    t = load(spark, d, "toc").select(F.col("key").alias("qid"), "id")
-    works = n.filter("type = 'WorkType'").select(F.col("id").alias("node"), "source_section")
-    own = t.join(works, t.qid == works.source_section).select("qid", "node")
-    up = works.withColumn("parent", F.regexp_replace("source_section", r"-\d+$", ""))
-    below = t.join(up, t.qid == up.parent).select("qid", "node")
-    itself = t.join(n.filter("type = 'Section'").select(F.col("id").alias("node"), "source_section"), F.col("qid") == F.col("source_section")).select("qid", "node")
-    return V.first_stage([own, below, itself])
+    """Works of each contents entry by the first of four ways that finds any."""
+    return V.full_view(load(spark, d, "toc").select(F.col("key").alias("qid")), _nodes(spark, d), load(spark, d, "graph_chunks"))
 
 
 def l01_rate_limit(spark: SparkSession, d: str) -> DataFrame:
@@ -294,7 +287,10 @@ SQL = {
     "k12_pivot": "SELECT source_type, " + ", ".join(f"count(*) FILTER (type = '{t}') AS {t}" for t in ("REQUIRES_LABOR", "REQUIRES_EQUIPMENT", "USES_MATERIAL", "HAS_NOTE")) + " FROM (SELECT DISTINCT rel_id, source_type, type FROM relationships) GROUP BY 1",
     "k13_matrix": "SELECT source_section_id, " + ", ".join(f"arg_max(quantity, row_id) FILTER (type = '{t}') AS {t}" for t in ("WorkType", "Material", "Equipment")) + " FROM entities WHERE quantity IS NOT NULL AND type IN ('WorkType', 'Material', 'Equipment') GROUP BY 1",
     "k14_context": f"WITH {_N}, {_ED}, x AS (SELECT s.id, substr(string_agg(concat_ws(' ', e.relation, t.name), chr(10) ORDER BY e.relation, t.id), 1, 6000) AS c FROM n s JOIN e ON e.source_id = s.id JOIN n t ON t.id = e.target_id WHERE s.type = 'WorkType' GROUP BY 1) SELECT id, md5(c) AS context, CAST(ceil(length(c) / 2.0) AS INT) AS tokens FROM x",
-    "k16_full_view": rf"WITH {_N}, u AS (SELECT key AS qid, n.id AS node, 1 AS stage FROM toc JOIN n ON n.source_section = key AND n.type = 'WorkType' UNION ALL SELECT key, n.id, 2 FROM toc JOIN n ON regexp_replace(n.source_section, '-\d+$', '') = key AND n.type = 'WorkType' UNION ALL SELECT key, n.id, 3 FROM toc JOIN n ON n.source_section = key AND n.type = 'Section') SELECT qid, node, stage FROM (SELECT *, min(stage) OVER (PARTITION BY qid) AS m FROM u) WHERE stage = m",
+    "k16_full_view": rf"""WITH {_N}, wk AS (SELECT id, source_section FROM n WHERE type = 'WorkType'), own AS (SELECT key AS qid, wk.id AS node FROM toc JOIN wk ON source_section = key),
+        pl AS (SELECT DISTINCT section_id, title, department, chapter FROM graph_chunks), bs AS (SELECT DISTINCT x.section_id AS qid, wk.id AS node FROM pl x JOIN pl y ON x.title = y.title AND x.department = y.department AND x.chapter = y.chapter AND x.section_id <> y.section_id JOIN wk ON wk.source_section = y.section_id WHERE x.section_id IN (SELECT key FROM toc) AND x.section_id NOT IN (SELECT qid FROM own)),
+        bl AS (SELECT DISTINCT key AS qid, wk.id AS node FROM toc JOIN wk ON starts_with(split_part(source_section, '#', 1), split_part(key, '#', 1) || '-')), u AS (SELECT qid, node, 1 AS stage, 200 AS most FROM own UNION ALL SELECT qid, node, 2, 30 FROM bs UNION ALL SELECT qid, node, 3, 50 FROM bl UNION ALL SELECT key, n.id, 4, 30 FROM toc JOIN n ON n.source_section = key AND n.type = 'Section')
+        SELECT qid, node, stage FROM (SELECT *, min(stage) OVER (PARTITION BY qid) AS m, row_number() OVER (PARTITION BY qid, stage ORDER BY node) AS r FROM u) WHERE stage = m AND r <= most""",
     "l01_rate_limit": """WITH RECURSIVE o AS (SELECT user_id, min(ts) AS s FROM events GROUP BY 1), w AS (SELECT user_id, s FROM o UNION ALL SELECT w.user_id, (SELECT min(e.ts) FROM events e WHERE e.user_id = w.user_id AND e.ts > w.s + INTERVAL 1 DAY) FROM w WHERE w.s IS NOT NULL),
         c AS (SELECT w.user_id, w.s, count(*) AS n FROM w JOIN events e ON e.user_id = w.user_id AND e.ts >= w.s AND e.ts <= w.s + INTERVAL 1 DAY WHERE w.s IS NOT NULL GROUP BY 1, 2) SELECT user_id, CAST(sum(least(n, 3)) AS BIGINT) AS allowed, CAST(sum(greatest(n - 3, 0)) AS BIGINT) AS refused FROM c GROUP BY 1""",
     "l02_session_state": "SELECT event_id, last_value(CASE WHEN value > 50 THEN event_type END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS last_kind FROM events",
