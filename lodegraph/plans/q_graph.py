@@ -288,6 +288,8 @@ SQL = {
         SELECT rel_id, type, CASE action WHEN 'work' THEN work WHEN 'section' THEN section ELSE source END AS source, CASE action WHEN 'work' THEN 'WorkType' WHEN 'section' THEN 'Section' ELSE source_type END AS source_type, target, CASE action WHEN 'note' THEN 'Note' ELSE target_type END AS target_type, action FROM z""",
     "g09_outliers": "WITH r AS (SELECT type, coalesce(quantity > CASE type WHEN 'REQUIRES_LABOR' THEN 75 WHEN 'REQUIRES_EQUIPMENT' THEN 3300 WHEN 'USES_MATERIAL' THEN 225 END, false) AS o, confidence FROM relationships WHERE quantity IS NULL OR quantity <> 0) SELECT type, count(*) AS kept, count(*) FILTER (o) AS outliers, count(*) FILTER (o OR confidence = 0.3) AS low FROM r GROUP BY 1",
     "g10_chunk_dedup": "SELECT min(rel_id) AS rel_id, source_chunk_id, type, source, source_type, target, target_type, quantity, unit, per_unit FROM relationships GROUP BY ALL",
+    "g11_assign_ids_all": f"""WITH n AS (SELECT coalesce(CASE lower(regexp_replace(type, '[^\\p{{L}}\\p{{N}}]', '', 'g')) WHEN 'worktype' THEN 'WorkType' WHEN 'labor' THEN 'Labor' WHEN 'equipment' THEN 'Equipment' WHEN 'material' THEN 'Material' WHEN 'section' THEN 'Section' WHEN 'note' THEN 'Note' WHEN 'standard' THEN 'Standard' END, type) AS type, coalesce(normalized_name, '') AS name, coalesce(spec, '') AS spec, min(row_id) AS row_id FROM entities GROUP BY 1, 2, coalesce(entities.spec, '')), p AS (SELECT *, CASE type WHEN 'WorkType' THEN 'W' WHEN 'Labor' THEN 'L' WHEN 'Equipment' THEN 'E' WHEN 'Material' THEN 'M' WHEN 'Section' THEN 'S' WHEN 'Note' THEN 'N' WHEN 'Standard' THEN 'ST' ELSE 'X' END AS pre FROM n),
+        r AS (SELECT *, row_number() OVER (PARTITION BY pre ORDER BY encode(type), encode(name), encode(spec)) AS k FROM p) SELECT type, name, spec, row_id, pre || '-' || CASE WHEN k < 10000 THEN lpad(CAST(k AS VARCHAR), 4, '0') ELSE CAST(k AS VARCHAR) END AS id FROM r""",
     "g11_assign_ids": f"""WITH n AS (SELECT type, coalesce(normalized_name, '') AS name, coalesce(spec, '') AS spec, min(row_id) AS row_id FROM entities WHERE type IN ({', '.join(repr(x) for x in rules.TYPE_PREFIX)}) GROUP BY 1, 2, 3), r AS (SELECT *, row_number() OVER (PARTITION BY type ORDER BY encode(name), encode(spec)) AS n FROM n)
         SELECT type, name, spec, row_id, CASE type {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in rules.TYPE_PREFIX.items())} END || '-' || CASE WHEN n < 10000 THEN lpad(CAST(n AS VARCHAR), 4, '0') ELSE CAST(n AS VARCHAR) END AS id FROM r""",
     "g12_resolve_ids": """WITH n AS (SELECT type, normalized_name AS name, coalesce(spec, '') AS spec, printf('N-%08d', min(row_id)) AS id FROM entities GROUP BY type, normalized_name, entities.spec), a AS (SELECT type, name, spec, max(id) AS id FROM n GROUP BY 1, 2, 3), b AS (SELECT type, name, min(id) AS id FROM n GROUP BY 1, 2)

@@ -285,6 +285,7 @@ SQL = {
     "h45_field_rules": f"SELECT count(*) FILTER (quantity < 0) AS negative, count(*) FILTER (NOT confidence BETWEEN 0 AND 1) AS confidence_range, count(*) FILTER (type NOT IN ({_TYPES})) AS unknown_type, count(*) FILTER (coalesce(trim(name, ' '), '') = '') AS blank_name FROM entities",
     "h46_reported": "SELECT CASE WHEN token_count IS NULL THEN 'null' WHEN token_count = ceil(coalesce(length(text), 0) / 2.0) THEN 'equal' ELSE 'stale' END AS state, count(*) AS n FROM graph_chunks GROUP BY 1",
     "h47_lineage": "WITH u AS (SELECT chunk_id, 1 a, 0 b, 0 c, 0 e FROM graph_chunks UNION ALL SELECT source_chunk_id, 0, 1, 0, 0 FROM entities UNION ALL SELECT source_chunk_id, 0, 0, 1, 0 FROM relationships UNION ALL SELECT source_chunk_id, 0, 0, 0, 1 FROM graph_relationships) SELECT chunk_id, CAST(sum(a) AS BIGINT) AS chunks, CAST(sum(b) AS BIGINT) AS entities, CAST(sum(c) AS BIGINT) AS relationships, CAST(sum(e) AS BIGINT) AS edges FROM u GROUP BY 1",
+    "h48_methods_all": f"SELECT coalesce(CASE lower(regexp_replace(type, '[^\\p{{L}}\\p{{N}}]', '', 'g')) WHEN 'worktype' THEN 'WorkType' WHEN 'labor' THEN 'Labor' WHEN 'equipment' THEN 'Equipment' WHEN 'material' THEN 'Material' WHEN 'section' THEN 'Section' WHEN 'note' THEN 'Note' WHEN 'standard' THEN 'Standard' END, type) AS type, count(*) FILTER (source_method = 'llm') AS llm, count(*) FILTER (source_method = 'merged') AS merged, count(*) FILTER (source_method = 'table_rule') AS table_rule FROM entities GROUP BY 1",
     "h48_methods": f"SELECT type, count(*) FILTER (source_method = 'llm') AS llm, count(*) FILTER (source_method = 'merged') AS merged, count(*) FILTER (source_method = 'table_rule') AS table_rule FROM entities WHERE type IN ({_TYPES}) GROUP BY 1",
     "h49_unit_classes": "SELECT CASE WHEN coalesce(trim(unit, ' '), '') = '' THEN 'blank' WHEN contains(unit, '/') THEN 'compound' WHEN regexp_matches(unit, '[가-힣]') THEN 'hangul' WHEN regexp_full_match(unit, '[A-Za-z0-9 .,]+') THEN 'latin' ELSE 'symbol' END AS kind, count(*) AS n FROM entities GROUP BY 1",
     "h51_orphan_profile": "WITH g AS (SELECT DISTINCT id, type FROM graph_entities) SELECT type, count(*) AS n, count(*) FILTER (NOT EXISTS (SELECT 1 FROM graph_relationships r WHERE r.source_id = g.id) AND NOT EXISTS (SELECT 1 FROM graph_relationships r WHERE r.target_id = g.id)) AS lone FROM g GROUP BY 1",
