@@ -292,6 +292,8 @@ SQL = {
     "h28_strict": rf"""WITH c AS (SELECT chunk_id, lower(regexp_replace(decode(max(encode({_ALL}))), '\s+', '', 'g')) AS t FROM graph_chunks GROUP BY 1),
         e AS (SELECT row_id, type, t, lower(name) AS n FROM entities LEFT JOIN c ON chunk_id = source_chunk_id)
         SELECT type = 'Note' OR coalesce(len(list_filter(regexp_split_to_array(n, '[^0-9a-z_가-힣]+'), lambda w: length(w) >= 2 AND contains(t, w))) > 0 OR contains(t, regexp_replace(n, '\s+', '', 'g')), false) AS valid, count(*) AS n FROM e GROUP BY 1""",
+    "h29_quantity_evidence": rf"""WITH c AS (SELECT chunk_id, regexp_replace(decode(max(encode({_ALL}))), '[\s,]+', '', 'g') AS t FROM graph_chunks GROUP BY 1), r AS (SELECT DISTINCT rel_id, CAST(quantity AS VARCHAR) AS q, source_chunk_id FROM relationships WHERE quantity IS NOT NULL)
+        SELECT contains(t, q) OR contains(t, regexp_replace(q, '\.0$', '')) AS seen, count(*) AS n FROM r JOIN c ON chunk_id = source_chunk_id GROUP BY 1""",
     "h53_chunk_groups": "SELECT *, row_number() OVER (PARTITION BY section_id, source_file ORDER BY chunk_id) AS position FROM (SELECT DISTINCT section_id, source_file, chunk_id FROM graph_chunks)",
     "h59_summary": f"WITH {_AUD} SELECT band, count(*) AS sections, CAST(sum(src_rows) AS BIGINT) AS src_rows, CAST(sum(got_rows) AS BIGINT) AS got_rows FROM x GROUP BY 1",
     "h60_marker_census": "SELECT source_file, CAST(sum(coalesce(len(regexp_extract_all(text, '<!-- SECTION:')), 0)) AS BIGINT) AS sections, CAST(sum(coalesce(len(regexp_extract_all(text, '<!-- PAGE ')), 0)) AS BIGINT) AS pages, CAST(sum(coalesce(len(regexp_extract_all(text, '<table')), 0)) AS BIGINT) AS tables FROM graph_chunks GROUP BY 1",
